@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gridlake.rules import Rules
+from gridlake.rules import Rules, literal
 
 
 def first_number(text: Column) -> Column:
@@ -24,9 +24,8 @@ def fallback_name(field_id: Column) -> Column:
 
 def normalise_level_type(raw: Column, rules: Rules) -> Column:
     """Message level type to field level type; anything unlisted is ``surface``."""
-    pairs = [F.lit(x) for pair in rules.level_types.items() for x in pair]
-    found = F.try_element_at(F.create_map(*pairs), raw) if pairs else F.lit(None).cast("string")
-    return F.coalesce(found, F.lit("surface"))
+    table = literal(rules.level_types, "map<string,string>")
+    return F.coalesce(F.try_element_at(table, raw), F.lit("surface"))
 
 
 def grib_variable(shortname: Column, level_type: Column, level: Column) -> Column:

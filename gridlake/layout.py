@@ -49,3 +49,12 @@ def per_element(tiled: bool, fn: Callable[..., Column], *cols: Column) -> Column
     if len(cols) == 1:
         return F.transform(cols[0], fn)
     return F.zip_with(cols[0], cols[1], fn)
+
+
+def bind(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with ``value`` computed once.
+
+    Catalyst inlines an expression wherever its column is used. Where ``fn`` uses it inside a loop over rules, the
+    lambda variable of a one-element array keeps it from being computed again for each rule.
+    """
+    return F.get(F.transform(F.array(value), fn), F.lit(0))

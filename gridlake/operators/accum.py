@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from gridlake.functions import names
 from gridlake.functions.times import epoch_seconds
 from gridlake.functions.wind import amount
-from gridlake.layout import is_tiled, per_element, place_key, value_name
-from gridlake.rules import Rules, label_hours
+from gridlake.layout import bind, is_tiled, per_element, place_key, value_name
+from gridlake.rules import Rules, label_hours, literal
 
 AMOUNT_UNITS = "kg m-2"
 
@@ -29,14 +29,17 @@ def window_targets(var: Column, shortname: Column, rules: Rules) -> Column:
             hours = label_hours(label)
             if hours is not None:
                 sources.setdefault(hours, []).append(source)
-    targets = []
-    for hours, candidates in sources.items():
-        fitting = F.filter(F.array(*[F.lit(c) for c in candidates]), lambda s: source_match(var, shortname, s))
-        last = F.try_element_at(fitting, F.lit(-1))
-        targets.append(F.when(last.isNotNull(), F.struct(F.lit(hours).alias("acc_hours"), last.alias("source"))))
-    if not targets:
-        return F.array().cast("array<struct<acc_hours:int,source:string>>")
-    return F.array_compact(F.array(*targets))
+    table = literal([{"acc_hours": h, "sources": s} for h, s in sources.items()],
+                    "array<struct<acc_hours:int,sources:array<string>>>")
+
+    def targets(field: Column) -> Column:
+        fitted = F.transform(table, lambda r: F.struct(
+            r["acc_hours"].alias("acc_hours"),
+            F.try_element_at(F.filter(r["sources"], lambda s: source_match(field["var"], field["shortname"], s)),
+                             F.lit(-1)).alias("source")))
+        return F.filter(fitted, lambda t: t["source"].isNotNull())
+
+    return bind(F.struct(var.alias("var"), shortname.alias("shortname")), targets)
 
 
 def exact_lag(value: str, keys: list[str], seconds: Column, hours: int) -> Column:

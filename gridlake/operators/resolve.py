@@ -6,37 +6,35 @@ value arrays are not touched.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions import names
-from gridlake.rules import FieldRule, Rules
+from gridlake.layout import bind
+from gridlake.rules import FieldRule, Rules, literal
 
 RULE_COLUMNS = ["shortname", "units", "formula", "long_name"]
 
 
-def _struct(rule: FieldRule) -> Column:
-    return F.struct(F.lit(rule.shortname).alias("shortname"), F.lit(rule.units).alias("units"),
-                    F.lit(rule.formula).alias("formula"), F.lit(rule.long_name).alias("long_name"))
+RULE_TYPE = "struct<shortname:string,units:string,formula:string,long_name:string>"
+
+
+def _entry(rule: FieldRule) -> dict:
+    return {c: getattr(rule, c) for c in RULE_COLUMNS}
 
 
 def _lookup(rules: tuple[FieldRule, ...], key: Column) -> Column:
     """Rule by exact code; of two rules with the same code the later counts."""
-    by_id = {r.field_id: r for r in rules}
-    if not by_id:
-        return F.lit(None).cast("struct<shortname:string,units:string,formula:string,long_name:string>")
-    entries = [c for fid, rule in by_id.items() for c in (F.lit(fid), _struct(rule))]
-    return F.try_element_at(F.create_map(*entries), key)
+    table = literal({r.field_id: _entry(r) for r in rules}, f"map<string,{RULE_TYPE}>")
+    return F.try_element_at(table, key)
 
 
 def skip_condition(field_id: Column, patterns: tuple[str, ...]) -> Column:
     """True where a pattern occurs in the code, literally or as a regular expression."""
     if not patterns:
         return F.lit(False)
-    as_regex = field_id.rlike("|".join(f"(?:{p})" for p in patterns))
-    return reduce(lambda a, b: a | b, [field_id.contains(p) for p in patterns], as_regex)
+    literally = F.exists(literal(list(patterns), "array<string>"), lambda p: F.contains(field_id, p))
+    return literally | field_id.rlike("|".join(f"(?:{p})" for p in patterns))
 
 
 def skip_fa(df: DataFrame, rules: Rules, id_col: str = "field_id") -> DataFrame:
@@ -46,12 +44,10 @@ def skip_fa(df: DataFrame, rules: Rules, id_col: str = "field_id") -> DataFrame:
 
 def suffix_rule(suffix: Column, rules: Rules) -> Column:
     """The first field rule, in file order, whose code ends the given text (dots count as underscores)."""
-    if not rules.fa_fields:
-        return _lookup((), suffix)
-    table = F.array(*[F.struct(F.lit(r.field_id.replace(".", "_")).alias("ending"), _struct(r).alias("rule"))
-                      for r in rules.fa_fields])
-    text = F.translate(suffix, ".", "_")
-    return F.try_element_at(F.filter(table, lambda r: F.endswith(text, r["ending"])), F.lit(1))["rule"]
+    table = literal([{"ending": r.field_id.replace(".", "_"), "rule": _entry(r)} for r in rules.fa_fields],
+                    f"array<struct<ending:string,rule:{RULE_TYPE}>>")
+    first = lambda text: F.try_element_at(F.filter(table, lambda r: F.endswith(text, r["ending"])), F.lit(1))
+    return bind(F.translate(suffix, ".", "_"), first)["rule"]
 
 
 def resolve_fa(df: DataFrame, rules: Rules, id_col: str = "field_id") -> DataFrame:
@@ -91,7 +87,7 @@ def message_code(df: DataFrame, rules: Rules, id_col: str = "field_id") -> Colum
 
 
 def _from_map(pairs: dict[str, str], key: Column) -> Column:
-    return F.nullif(F.try_element_at(F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv]), key), F.lit(""))
+    return F.nullif(F.try_element_at(literal(pairs, "map<string,string>"), key), F.lit(""))
 
 
 def resolve_grib(df: DataFrame, rules: Rules, id_col: str = "field_id",

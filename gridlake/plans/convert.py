@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from gridlake.functions import names, units
 from gridlake.layout import FIELD_KEY, TILE_GEOMETRY, TILE_KEY
 from gridlake.operators import accum, align, derived, grid, percent, routing
-from gridlake.rules import Rules, load_rules
-from gridlake.session import scratch_dir
+from gridlake.operators.grid import valid_shape
+from gridlake.rules import DerivedRule, Rules, load_rules
+from gridlake.session import array_batches, local_if_small, scratch_dir
 from gridlake.sources import files, messages as msg
 
 log = logging.getLogger(__name__)
@@ -56,15 +57,18 @@ def message_key(fmt: str, compat: bool) -> list[str]:
     return ["run_id", "source_file", "var"] if compat else ["run_id", "source_file", "var", "level_type", "level"]
 
 
-def superseded(headers: DataFrame, fmt: str, compat: bool) -> list[tuple[DataFrame, list[str]]]:
-    """What is replaced, as (key table, key columns)."""
+def superseded(headers: DataFrame, facts: DataFrame, fmt: str, compat: bool) -> list[tuple[DataFrame, list[str]]]:
+    """What is replaced, as (key table, key columns). Nothing is computed for a kind of conflict no field shows."""
+    out = []
     order = ["run_id", *msg.ORDER]
-    out = [(align.superseded_messages(headers, message_key(fmt, compat), order), order)]
-    if fmt == "fa":
+    named_twice = compat and facts.groupBy("run_id", "var").count().filter("count > 1").take(1)
+    if named_twice or facts.filter("n > 1 or n_times < n_rows").take(1):
+        out.append((align.superseded_messages(headers, message_key(fmt, compat), order), order))
+    if fmt == "fa" and time_conflicts(headers).take(1):
         on = ["run_id", "valid_time", "source_file"]
         out.append((align.superseded_files(headers, on[:2]), on))
-    elif compat:
-        # Fields whose names collide: the one that was seen first last replaces the others as a whole.
+    if fmt == "grib" and named_twice:
+        # Fields whose names collide: the one that turned up last replaces the others as a whole.
         field = ["run_id", "var", "shortname", "level_type", "level"]
         seen = headers.groupBy(*field).agg(F.min(F.struct(*msg.ORDER)).alias("_seen"))
         latest = seen.groupBy("run_id", "var").agg(F.max("_seen").alias("_latest"))
@@ -72,42 +76,47 @@ def superseded(headers: DataFrame, fmt: str, compat: bool) -> list[tuple[DataFra
     return out
 
 
-def mixed_grids(headers: DataFrame) -> DataFrame:
-    """Fields that occur with more than one grid size."""
-    sizes = headers.groupBy(*FIELD_KEY).agg(F.min("ni").alias("a"), F.max("ni").alias("b"), F.min("nj").alias("c"),
-                                            F.max("nj").alias("d"))
-    return sizes.filter("a <> b or c <> d").select(*FIELD_KEY)
-
-
-def new_names(headers: DataFrame, rules: Rules, compat: bool) -> DataFrame:
-    """(run_id, var) of everything the rules will add, known from headers alone."""
-    recipes = derived.usable(rules.derived, derived.WIND if compat else (*derived.SUMS, *derived.WIND))
-    held = headers.select("run_id", "var", "shortname").distinct()
-    amounts = held.select("run_id", "var", F.explode(accum.window_targets(
-        F.col("var"), F.col("shortname"), rules)["acc_hours"]).alias("_h")) \
+def header_facts(headers: DataFrame) -> DataFrame:
+    """One row per field of a run: grid sizes, source code, and whether a time occurs more than once."""
+    field = ["run_id", "var", "shortname", "level_type", "level"]
+    grids = [agg(c).alias(f"{c}_{agg.__name__}") for c in ("ni", "nj") for agg in (F.min, F.max)]
+    per_time = headers.groupBy(*field, "source_name", "valid_time").agg(F.count(F.lit(1)).alias("n"), *grids)
+    return per_time.groupBy(*field).agg(
+        F.max("n").alias("n"), F.collect_set("source_name").alias("source_names"),
+        F.count_distinct("valid_time").alias("n_times"), F.count("valid_time").alias("n_rows"),
+        F.min("ni_min").alias("ni_min"), F.max("ni_max").alias("ni_max"),
+        F.min("nj_min").alias("nj_min"), F.max("nj_max").alias("nj_max"))
+
+
+def time_conflicts(headers: DataFrame) -> DataFrame:
+    """(run, time) that more than one file brings."""
+    return headers.groupBy("run_id", "valid_time").agg(F.min("source_file").alias("a"), F.max("source_file").alias("b")) \
+        .filter("a < b").select("run_id", "valid_time")
+
+
+def new_names(facts: DataFrame, rules: Rules, compat: bool) -> DataFrame:
+    """(run_id, var) of everything the rules will add, known from header facts alone."""
+    recipes = recipes_of(rules, compat)
+    amounts = _amount_names(facts, rules)
+    if not recipes:
+        return amounts
+    per_run = facts.groupBy("run_id").agg(F.collect_set("var").alias("_vars"))
+    made = per_run.select("run_id", F.explode(F.array_compact(F.array(*[
+        F.when(F.array_contains("_vars", r.sources[0]) & F.array_contains("_vars", r.sources[1]),
+               F.struct(F.lit(r.out_var).alias("var"), F.lit(r.shortname or r.out_var).alias("shortname"),
+                        F.lit(r.kind).alias("kind"))) for r in recipes]))).alias("r")).select("run_id", "r.*")
+    sums = made.filter(F.col("kind").isin(*derived.SUMS))
+    return amounts.unionByName(_amount_names(sums, rules)).unionByName(made.select("run_id", "var")).distinct()
+
+
+def _amount_names(held: DataFrame, rules: Rules) -> DataFrame:
+    targets = accum.window_targets(F.col("var"), F.col("shortname"), rules)
+    return held.select("run_id", "var", F.explode(targets["acc_hours"]).alias("_h")) \
         .select("run_id", names.amount_name(F.col("var"), F.col("_h")).alias("var"))
-    sources = sorted({s for r in recipes for s in r.sources})
-    if not sources:
-        return amounts.distinct()
-    per_run = held.filter(F.col("var").isin(*sources)).groupBy("run_id").agg(F.collect_set("var").alias("_vars"))
-    made = [F.when(F.array_contains("_vars", r.sources[0]) & F.array_contains("_vars", r.sources[1]), F.lit(r.out_var))
-            for r in recipes]
-    pairs = per_run.select("run_id", F.explode(F.array_compact(F.array(*made))).alias("var"))
-    if not compat:
-        sums = pairs.filter(F.col("var").isin(*[r.out_var for r in recipes if r.kind in derived.SUMS] or [""]))
-        short = _recipe_shortname(recipes)
-        sum_amounts = sums.select("run_id", "var", F.explode(accum.window_targets(
-            F.col("var"), short, rules)["acc_hours"]).alias("_h")) \
-            .select("run_id", names.amount_name(F.col("var"), F.col("_h")).alias("var"))
-        pairs = pairs.unionByName(sum_amounts)
-    return amounts.unionByName(pairs).distinct()
 
 
-def _recipe_shortname(recipes) -> Column:
-    short = F.lit(None).cast("string")
-    for r in recipes:
-        short = F.when(F.col("var") == r.out_var, F.lit(r.shortname or r.out_var)).otherwise(short)
-    return short
+def recipes_of(rules: Rules, compat: bool) -> list[DerivedRule]:
+    return derived.usable(rules.derived, derived.WIND if compat else (*derived.SUMS, *derived.WIND))
 
 
 def is_source(rules: Rules) -> Column:
@@ -121,7 +130,6 @@ def base_tiles(decoded: DataFrame, edge: int, compat: bool) -> DataFrame:
     """Tiles of decoded messages with missing data as NULL and units converted; rows stay where they are."""
     df = decoded.withColumn("_factor", percent.message_factor(F.col("values"), F.col("formula")))
     df = grid.tiles_from_messages(df, edge)
-    df = df.withColumn("values", units.nan_to_null(F.col("values"), tiled=True))
     scaled = F.when(F.col("_factor") > 1, F.transform("values", lambda x: x * F.lit(100).cast("float")))
     df = df.withColumn("values", F.coalesce(scaled, units.apply_formula(
         F.col("values"), F.col("formula"), tiled=True, compat=compat)))
@@ -130,11 +138,16 @@ def base_tiles(decoded: DataFrame, edge: int, compat: bool) -> DataFrame:
     return df.select(*TILE_COLUMNS)
 
 
-def derived_tiles(base: DataFrame, rules: Rules, dt_hours: float, compat: bool) -> list[DataFrame]:
-    """Sums, amounts and wind fields. Sums come first, so that amounts are taken of them too."""
-    out = []
-    totals = base
-    sums = [] if compat else derived.usable(rules.derived, derived.SUMS)
+def derived_tiles(base: DataFrame, rules: Rules, dt_hours: float, compat: bool,
+                  held: set[str] | None = None) -> list[DataFrame]:
+    """Sums, amounts and wind fields. Sums come first, so that amounts are taken of them too.
+
+    ``held`` names the variables that exist, if known, and leaves out recipes that cannot give anything.
+    """
+    recipes = [r for r in recipes_of(rules, compat) if held is None or set(r.sources) <= held]
+    sums = [r for r in recipes if r.kind in derived.SUMS]
+    wind = [r for r in recipes if r.kind in derived.WIND]
+    out, totals = [], base
     if sums:
         added = _complete(derived.derive(base, sums))
         out.append(added)
@@ -142,7 +155,6 @@ def derived_tiles(base: DataFrame, rules: Rules, dt_hours: float, compat: bool)
     if rules.accumulations:
         amounts = accum.accumulate(totals, rules, dt_hours).select(*TILE_COLUMNS)
         out.append(amounts if compat else align.present(amounts))
-    wind = derived.usable(rules.derived, derived.WIND)
     if wind:
         out.append(_complete(derived.derive(base, wind, by_level=not compat)))
     return out
@@ -157,19 +169,22 @@ def _complete(df: DataFrame) -> DataFrame:
     }).select(*TILE_COLUMNS)
 
 
-def assemble(base: DataFrame, sources: DataFrame, replaced: DataFrame, rules: Rules, dt_hours: float,
+def assemble(base: DataFrame, sources: DataFrame, facts: DataFrame, rules: Rules, dt_hours: float,
              compat: bool) -> DataFrame:
-    """Base and derived tiles with their groups."""
-    extra = derived_tiles(sources, rules, dt_hours, compat)
+    """Base and derived tiles with their groups. A new variable replaces an existing one of its name."""
+    wanted = [s for r in recipes_of(rules, compat) for s in r.sources]
+    held = {r["var"] for r in facts.filter(F.col("var").isin(*wanted)).select("var").distinct().collect()} \
+        if wanted else set()  # at most as many names as the recipes mention
+    extra = derived_tiles(sources, rules, dt_hours, compat, held)
+    replaced = facts.select("run_id", "var").distinct().join(new_names(facts, rules, compat), ["run_id", "var"], "left_semi")
     kept = align.drop_listed(base, replaced, ["run_id", "var"])
     routed = routing.route(align.concat([kept, *extra]), rules)
     if not compat:
         return routed
-    run_axis = kept.select("run_id", "valid_time").distinct()
-    return routing.trim_leading(routed, run_axis)
+    return routing.trim_leading(routed, kept.select("run_id", "valid_time").distinct())
 
 
-def messages_to_groups(table: DataFrame, rules: Rules, fmt: str, run_id: str | None = None, dt_hours: float = 1.0,
+def messages_to_groups(table: DataFrame, fmt: str, rules: Rules, run_id: str | None = None, dt_hours: float = 1.0,
                        edge: int = grid.TILE_EDGE, compat: bool = False,
                        stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """All tiles of one or many runs with their group.
@@ -179,32 +194,31 @@ def messages_to_groups(table: DataFrame, rules: Rules, fmt: str, run_id: str | N
     for all derivations and a lost executor does not repeat it.
     """
     table = with_run(table, run_id)
-    if fmt == "fa":
-        table = align.drop_listed(table, msg.bad_fa_files(table, rules), ["source_file"])
     decoded = decoder(fmt)(table, rules, compat).filter(F.col("valid_time").isNotNull())
-    headers = decoded.select("run_id", *msg.HEADER, "ni", "nj").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if headers.limit(1).count() == 0:
-            raise EmptyRun("no message of the run is mapped to a variable")
-        bad = mixed_grids(headers).take(1)
-        if bad:
-            raise MixedGrid(f"grid size of {bad[0]['var']} changes within the run")
-        for listed, on in superseded(headers, fmt, compat):
-            decoded = align.drop_listed(decoded, listed, on)
-        source_ids = [r[0] for r in headers.filter(is_source(rules)).select("source_name").distinct()
-                      .limit(MAX_PUSHED_IDS + 1).collect()]
-        replaced = headers.select("run_id", "var").distinct() \
-            .join(new_names(headers, rules, compat), ["run_id", "var"], "left_semi")
-        base = base_tiles(decoded, edge, compat)
-        wanted = decoded.filter(is_source(rules))
-        if len(source_ids) <= MAX_PUSHED_IDS and not (rules.grib1_keys or rules.grib2_keys):
-            wanted = wanted.filter(F.col("field_id").isin(*source_ids))  # reaches the scan
-        sources = base_tiles(wanted, edge, compat)
-        if stage is not None and source_ids:
-            sources = stage(sources)
-        return assemble(base, sources, replaced, rules, dt_hours, compat)
-    finally:
-        headers.unpersist()
+    headers = decoded.select("run_id", *msg.HEADER, "ni", "nj", valid_shape(decoded).alias("_ok")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    facts = local_if_small(header_facts(headers))
+    if not facts.take(1):
+        raise EmptyRun("no message of the run is mapped to a variable")
+    if fmt == "fa" and headers.filter("not _ok").take(1):
+        spoilt = headers.filter("not _ok").select("run_id", "source_file").distinct()
+        decoded = align.drop_listed(decoded, spoilt, ["run_id", "source_file"])
+        headers = headers.join(spoilt, ["run_id", "source_file"], "left_anti")
+        facts = local_if_small(header_facts(headers))
+    bad = facts.filter("ni_min < ni_max or nj_min < nj_max").take(1)
+    if bad:
+        raise MixedGrid(f"grid size of {bad[0]['var']} changes within the run")
+    for listed, on in superseded(headers, facts, fmt, compat):
+        decoded = align.drop_listed(decoded, listed, on)
+    wanted = decoded.filter(is_source(rules))
+    source_ids = [r[0] for r in facts.filter(is_source(rules)).select(F.explode("source_names"))
+                  .limit(MAX_PUSHED_IDS + 1).collect()]
+    if len(source_ids) <= MAX_PUSHED_IDS and not (rules.grib1_keys or rules.grib2_keys):
+        wanted = wanted.filter(F.col("field_id").isin(*source_ids))  # reaches the scan
+    base, sources = base_tiles(decoded, edge, compat), base_tiles(wanted, edge, compat)
+    if stage is not None and source_ids:
+        sources = stage(sources)
+    return assemble(base, sources, facts, rules, dt_hours, compat)
 
 
 def cells_to_groups(cells: DataFrame, rules: Rules, run_id: str | None = None, dt_hours: float = 1.0,
@@ -222,10 +236,8 @@ def cells_to_groups(cells: DataFrame, rules: Rules, run_id: str | None = None, d
         .select(*TILE_COLUMNS)
     if stage is not None:
         tiles = stage(tiles)
-    names_held = tiles.select("run_id", "var", "shortname").distinct()
-    replaced = names_held.select("run_id", "var") \
-        .join(new_names(names_held, rules, compat), ["run_id", "var"], "left_semi").distinct()
-    return assemble(tiles, tiles.filter(is_source(rules)), replaced, rules, dt_hours, compat)
+    facts = local_if_small(tiles.select("run_id", "var", "shortname").distinct())
+    return assemble(tiles, tiles.filter(is_source(rules)), facts, rules, dt_hours, compat)
 
 
 def table_stage(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
@@ -253,13 +265,13 @@ def convert(spark: SparkSession, input_dir: str, store_dir: str, model: str, run
         rules = rules or load_rules(spark, rules_dir)
         run_id = f"{model}_{run}"
         fmt = files.ALIASES.get(fmt.lower(), fmt.lower()) if fmt else table_format(spark, input_dir)
-        stage = table_stage(spark)
-        if fmt == "netcdf":
-            groups = cells_to_groups(msg.read_cells(spark, input_dir), rules, run_id, dt_hours, edge, compat, stage)
-        else:
-            groups = messages_to_groups(msg.read_messages(spark, input_dir), rules, fmt, run_id, dt_hours, edge,
-                                        compat, stage)
-        write_groups(groups, store_dir, run_ids=[run_id])
+        settings = (rules, run_id, dt_hours, edge, compat, table_stage(spark))
+        with array_batches(spark):
+            if fmt == "netcdf":
+                groups = cells_to_groups(msg.read_cells(spark, input_dir), *settings)
+            else:
+                groups = messages_to_groups(msg.read_messages(spark, input_dir), fmt, *settings)
+            write_groups(groups, store_dir, run_ids=[run_id])
         return True
     except Exception as err:
         log.error("conversion of %s failed: %s", input_dir, err)

@@ -12,13 +12,19 @@ import logging
 import re
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridlake.rules import defaults
 
 log = logging.getLogger(__name__)
 
 
+def literal(value, schema: str) -> Column:
+    """A rule table as one literal of the plan (folded to a constant before execution)."""
+    return F.from_json(F.lit(json.dumps(value)), schema)
+
+
 @dataclass(frozen=True)
 class FieldRule:
     field_id: str

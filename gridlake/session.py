@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,9 @@ from pyspark.sql import functions as F
 # Rows of a key-only table up to which a broadcast is considered safe (about 100 bytes per row).
 BROADCAST_ROWS = 200_000
 
+# Rows per Arrow batch where a row is a whole message or tile (up to some megabytes).
+ARRAY_BATCH_ROWS = "64"
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -26,6 +31,18 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def array_batches(spark: SparkSession) -> Iterator[None]:
+    """Plan with small Arrow batches; the default of 10,000 rows is meant for rows of scalars."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ARRAY_BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting; a larger table is joined by shuffle instead.
 
@@ -35,6 +52,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def local_if_small(df: DataFrame, max_rows: int = 20_000) -> DataFrame:
+    """A header summary as a local table if it is small, so that later decisions on it need no job; else itself."""
+    rows = df.limit(max_rows + 1).collect()
+    return df if len(rows) > max_rows else df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh directory below the shared checkpoint folder the cluster names."""
     base = spark.conf.get("spark.checkpoint.dir", None)

@@ -26,8 +26,13 @@ HEADER = ["source_file", "msg_no", "source_name", "var", "shortname", "units", "
 
 
 def read_messages(spark: SparkSession, path: str, skip_corrupt: bool = True) -> DataFrame:
-    """Scan decoded messages with a fixed schema; unreadable files are left out, as with ``skip_corrupt``."""
-    return spark.read.schema(MESSAGE_SCHEMA).option("ignoreCorruptFiles", str(skip_corrupt).lower()).parquet(path)
+    """Scan decoded messages with a fixed schema; unreadable files are left out unless ``skip_corrupt`` is off.
+
+    A table may also hold ``n_values``, the length of each array; then headers alone tell broken messages.
+    """
+    reader = spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower())
+    counted = "n_values" in reader.parquet(path).columns
+    return reader.schema(MESSAGE_SCHEMA + (", n_values int" if counted else "")).parquet(path)
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
