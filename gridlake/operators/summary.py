@@ -133,3 +133,14 @@ def map_layer(cells: DataFrame, wu: str, wv: str, keys: list[str], box: dict[str
         .agg(pick(wu).alias("u"), pick(wv).alias("v")) \
         .withColumns({"speed": F.sqrt(F.col("u") * F.col("u") + F.col("v") * F.col("v")).cast("float"),
                       "arrow": (F.col("iy") % k == 0) & (F.col("ix") % k == 0)})
+
+
+def inventory(cells: DataFrame, keys: list[str], time: str = "valid_time") -> DataFrame:
+    """Variables, times, first and last time per group, from cells.
+
+    Distinct (group, variable, time) first, which combines before the shuffle and is small against the cells.
+    """
+    seen = cells.select(*keys, "var", time).distinct()
+    return seen.groupBy(*keys).agg(
+        F.count_distinct("var").alias("n_vars"), F.count_distinct(time).alias("n_times"),
+        F.min(time).alias("first_time"), F.max(time).alias("last_time"))
