@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gridlake import kernels
 from gridlake.layout import per_element
 
 KELVIN_OFFSET = 273.15
@@ -22,6 +23,7 @@ class Formula:
     apply: Callable[[Column], Column]
     units: str | None = None
     compat: bool = True  # False: an addition that compatibility mode leaves out
+    kernel: kernels.Kernel | None = None  # the same on arrays of FLOAT
 
 
 def _float(number: float) -> Column:
@@ -35,9 +37,9 @@ def _k2c(double: bool) -> Callable[[Column], Column]:
 
 
 _REGISTRY: dict[str, Callable[[bool], Formula]] = {
-    "k2c": lambda double: Formula(_k2c(double), "Celsius"),
-    "pa2hpa": lambda double: Formula(lambda x: _narrow(x / F.lit(100.0), double), "hPa"),
-    "div98": lambda double: Formula(lambda x: _narrow(x / F.lit(STANDARD_GRAVITY), double), "m", compat=False),
+    "k2c": lambda double: Formula(_k2c(double), "Celsius", kernel=kernels.k2c),
+    "pa2hpa": lambda double: Formula(lambda x: _narrow(x / F.lit(100.0), double), "hPa", kernel=kernels.pa2hpa),
+    "div98": lambda double: Formula(lambda x: _narrow(x / F.lit(STANDARD_GRAVITY), double), "m", False, kernels.div98),
 }
 
 
@@ -45,17 +47,23 @@ def _narrow(x: Column, double: bool) -> Column:
     return x if double else x.cast("float")
 
 
-def register_formula(key: str, apply: Callable[[Column], Column], units: str | None = None) -> None:
-    """Add a formula, e.g. ``register_formula("joule2kwh", lambda x: x / 3.6e6, "kWh m-2")``."""
-    _REGISTRY[key.lower()] = lambda double: Formula(lambda x: _narrow(apply(x), double), units)
+def register_formula(key: str, apply: Callable[[Column], Column], units: str | None = None,
+                     kernel: kernels.Kernel | None = None) -> None:
+    """Add a formula, e.g. ``register_formula("joule2kwh", lambda x: x / 3.6e6, "kWh m-2")``.
+
+    ``kernel`` may give the same on numpy arrays; without it tiles use ``apply`` element by element.
+    """
+    _REGISTRY[key.lower()] = lambda double: Formula(lambda x: _narrow(apply(x), double), units, kernel=kernel)
 
 
 def unregister_formula(key: str) -> None:
     _REGISTRY.pop(key.lower(), None)
 
 
-def formula_keys(compat: bool = False) -> list[str]:
-    return [k for k, make in _REGISTRY.items() if make(True).compat or not compat]
+def formula_kernels(compat: bool = False) -> dict[str, kernels.Kernel]:
+    """Kernels by key, for whole messages; ``percent`` is among them, since a message is one field of one file."""
+    found = {k: make(False) for k, make in _REGISTRY.items()}
+    return {"percent": kernels.percent} | {k: f.kernel for k, f in found.items() if f.kernel and (f.compat or not compat)}
 
 
 def nan_to_null(value: Column, tiled: bool = False) -> Column:
@@ -67,21 +75,21 @@ def nan_to_null(value: Column, tiled: bool = False) -> Column:
 
 
 def apply_formula(value: Column, formula: Column, tiled: bool = False, double: bool = False,
-                  compat: bool = False) -> Column:
+                  compat: bool = False, without: Iterable[str] = ()) -> Column:
     """Convert by formula key; unknown keys, ``none`` and NULL leave the value as it is.
 
     The key is looked at once per row, so on tiles the choice is not repeated per element. ``percent`` needs
-    the maximum of a field and lives in :mod:`gridlake.operators.percent`.
+    the maximum of a field and lives in :mod:`gridlake.operators.percent`. Keys in ``without`` are left alone.
     """
     key = F.lower(formula)
     result = None
     for name, make in _REGISTRY.items():
         rule = make(double)
-        if compat and not rule.compat:
+        if name in without or (compat and not rule.compat):
             continue
         converted = per_element(tiled, rule.apply, value)
         result = F.when(key == name, converted) if result is None else result.when(key == name, converted)
-    return result.otherwise(value)
+    return value if result is None else result.otherwise(value)
 
 
 def formula_units(formula: Column, units: Column, compat: bool = False) -> Column:

@@ -15,6 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridlake.kernels import Kernel, on_tiles
+
 # Columns that place a tile on its grid.
 TILE_KEY = ["ty", "tx"]
 TILE_GEOMETRY = ["ny", "nx", "y0", "x0", "h", "w", "lats", "lons"]
@@ -42,10 +44,12 @@ def geometry(df: DataFrame) -> list[str]:
     return [c for c in (TILE_GEOMETRY if is_tiled(df) else CELL_GEOMETRY) if c in df.columns]
 
 
-def per_element(tiled: bool, fn: Callable[..., Column], *cols: Column) -> Column:
-    """``fn`` on scalars, or on each position of one or two arrays."""
+def per_element(tiled: bool, fn: Callable[..., Column], *cols: Column, kernel: Kernel | None = None) -> Column:
+    """``fn`` on scalars, or on each position of one or two arrays (by its kernel, if there is one)."""
     if not tiled:
         return fn(*cols)
+    if kernel is not None:
+        return on_tiles(kernel, *cols)
     if len(cols) == 1:
         return F.transform(cols[0], fn)
     return F.zip_with(cols[0], cols[1], fn)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridlake import kernels
 from gridlake.functions import names
 from gridlake.functions.times import epoch_seconds
 from gridlake.functions.wind import amount
@@ -69,7 +70,7 @@ def sliding_amounts(df: DataFrame, hours: list[int], keys: list[str], time: str
     keep = [c for c in df.columns if c not in (value, "_before", "_s", "acc_hours")]
     out = df.select(*keep, value, F.explode(chosen).alias("_b"))
     return out.select(*keep, F.col("_b.acc_hours").alias("acc_hours"),
-                      per_element(tiled, amount, F.col(value), F.col("_b.before")).alias(value))
+                      per_element(tiled, amount, F.col(value), F.col("_b.before"), kernel=kernels.amount).alias(value))
 
 
 def accumulate(df: DataFrame, rules: Rules, dt_hours: float = 1.0, keys: list[str] | None = None,

@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridlake import kernels
 from gridlake.functions.wind import vector_direction, vector_magnitude
-from gridlake.layout import geometry, is_tiled, per_element, place_key, value_name
+from gridlake.kernels import on_tiles_by
+from gridlake.layout import geometry, is_tiled, place_key, value_name
 from gridlake.rules import DerivedRule
 
-RECIPES: dict[str, Callable[[Column, Column], Column]] = {
-    "vector_magnitude": vector_magnitude,
-    "vector_direction": vector_direction,
-    "accumulation": lambda a, b: a + b,
+# recipe: function of two Columns, kernel for tiles
+RECIPES: dict[str, tuple[Callable[[Column, Column], Column], kernels.Kernel]] = {
+    "vector_magnitude": (vector_magnitude, kernels.vector_magnitude),
+    "vector_direction": (vector_direction, kernels.vector_direction),
+    "accumulation": (lambda a, b: a + b, kernels.total),
 }
 WIND = ("vector_magnitude", "vector_direction")
 SUMS = ("accumulation",)
@@ -47,13 +50,18 @@ def derive(df: DataFrame, rules: list[DerivedRule], keys: list[str] | None = Non
 
     def result(rule: DerivedRule) -> Column:
         a, b = (F.col(f"_v_{s}") for s in rule.sources)
-        number = per_element(tiled, RECIPES[rule.kind], a, b).cast(kind)
+        number = a if tiled else RECIPES[rule.kind][0](a, b).cast(kind)
         return F.when(a.isNotNull() & b.isNotNull(), F.struct(
             F.lit(rule.out_var).alias("var"), F.lit(rule.shortname or rule.out_var).alias("shortname"),
-            F.lit(rule.units).alias("units"), F.lit(rule.long_name).alias("long_name"), number.alias(value)))
+            F.lit(rule.units).alias("units"), F.lit(rule.long_name).alias("long_name"),
+            F.lit(rule.kind).alias("_kind"), number.alias(value), b.alias("_b")))
 
     if not rules:
         raise ValueError("no recipe to run")
     rows = groups.select(*keys, *level, *shape,
                          F.explode(F.array_compact(F.array(*[result(r) for r in rules]))).alias("_r"))
-    return rows.select(*keys, *level, *shape, "_r.*")
+    rows = rows.select(*keys, *level, *shape, "_r.*")
+    if tiled:
+        recipes = {k: RECIPES[k][1] for k in dict.fromkeys(r.kind for r in rules)}
+        rows = rows.withColumn(value, on_tiles_by(F.col("_kind"), recipes, F.col(value), F.col("_b")))
+    return rows.drop("_kind", "_b")

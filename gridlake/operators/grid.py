@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridlake.kernels import Kernel
 from gridlake.layout import TILE_GEOMETRY, TILE_KEY
 
 TILE_EDGE = 256
@@ -48,7 +49,9 @@ def valid_shape(df: DataFrame) -> Column:
 
     With a header column ``n_values`` the arrays themselves need not be read for this.
     """
-    length = F.col("n_values") if "n_values" in df.columns else F.size("values")
+    packed = isinstance(df.schema["values"].dataType, T.BinaryType)
+    length = F.col("n_values") if "n_values" in df.columns else \
+        F.octet_length("values") / 4 if packed else F.size("values")
     return F.coalesce(length == F.col("ni") * F.col("nj"), F.lit(False))
 
 
@@ -65,9 +68,13 @@ def cells_from_messages(df: DataFrame) -> DataFrame:
     return out.drop("_pos", "lats", "lons", "ni", "nj")
 
 
-def tiles_from_messages(df: DataFrame, edge: int = TILE_EDGE) -> DataFrame:
+def tiles_from_messages(df: DataFrame, edge: int = TILE_EDGE, by_formula: dict[str, Kernel] | None = None) -> DataFrame:
     """Split each array into blocks of at most ``edge`` x ``edge`` points; NaN becomes missing.
 
+    With ``by_formula`` the kernel of a message's ``formula`` is applied to the whole message before. ``values`` is an
+    array of FLOAT, or BINARY with the same numbers packed as little-endian float32, which is several times
+    faster to scan.
+
     A map over Arrow batches without a shuffle. Built-in array functions can express it, but they box every element
     once per nesting level: on 245 million points they took 9 s, this takes 2 s.
     """
@@ -80,21 +87,28 @@ def tiles_from_messages(df: DataFrame, edge: int = TILE_EDGE) -> DataFrame:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield _split_batch(batch, keep, edge)
+                yield _split_batch(batch, keep, edge, by_formula or {})
 
     return df.select(*keep, "ni", "nj", "lats", "lons", "values").mapInArrow(split, schema)
 
 
-def _split_batch(batch: pa.RecordBatch, keep: list[str], edge: int) -> pa.RecordBatch:
+def _split_batch(batch: pa.RecordBatch, keep: list[str], edge: int, by_formula: dict[str, Kernel]) -> pa.RecordBatch:
     def lists(name: str) -> tuple[np.ndarray, np.ndarray]:
         column = batch.column(name)
+        if not pa.types.is_list(column.type):
+            starts = np.frombuffer(column.buffers()[1], "int32")[column.offset:column.offset + len(column) + 1]
+            return np.frombuffer(column.buffers()[2] or b"", "<f4"), starts // 4
         return column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
 
     numbers, at = lists("values")
     (lats, lat_at), (lons, lon_at) = lists("lats"), lists("lons")
+    formulas = batch.column("formula").to_pylist() if by_formula else []
     rows, place, values, lat_parts, lon_parts = [], [], [], [], []
     for i, (ni, nj) in enumerate(zip(batch.column("ni").to_pylist(), batch.column("nj").to_pylist())):
         whole = numbers[at[i]:at[i + 1]].reshape(nj, ni)
+        kernel = by_formula.get((formulas[i] or "").lower()) if formulas else None
+        if kernel is not None:
+            whole = kernel(whole)
         for y0 in range(0, nj, edge):
             for x0 in range(0, ni, edge):
                 block = whole[y0:y0 + edge, x0:x0 + edge]

@@ -1,19 +1,16 @@
-"""Fractions to percent, decided by the maximum of each field of each file."""
+"""Fractions to percent, decided by the maximum of each field of each file.
+
+A message is one field of one file, so whole messages need no shuffle for this (:func:`gridlake.kernels.percent`).
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions.units import percent_factor
 
 
-def message_factor(values: Column, formula: Column) -> Column:
-    """Factor of a whole message: a message is one field of one file, so its own array decides, without a shuffle."""
-    present = F.filter(values, lambda x: ~F.isnan(x))
-    return F.when(F.lower(formula) == "percent", percent_factor(F.array_max(present)))
-
-
 def scale_percent(cells: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
     """The same on cells: maxima per key, combined before the shuffle, joined back to the cells.
 

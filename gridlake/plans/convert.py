@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from gridlake.functions import names, units
 from gridlake.layout import FIELD_KEY, TILE_GEOMETRY, TILE_KEY
-from gridlake.operators import accum, align, derived, grid, percent, routing
+from gridlake.operators import accum, align, derived, grid, routing
 from gridlake.operators.grid import valid_shape
 from gridlake.rules import DerivedRule, Rules, load_rules
 from gridlake.session import array_batches, local_if_small, scratch_dir
@@ -128,11 +128,10 @@ def is_source(rules: Rules) -> Column:
 
 def base_tiles(decoded: DataFrame, edge: int, compat: bool) -> DataFrame:
     """Tiles of decoded messages with missing data as NULL and units converted; rows stay where they are."""
-    df = decoded.withColumn("_factor", percent.message_factor(F.col("values"), F.col("formula")))
-    df = grid.tiles_from_messages(df, edge)
-    scaled = F.when(F.col("_factor") > 1, F.transform("values", lambda x: x * F.lit(100).cast("float")))
-    df = df.withColumn("values", F.coalesce(scaled, units.apply_formula(
-        F.col("values"), F.col("formula"), tiled=True, compat=compat)))
+    by_kernel = units.formula_kernels(compat)
+    df = grid.tiles_from_messages(decoded, edge, by_kernel)
+    df = df.withColumn("values", units.apply_formula(F.col("values"), F.col("formula"), tiled=True, compat=compat,
+                                                     without=by_kernel))
     df = df.withColumns({"units": units.formula_units(F.col("formula"), F.col("units"), compat),
                          "acc_hours": F.lit(None).cast("int"), "dt_hours": F.lit(None).cast("double")})
     return df.select(*TILE_COLUMNS)

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridlake.functions import times
 from gridlake.operators.grid import valid_shape, with_axes
-from gridlake.operators.resolve import resolve_fa, resolve_grib, skip_fa
+from gridlake.operators.resolve import resolve_fa, resolve_grib
 from gridlake.rules import Rules
 
-MESSAGE_SCHEMA = (
+HEADER_SCHEMA = (
     "source_file string, msg_no int, fmt string, edition int, field_id string, discipline int, category int, "
     "number int, indicator_of_parameter int, level_type_raw string, level_raw int, data_date int, data_time int, "
-    "step_range string, ni int, nj int, lats array<double>, lons array<double>, values array<float>")
+    "step_range string, ni int, nj int, lats array<double>, lons array<double>")
+MESSAGE_SCHEMA = HEADER_SCHEMA + ", values array<float>"
+PACKED_SCHEMA = HEADER_SCHEMA + ", values binary"
 
 CELL_SCHEMA = ("var string, level_type string, level double, valid_time timestamp, iy int, ix int, lat double, "
                "lon double, value float")
@@ -28,11 +31,14 @@ HEADER = ["source_file", "msg_no", "source_name", "var", "shortname", "units", "
 def read_messages(spark: SparkSession, path: str, skip_corrupt: bool = True) -> DataFrame:
     """Scan decoded messages with a fixed schema; unreadable files are left out unless ``skip_corrupt`` is off.
 
-    A table may also hold ``n_values``, the length of each array; then headers alone tell broken messages.
+    ``values`` is an array of FLOAT or BINARY with packed little-endian float32. A table may also hold ``n_values``, the
+    number of values; then headers alone tell broken messages.
     """
     reader = spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower())
-    counted = "n_values" in reader.parquet(path).columns
-    return reader.schema(MESSAGE_SCHEMA + (", n_values int" if counted else "")).parquet(path)
+    found = reader.parquet(path).schema
+    packed = isinstance(found["values"].dataType, T.BinaryType)
+    schema = (PACKED_SCHEMA if packed else MESSAGE_SCHEMA) + (", n_values int" if "n_values" in found.names else "")
+    return reader.schema(schema).parquet(path)
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
@@ -40,11 +46,6 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def bad_fa_files(messages: DataFrame, rules: Rules) -> DataFrame:
-    """Files to leave out as a whole: one field that is not skipped cannot be reshaped."""
-    return skip_fa(messages, rules).filter(~valid_shape(messages)).select("source_file").distinct()
-
-
 def decode_fa(messages: DataFrame, rules: Rules, compat: bool = False) -> DataFrame:
     """Named messages of FA-like files. A file is one time step: its base time plus the four digits ending its
     name, else its own validity."""

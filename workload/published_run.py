@@ -6,8 +6,10 @@ cells. The 64 numbers of an embedding are repeated over the grid.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridlake.rules import literal
 
@@ -42,8 +44,15 @@ def messages(spark: SparkSession, sf_dir: str, side: int = SIDE) -> DataFrame:
         F.when(F.col("field_id").isin(*RUNNING_TOTALS), total).otherwise(whole).alias("values"))
 
 
-def write(spark: SparkSession, sf_dir: str, path: str, side: int = SIDE) -> int:
-    """Write the run as one file per time step and task; returns the number of cells."""
-    made = messages(spark, sf_dir, side).repartition(32, "source_file")
-    made.write.parquet(path)
+@F.pandas_udf(T.BinaryType())
+def _packed(values: pd.Series) -> pd.Series:
+    return values.map(lambda v: v.astype("<f4").tobytes())
+
+
+def write(spark: SparkSession, sf_dir: str, path: str, side: int = SIDE, packed: bool = True) -> int:
+    """Write the run, evenly over files as a parallel decoder would; returns the number of cells."""
+    made = messages(spark, sf_dir, side)
+    if packed:
+        made = made.withColumn("values", _packed("values"))
+    made.repartition(32).write.parquet(path)
     return spark.read.parquet(path).count() * side * side
