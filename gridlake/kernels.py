@@ -42,14 +42,53 @@ def on_tiles_by(choice: Column, kernels: dict[str, Kernel], first: Column, secon
     return F.arrow_udf(run, T.ArrayType(T.FloatType()), F.ArrowUDFType.SCALAR)(choice, first, second)
 
 
+def pack(values: Column) -> Column:
+    """Array of FLOAT to BINARY, little-endian float32 with NaN for missing.
+
+    Parquet writes and reads such a column as one block per tile instead of two levels and one value per point, which
+    is about ten times faster, and zstd works on the same bytes.
+    """
+    def run(a: pa.Array) -> pa.Array:
+        return _binary(a)
+
+    return F.arrow_udf(run, T.BinaryType(), F.ArrowUDFType.SCALAR)(values)
+
+
+def unpack(packed: Column) -> Column:
+    """The reverse of :func:`pack`; NaN becomes missing."""
+    def run(a: pa.Array) -> pa.Array:
+        return _lists(a)
+
+    return F.arrow_udf(run, T.ArrayType(T.FloatType()), F.ArrowUDFType.SCALAR)(packed)
+
+
+def _binary(a: pa.Array) -> pa.Array:
+    valid = a.is_valid()
+    present = a.filter(valid)
+    numbers = present.flatten().to_numpy(zero_copy_only=False).astype("<f4", copy=False)
+    offsets = _offsets(valid, pc.list_value_length(a)) * 4
+    mask = pa.array(valid.to_numpy(zero_copy_only=False)).buffers()[1]
+    return pa.Array.from_buffers(pa.binary(), len(a), [mask, pa.py_buffer(offsets), pa.py_buffer(numbers.tobytes())])
+
+
+def _lists(a: pa.Array) -> pa.Array:
+    valid = a.is_valid()
+    numbers = np.concatenate([np.frombuffer(x.as_buffer(), "<f4") for x in a if x.is_valid] or [np.empty(0, "f4")])
+    offsets = _offsets(valid, pc.binary_length(a)) // 4
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(numbers, from_pandas=True), mask=pc.invert(valid))
+
+
+def _offsets(valid: pa.Array, lengths: pa.Array) -> np.ndarray:
+    sizes = pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False)
+    return np.concatenate([[0], np.cumsum(np.where(valid.to_numpy(zero_copy_only=False), sizes, 0))]).astype("int32")
+
+
 def _apply(kernel: Kernel, *arrays: pa.Array) -> pa.Array:
     valid = arrays[0].is_valid()
     for a in arrays[1:]:
         valid = pc.and_(valid, a.is_valid())
     points = [a.filter(valid).flatten().to_numpy(zero_copy_only=False).astype("float32", copy=False) for a in arrays]
-    present = valid.to_numpy(zero_copy_only=False)
-    lengths = pc.fill_null(pc.list_value_length(arrays[0]), 0).to_numpy(zero_copy_only=False)
-    offsets = np.concatenate([[0], np.cumsum(np.where(present, lengths, 0))]).astype("int32")
+    offsets = _offsets(valid, pc.list_value_length(arrays[0]))
     numbers = pa.array(kernel(*points).astype("float32", copy=False), from_pandas=True)
     return pa.ListArray.from_arrays(pa.array(offsets), numbers, mask=pc.invert(valid))
 

@@ -16,11 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.functions import names, units
+from gridlake.kernels import pack, unpack
 from gridlake.layout import FIELD_KEY, TILE_GEOMETRY, TILE_KEY
 from gridlake.operators import accum, align, derived, grid, routing
 from gridlake.operators.grid import valid_shape
 from gridlake.rules import DerivedRule, Rules, load_rules
-from gridlake.session import array_batches, local_if_small, scratch_dir
+from gridlake.session import apply_settings, local_if_small, scratch_dir
 from gridlake.sources import files, messages as msg
 
 log = logging.getLogger(__name__)
@@ -243,8 +244,10 @@ def table_stage(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
     """Stage by writing a table to the shared scratch folder, one directory per variable."""
     def stage(df: DataFrame) -> DataFrame:
         path = scratch_dir(spark)
-        df.write.partitionBy("var").parquet(path)
-        return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        packed = df.withColumn("values", pack(F.col("values")))
+        packed.write.option("parquet.enable.dictionary#values", "false").partitionBy("var").parquet(path)
+        back = spark.read.schema(packed.schema).parquet(path)
+        return back.withColumn("values", unpack(F.col("values"))).select(*df.columns)
 
     return stage
 
@@ -260,17 +263,17 @@ def convert(spark: SparkSession, input_dir: str, store_dir: str, model: str, run
     """
     from gridlake.plans.store import write_groups
 
+    apply_settings(spark)
     try:
         rules = rules or load_rules(spark, rules_dir)
         run_id = f"{model}_{run}"
         fmt = files.ALIASES.get(fmt.lower(), fmt.lower()) if fmt else table_format(spark, input_dir)
         settings = (rules, run_id, dt_hours, edge, compat, table_stage(spark))
-        with array_batches(spark):
-            if fmt == "netcdf":
-                groups = cells_to_groups(msg.read_cells(spark, input_dir), *settings)
-            else:
-                groups = messages_to_groups(msg.read_messages(spark, input_dir), fmt, *settings)
-            write_groups(groups, store_dir, run_ids=[run_id])
+        if fmt == "netcdf":
+            groups = cells_to_groups(msg.read_cells(spark, input_dir), *settings)
+        else:
+            groups = messages_to_groups(msg.read_messages(spark, input_dir), fmt, *settings)
+        write_groups(groups, store_dir, run_ids=[run_id])
         return True
     except Exception as err:
         log.error("conversion of %s failed: %s", input_dir, err)

@@ -1,6 +1,6 @@
 """The group store: Parquet tiles by run and group, with a small table of fields beside them.
 
-``<store>/tiles/run_id=.../grp=...``   values, sorted by variable, place and time
+``<store>/tiles/run_id=.../grp=...``   values (packed float32), sorted by variable, place and time
 ``<store>/fields/run_id=.../grp=...``  one row per variable: attributes, times, grid
 
 Questions about content read ``fields`` only. Reading a field prunes to its run and group by directory, to its
@@ -12,12 +12,15 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridlake.functions import text
 from gridlake.functions.times import iso_text
+from gridlake.kernels import pack, unpack
 from gridlake.operators import select
 from gridlake.operators.grid import cells_from_tiles
 from gridlake.operators.summary import time_head_tail
+from gridlake.session import apply_settings
 
 PARTITIONS = ["run_id", "grp"]
 SORT = [*PARTITIONS, "var", "level_type", "level", "ty", "tx", "valid_time"]
@@ -25,8 +28,10 @@ WRITE_OPTIONS = {
     "compression": "zstd",
     "partitionOverwriteMode": "dynamic",
     "parquet.block.size": str(64 * 1024 * 1024),
-    # Small pages of the short columns let page statistics find one tile or one time inside a row group.
+    "parquet.enable.dictionary#values": "false",
+    # Pages of few rows let page statistics find one tile or one time inside a row group.
     "parquet.page.row.count.limit": "64",
+    "parquet.page.size.row.check.min": "1",
 }
 RULER = "=" * 72
 
@@ -40,7 +45,8 @@ def write_groups(groups: DataFrame, store_dir: str, compact: bool = True, run_id
     a variable that is much larger than the others. Spark's commit makes the new files visible at the end.
     """
     out = groups.hint("rebalance", *PARTITIONS, "var") if compact else groups
-    out.sortWithinPartitions(*SORT).write.mode("overwrite").options(**WRITE_OPTIONS) \
+    out = out.sortWithinPartitions(*SORT).withColumn("values", pack(F.col("values")))
+    out.write.mode("overwrite").options(**WRITE_OPTIONS) \
         .partitionBy(*PARTITIONS).parquet(f"{store_dir}/tiles")
     spark = groups.sparkSession
     written = spark.read.parquet(f"{store_dir}/tiles")
@@ -69,6 +75,7 @@ def describe_fields(tiles: DataFrame) -> DataFrame:
 
 def open_store(spark: SparkSession, path: str, run_id: str | None = None) -> "GridStore":
     """Open a store, or any Parquet table of tiles; FileNotFoundError if there is none."""
+    apply_settings(spark)
     for tiles, fields in ((f"{path}/tiles", f"{path}/fields"), (path, None)):
         try:
             table = spark.read.parquet(tiles)
@@ -78,6 +85,8 @@ def open_store(spark: SparkSession, path: str, run_id: str | None = None) -> "Gr
             continue
         if not {"var", "valid_time", "values"} <= set(table.columns):
             raise ValueError(f"{path} is no table of tiles")
+        if isinstance(table.schema["values"].dataType, T.BinaryType):
+            table = table.withColumn("values", unpack(F.col("values")))
         name = path.rstrip("/").rsplit("/", 1)[-1]
         for column, default in (("run_id", name), ("grp", name.rsplit(".", 1)[0])):
             if column not in table.columns:

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,36 +11,23 @@ from pyspark.sql import functions as F
 # Rows of a key-only table up to which a broadcast is considered safe (about 100 bytes per row).
 BROADCAST_ROWS = 200_000
 
-# Rows per Arrow batch where a row is a whole message or tile (up to some megabytes).
-ARRAY_BATCH_ROWS = "64"
-
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # A row may be a whole message or tile of some megabytes; the default of 10,000 rows is meant for scalars.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
 }
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
-    """Set what results depend on (UTC) and what plans depend on (adaptive execution)."""
+    """Set what results depend on (UTC) and what plans depend on (adaptive execution, size of Arrow batches)."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 
 
-@contextmanager
-def array_batches(spark: SparkSession) -> Iterator[None]:
-    """Plan with small Arrow batches; the default of 10,000 rows is meant for rows of scalars."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, ARRAY_BATCH_ROWS)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting; a larger table is joined by shuffle instead.
 
