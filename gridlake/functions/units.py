@@ -74,6 +74,10 @@ def nan_to_null(value: Column, tiled: bool = False) -> Column:
     return F.when(missing, F.transform(value, lambda x: F.nanvl(x, F.lit(None).cast("float")))).otherwise(value)
 
 
+def formulas_without_kernel() -> list[str]:
+    return [k for k, make in _REGISTRY.items() if make(False).kernel is None]
+
+
 def apply_formula(value: Column, formula: Column, tiled: bool = False, double: bool = False,
                   compat: bool = False, without: Iterable[str] = ()) -> Column:
     """Convert by formula key; unknown keys, ``none`` and NULL leave the value as it is.

@@ -19,14 +19,17 @@ from pyspark.sql import types as T
 Kernel = Callable[..., np.ndarray]
 
 
-def on_tiles(kernel: Kernel, *columns: Column) -> Column:
-    """``kernel`` on the points of one or two array columns of equal lengths; a missing array gives a missing array."""
+def on_tiles(kernel: Kernel, *columns: Column, packed: bool = False) -> Column:
+    """``kernel`` on the points of one or two columns of equal lengths; a missing tile gives a missing tile.
+
+    Columns are arrays of FLOAT, or BINARY if ``packed``; the result is of the same kind.
+    """
     one = lambda a: _apply(kernel, a)
     two = lambda a, b: _apply(kernel, a, b)
-    return F.arrow_udf(one if len(columns) == 1 else two, T.ArrayType(T.FloatType()), F.ArrowUDFType.SCALAR)(*columns)
+    return F.arrow_udf(one if len(columns) == 1 else two, _kind(packed), F.ArrowUDFType.SCALAR)(*columns)
 
 
-def on_tiles_by(choice: Column, kernels: dict[str, Kernel], first: Column, second: Column) -> Column:
+def on_tiles_by(choice: Column, kernels: dict[str, Kernel], first: Column, second: Column, packed: bool = False) -> Column:
     """The same with the kernel named by a column; it is looked up once per name and batch."""
     def run(names: pa.Array, a: pa.Array, b: pa.Array) -> pa.Array:
         parts, order = [], []
@@ -35,47 +38,56 @@ def on_tiles_by(choice: Column, kernels: dict[str, Kernel], first: Column, secon
             parts.append(_apply(kernels[name], a.take(at), b.take(at)))
             order.append(at)
         if not parts:
-            return pa.array([], pa.list_(pa.float32()))
+            return a
         back = np.argsort(pa.concat_arrays(order).to_numpy())
         return pa.concat_arrays(parts).take(pa.array(back))
 
-    return F.arrow_udf(run, T.ArrayType(T.FloatType()), F.ArrowUDFType.SCALAR)(choice, first, second)
+    return F.arrow_udf(run, _kind(packed), F.ArrowUDFType.SCALAR)(choice, first, second)
 
 
-def pack(values: Column) -> Column:
-    """Array of FLOAT to BINARY, little-endian float32 with NaN for missing.
-
-    Parquet writes and reads such a column as one block per tile instead of two levels and one value per point, which
-    is about ten times faster, and zstd works on the same bytes.
-    """
-    def run(a: pa.Array) -> pa.Array:
-        return _binary(a)
-
-    return F.arrow_udf(run, T.BinaryType(), F.ArrowUDFType.SCALAR)(values)
+def _kind(packed: bool) -> T.DataType:
+    return T.BinaryType() if packed else T.ArrayType(T.FloatType())
 
 
 def unpack(packed: Column) -> Column:
-    """The reverse of :func:`pack`; NaN becomes missing."""
+    """Packed tiles to arrays of FLOAT; NaN becomes missing.
+
+    Spark shuffles, sorts and writes a packed tile as one block of bytes instead of a value at a time, so tiles are
+    unpacked only where single points are wanted.
+    """
     def run(a: pa.Array) -> pa.Array:
         return _lists(a)
 
     return F.arrow_udf(run, T.ArrayType(T.FloatType()), F.ArrowUDFType.SCALAR)(packed)
 
 
-def _binary(a: pa.Array) -> pa.Array:
-    valid = a.is_valid()
-    present = a.filter(valid)
-    numbers = present.flatten().to_numpy(zero_copy_only=False).astype("<f4", copy=False)
-    offsets = _offsets(valid, pc.list_value_length(a)) * 4
-    mask = pa.array(valid.to_numpy(zero_copy_only=False)).buffers()[1]
-    return pa.Array.from_buffers(pa.binary(), len(a), [mask, pa.py_buffer(offsets), pa.py_buffer(numbers.tobytes())])
+def to_bytes(a: pa.Array) -> pa.Array:
+    """List array to packed bytes, NaN for missing."""
+    return _encode(_points(a, a.is_valid()), a.is_valid(), pc.list_value_length(a), packed=True)
 
 
 def _lists(a: pa.Array) -> pa.Array:
-    valid = a.is_valid()
-    numbers = np.concatenate([np.frombuffer(x.as_buffer(), "<f4") for x in a if x.is_valid] or [np.empty(0, "f4")])
-    offsets = _offsets(valid, pc.binary_length(a)) // 4
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(numbers, from_pandas=True), mask=pc.invert(valid))
+    return _encode(_points(a, a.is_valid()), a.is_valid(), pc.binary_length(a), packed=False, width=4)
+
+
+def _points(a: pa.Array, valid: pa.Array) -> np.ndarray:
+    """All points of the valid rows as one flat array, NaN where missing."""
+    present = a.filter(valid)
+    if not pa.types.is_binary(a.type):
+        return present.flatten().to_numpy(zero_copy_only=False).astype("<f4", copy=False)
+    if not len(present):
+        return np.empty(0, "<f4")
+    ends = np.frombuffer(present.buffers()[1], "int32")[present.offset:present.offset + len(present) + 1]
+    return np.frombuffer(present.buffers()[2], "u1")[ends[0]:ends[-1]].view("<f4")
+
+
+def _encode(numbers: np.ndarray, valid: pa.Array, lengths: pa.Array, packed: bool, width: int = 1) -> pa.Array:
+    offsets = _offsets(valid, lengths) // width
+    if not packed:
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(numbers, from_pandas=True), mask=pc.invert(valid))
+    bits = np.packbits(valid.to_numpy(zero_copy_only=False), bitorder="little")
+    return pa.Array.from_buffers(pa.binary(), len(valid), [pa.py_buffer(bits), pa.py_buffer(offsets * np.int32(4)),
+                                                           pa.py_buffer(np.ascontiguousarray(numbers, "<f4"))])
 
 
 def _offsets(valid: pa.Array, lengths: pa.Array) -> np.ndarray:
@@ -87,10 +99,11 @@ def _apply(kernel: Kernel, *arrays: pa.Array) -> pa.Array:
     valid = arrays[0].is_valid()
     for a in arrays[1:]:
         valid = pc.and_(valid, a.is_valid())
-    points = [a.filter(valid).flatten().to_numpy(zero_copy_only=False).astype("float32", copy=False) for a in arrays]
-    offsets = _offsets(valid, pc.list_value_length(arrays[0]))
-    numbers = pa.array(kernel(*points).astype("float32", copy=False), from_pandas=True)
-    return pa.ListArray.from_arrays(pa.array(offsets), numbers, mask=pc.invert(valid))
+    numbers = kernel(*[_points(a, valid) for a in arrays]).astype("<f4", copy=False)
+    if pa.types.is_binary(arrays[0].type):
+        lengths = pc.divide(pc.binary_length(arrays[0]), 4)
+        return _encode(numbers, valid, lengths, packed=True)
+    return _encode(numbers, valid, pc.list_value_length(arrays[0]), packed=False)
 
 
 def vector_magnitude(u: np.ndarray, v: np.ndarray) -> np.ndarray:

@@ -1,7 +1,9 @@
 """The two physical layouts of field data, and how one operator serves both.
 
 ``cells``  one row per grid point, scalar column ``value``
-``tiles``  one row per rectangular block of grid points, array column ``values`` (row-major)
+``tiles``  one row per rectangular block of grid points, column ``values`` (row-major): an array of FLOAT, or
+           BINARY with the same numbers packed as little-endian float32 and NaN for missing, as whole runs and stores
+           carry it
 
 A tile row costs the same per-row work as a cell row but carries up to 256 x 256 points, so whatever works on
 headers (naming, routing, windows over time, joins on time) is tens of thousands of times cheaper on tiles.
@@ -10,12 +12,14 @@ Element-wise arithmetic is written once as a function of Columns and lifted to a
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gridlake.kernels import Kernel, on_tiles
+from gridlake.kernels import Kernel, on_tiles, to_bytes, unpack
 
 # Columns that place a tile on its grid.
 TILE_KEY = ["ty", "tx"]
@@ -31,6 +35,30 @@ def is_tiled(df: DataFrame) -> bool:
     return "values" in df.columns
 
 
+def is_packed(df: DataFrame) -> bool:
+    return is_tiled(df) and isinstance(df.schema["values"].dataType, T.BinaryType)
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    """Tiles with ``values`` as arrays; cells and array tiles as they are."""
+    return df.withColumn("values", unpack(F.col("values"))) if is_packed(df) else df
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """Tiles with ``values`` as packed bytes; array tiles pass through Python once, before a shuffle or a write."""
+    if is_packed(df):
+        return df
+    at = df.columns.index("values")
+    fields = list(df.schema.fields)
+    fields[at] = T.StructField("values", T.BinaryType())
+
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.set_column(at, "values", to_bytes(batch.column(at)))
+
+    return df.mapInArrow(convert, T.StructType(fields))
+
+
 def value_name(df: DataFrame) -> str:
     return "values" if is_tiled(df) else "value"
 
@@ -44,12 +72,13 @@ def geometry(df: DataFrame) -> list[str]:
     return [c for c in (TILE_GEOMETRY if is_tiled(df) else CELL_GEOMETRY) if c in df.columns]
 
 
-def per_element(tiled: bool, fn: Callable[..., Column], *cols: Column, kernel: Kernel | None = None) -> Column:
+def per_element(tiled: bool, fn: Callable[..., Column], *cols: Column, kernel: Kernel | None = None,
+                packed: bool = False) -> Column:
     """``fn`` on scalars, or on each position of one or two arrays (by its kernel, if there is one)."""
     if not tiled:
         return fn(*cols)
     if kernel is not None:
-        return on_tiles(kernel, *cols)
+        return on_tiles(kernel, *cols, packed=packed)
     if len(cols) == 1:
         return F.transform(cols[0], fn)
     return F.zip_with(cols[0], cols[1], fn)

@@ -9,7 +9,7 @@ from gridlake import kernels
 from gridlake.functions import names
 from gridlake.functions.times import epoch_seconds
 from gridlake.functions.wind import amount
-from gridlake.layout import bind, is_tiled, per_element, place_key, value_name
+from gridlake.layout import bind, is_packed, is_tiled, per_element, place_key, value_name
 from gridlake.rules import Rules, label_hours, literal
 
 AMOUNT_UNITS = "kg m-2"
@@ -60,7 +60,7 @@ def sliding_amounts(df: DataFrame, hours: list[int], keys: list[str], time: str
     Negative differences become zero, a missing predecessor gives a missing amount. ``wanted`` names an array
     column with the lengths a row asks for; without it each row gets all of them.
     """
-    tiled, value = is_tiled(df), value_name(df)
+    tiled, packed, value = is_tiled(df), is_packed(df), value_name(df)
     df = df.withColumn("_s", seconds if seconds is not None else epoch_seconds(F.col(time)))
     before = F.array(*[F.struct(F.lit(n).alias("acc_hours"),
                                 exact_lag(value, keys, F.col("_s"), n).alias("before")) for n in hours])
@@ -70,7 +70,8 @@ def sliding_amounts(df: DataFrame, hours: list[int], keys: list[str], time: str
     keep = [c for c in df.columns if c not in (value, "_before", "_s", "acc_hours")]
     out = df.select(*keep, value, F.explode(chosen).alias("_b"))
     return out.select(*keep, F.col("_b.acc_hours").alias("acc_hours"),
-                      per_element(tiled, amount, F.col(value), F.col("_b.before"), kernel=kernels.amount).alias(value))
+                      per_element(tiled, amount, F.col(value), F.col("_b.before"), kernel=kernels.amount,
+                                  packed=packed).alias(value))
 
 
 def accumulate(df: DataFrame, rules: Rules, dt_hours: float = 1.0, keys: list[str] | None = None,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridlake import kernels
 from gridlake.functions.wind import vector_direction, vector_magnitude
 from gridlake.kernels import on_tiles_by
-from gridlake.layout import geometry, is_tiled, place_key, value_name
+from gridlake.layout import geometry, is_packed, is_tiled, place_key, value_name
 from gridlake.rules import DerivedRule
 
 # recipe: function of two Columns, kernel for tiles
@@ -63,5 +63,6 @@ def derive(df: DataFrame, rules: list[DerivedRule], keys: list[str] | None = Non
     rows = rows.select(*keys, *level, *shape, "_r.*")
     if tiled:
         recipes = {k: RECIPES[k][1] for k in dict.fromkeys(r.kind for r in rules)}
-        rows = rows.withColumn(value, on_tiles_by(F.col("_kind"), recipes, F.col(value), F.col("_b")))
+        rows = rows.withColumn(value, on_tiles_by(F.col("_kind"), recipes, F.col(value), F.col("_b"),
+                                                  is_packed(df)))
     return rows.drop("_kind", "_b")

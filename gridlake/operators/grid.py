@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlake.kernels import Kernel
-from gridlake.layout import TILE_GEOMETRY, TILE_KEY
+from gridlake.layout import TILE_GEOMETRY, TILE_KEY, unpacked
 
 TILE_EDGE = 256
 
@@ -68,31 +68,33 @@ def cells_from_messages(df: DataFrame) -> DataFrame:
     return out.drop("_pos", "lats", "lons", "ni", "nj")
 
 
-def tiles_from_messages(df: DataFrame, edge: int = TILE_EDGE, by_formula: dict[str, Kernel] | None = None) -> DataFrame:
+def tiles_from_messages(df: DataFrame, edge: int = TILE_EDGE, by_formula: dict[str, Kernel] | None = None,
+                        packed: bool = False) -> DataFrame:
     """Split each array into blocks of at most ``edge`` x ``edge`` points; NaN becomes missing.
 
     With ``by_formula`` the kernel of a message's ``formula`` is applied to the whole message before. ``values`` is an
     array of FLOAT, or BINARY with the same numbers packed as little-endian float32, which is several times
-    faster to scan.
+    faster to scan; ``packed`` gives tiles in the same form.
 
     A map over Arrow batches without a shuffle. Built-in array functions can express it, but they box every element
     once per nesting level: on 245 million points they took 9 s, this takes 2 s.
     """
     keep = [c for c in df.columns if c not in ("values", "lats", "lons", "ni", "nj", "n_values")]
     ints, doubles = T.IntegerType(), T.ArrayType(T.DoubleType())
-    kinds = {"lats": doubles, "lons": doubles, "values": T.ArrayType(T.FloatType())}
+    kinds = {"lats": doubles, "lons": doubles, "values": T.BinaryType() if packed else T.ArrayType(T.FloatType())}
     schema = T.StructType([df.schema[c] for c in keep]
                           + [T.StructField(c, kinds.get(c, ints)) for c in (*TILE_KEY, *TILE_GEOMETRY, "values")])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield _split_batch(batch, keep, edge, by_formula or {})
+                yield _split_batch(batch, keep, edge, by_formula or {}, packed)
 
     return df.select(*keep, "ni", "nj", "lats", "lons", "values").mapInArrow(split, schema)
 
 
-def _split_batch(batch: pa.RecordBatch, keep: list[str], edge: int, by_formula: dict[str, Kernel]) -> pa.RecordBatch:
+def _split_batch(batch: pa.RecordBatch, keep: list[str], edge: int, by_formula: dict[str, Kernel],
+                 packed: bool) -> pa.RecordBatch:
     def lists(name: str) -> tuple[np.ndarray, np.ndarray]:
         column = batch.column(name)
         if not pa.types.is_list(column.type):
@@ -121,17 +123,20 @@ def _split_batch(batch: pa.RecordBatch, keep: list[str], edge: int, by_formula:
     picked = pa.array(rows, pa.int64())
     columns = [batch.column(c).take(picked) for c in keep]
     columns += [pa.array(c, pa.int32()) for c in np.array(place, "int32").reshape(-1, 8).T]
-    columns += [_list_array(parts, nan_is_missing=n) for parts, n in ((lat_parts, 0), (lon_parts, 0), (values, 1))]
+    columns += [_list_array(parts, nan_is_missing=False) for parts in (lat_parts, lon_parts)]
+    columns.append(pa.array([v.astype("<f4", copy=False).tobytes() for v in values], pa.binary()) if packed
+                   else _list_array(values, nan_is_missing=True))
     return pa.RecordBatch.from_arrays(columns, names=[*keep, *TILE_KEY, *TILE_GEOMETRY, "values"])
 
 
-def _list_array(parts: list[np.ndarray], nan_is_missing: int) -> pa.ListArray:
+def _list_array(parts: list[np.ndarray], nan_is_missing: bool) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype("int32")
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts), from_pandas=bool(nan_is_missing)))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts), from_pandas=nan_is_missing))
 
 
 def cells_from_tiles(df: DataFrame) -> DataFrame:
     """One row per grid point of a tile; a tile without values gives missing cells."""
+    df = unpacked(df)
     keep = [c for c in df.columns if c not in TILE_KEY + TILE_GEOMETRY + ["values"]]
     filled = F.coalesce("values", F.array_repeat(F.lit(None).cast("float"), F.col("h") * F.col("w")))
     out = df.select(*keep, "y0", "x0", "w", "lats", "lons", F.posexplode(filled).alias("_pos", "value"))

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.layout import is_tiled, per_element, value_name
+from gridlake.layout import is_tiled, per_element, unpacked, value_name
 from gridlake.operators.align import time_axes
 
 
@@ -97,6 +97,7 @@ def stride(cells: DataFrame, step: int) -> DataFrame:
 
 def clip(df: DataFrame, low: float | None = None, high: float | None = None) -> DataFrame:
     """Limit values to a range with optional sides; missing stays missing."""
+    df = unpacked(df)
     tiled, value = is_tiled(df), value_name(df)
     kind = "float" if tiled else df.schema[value].dataType
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.layout import is_tiled
+from gridlake.layout import is_tiled, unpacked
 
 REGIONAL_SPAN = 350
 
@@ -33,6 +33,7 @@ def axis_steps(axis: DataFrame, keys: list[str], position: str, coordinate: str)
 
 def symmetric_limit(df: DataFrame, keys: list[str]) -> DataFrame:
     """Largest absolute value, missing skipped."""
+    df = unpacked(df)
     if is_tiled(df):
         size = F.greatest(F.abs(F.array_max("values")), F.abs(F.array_min("values")))
         return df.groupBy(*keys).agg(F.max(size).alias("max_abs"))
@@ -41,6 +42,7 @@ def symmetric_limit(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def field_mean(df: DataFrame, keys: list[str]) -> DataFrame:
     """Mean over present cells, and how many are missing (a mean that must not skip any is NULL if that is not 0)."""
+    df = unpacked(df)
     if is_tiled(df):
         present = F.filter("values", lambda x: x.isNotNull())
         total = F.aggregate(present, F.lit(0.0), lambda acc, x: acc + x)
@@ -86,7 +88,7 @@ def coarsen_tiles(tiles: DataFrame, k: int) -> DataFrame:
         middle = lambda i: F.aggregate(F.slice(name, i * k + 1, F.lit(k)), F.lit(0.0), lambda a, x: a + x) / k
         return F.transform(F.sequence(F.lit(0), n - 1), middle)
 
-    full = tiles.filter((h > 0) & (w > 0))
+    full = unpacked(tiles).filter((h > 0) & (w > 0))
     aligned = F.assert_true((F.col("y0") % k == 0) & (F.col("x0") % k == 0), F.lit("tile origin is no multiple of k"))
     return full.withColumns({
         "values": F.when(aligned.isNull(), F.transform(F.sequence(F.lit(0), h * w - 1), mean)),
@@ -108,6 +110,7 @@ def field_diff(a: DataFrame, b: DataFrame, on: list[str], keys: list[str] | None
     Works on cells and on tiles; for tiles the places have to agree.
     """
     keys = keys or []
+    a, b = unpacked(a), unpacked(b)
     if is_tiled(a):
         pair = a.select(*on, F.col("values").alias("_a")).join(b.select(*on, F.col("values").alias("_b")), on, "full")
         gaps = F.size(F.filter(F.zip_with("_a", "_b", lambda x, y: x.isNull() != y.isNull()), lambda t: t))

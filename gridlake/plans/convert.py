@@ -16,8 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.functions import names, units
-from gridlake.kernels import pack, unpack
-from gridlake.layout import FIELD_KEY, TILE_GEOMETRY, TILE_KEY
+from gridlake.layout import FIELD_KEY, TILE_GEOMETRY, TILE_KEY, packed, unpacked
 from gridlake.operators import accum, align, derived, grid, routing
 from gridlake.operators.grid import valid_shape
 from gridlake.rules import DerivedRule, Rules, load_rules
@@ -130,9 +129,10 @@ def is_source(rules: Rules) -> Column:
 def base_tiles(decoded: DataFrame, edge: int, compat: bool) -> DataFrame:
     """Tiles of decoded messages with missing data as NULL and units converted; rows stay where they are."""
     by_kernel = units.formula_kernels(compat)
-    df = grid.tiles_from_messages(decoded, edge, by_kernel)
-    df = df.withColumn("values", units.apply_formula(F.col("values"), F.col("formula"), tiled=True, compat=compat,
-                                                     without=by_kernel))
+    df = grid.tiles_from_messages(decoded, edge, by_kernel, packed=True)
+    if units.formulas_without_kernel():
+        converted = units.apply_formula(F.col("values"), F.col("formula"), tiled=True, compat=compat, without=by_kernel)
+        df = packed(unpacked(df).withColumn("values", converted))
     df = df.withColumns({"units": units.formula_units(F.col("formula"), F.col("units"), compat),
                          "acc_hours": F.lit(None).cast("int"), "dt_hours": F.lit(None).cast("double")})
     return df.select(*TILE_COLUMNS)
@@ -231,7 +231,7 @@ def cells_to_groups(cells: DataFrame, rules: Rules, run_id: str | None = None, d
         if name not in cells.columns:
             cells = cells.withColumn(name, F.lit(None).cast(kind))
     cells = cells.withColumn("value", units.nan_to_null(F.col("value").cast("float")))
-    tiles = grid.tiles_from_cells(cells, [*FIELD_KEY, "valid_time"], edge)
+    tiles = packed(grid.tiles_from_cells(cells, [*FIELD_KEY, "valid_time"], edge))
     tiles = tiles.withColumns({"acc_hours": F.lit(None).cast("int"), "dt_hours": F.lit(None).cast("double")}) \
         .select(*TILE_COLUMNS)
     if stage is not None:
@@ -244,10 +244,9 @@ def table_stage(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
     """Stage by writing a table to the shared scratch folder, one directory per variable."""
     def stage(df: DataFrame) -> DataFrame:
         path = scratch_dir(spark)
-        packed = df.withColumn("values", pack(F.col("values")))
-        packed.write.option("parquet.enable.dictionary#values", "false").partitionBy("var").parquet(path)
-        back = spark.read.schema(packed.schema).parquet(path)
-        return back.withColumn("values", unpack(F.col("values"))).select(*df.columns)
+        packed_df = packed(df)
+        packed_df.write.option("parquet.enable.dictionary#values", "false").partitionBy("var").parquet(path)
+        return spark.read.schema(packed_df.schema).parquet(path).select(*df.columns)
 
     return stage
 

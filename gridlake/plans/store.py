@@ -12,11 +12,11 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridlake.functions import text
 from gridlake.functions.times import iso_text
-from gridlake.kernels import pack, unpack
+from gridlake.kernels import unpack
+from gridlake.layout import packed
 from gridlake.operators import select
 from gridlake.operators.grid import cells_from_tiles
 from gridlake.operators.summary import time_head_tail
@@ -44,9 +44,9 @@ def write_groups(groups: DataFrame, store_dir: str, compact: bool = True, run_id
     ``compact`` rebalances by variable, so files are of even size and hold few variables; adaptive execution splits
     a variable that is much larger than the others. Spark's commit makes the new files visible at the end.
     """
+    groups = packed(groups)
     out = groups.hint("rebalance", *PARTITIONS, "var") if compact else groups
-    out = out.sortWithinPartitions(*SORT).withColumn("values", pack(F.col("values")))
-    out.write.mode("overwrite").options(**WRITE_OPTIONS) \
+    out.sortWithinPartitions(*SORT).write.mode("overwrite").options(**WRITE_OPTIONS) \
         .partitionBy(*PARTITIONS).parquet(f"{store_dir}/tiles")
     spark = groups.sparkSession
     written = spark.read.parquet(f"{store_dir}/tiles")
@@ -85,8 +85,6 @@ def open_store(spark: SparkSession, path: str, run_id: str | None = None) -> "Gr
             continue
         if not {"var", "valid_time", "values"} <= set(table.columns):
             raise ValueError(f"{path} is no table of tiles")
-        if isinstance(table.schema["values"].dataType, T.BinaryType):
-            table = table.withColumn("values", unpack(F.col("values")))
         name = path.rstrip("/").rsplit("/", 1)[-1]
         for column, default in (("run_id", name), ("grp", name.rsplit(".", 1)[0])):
             if column not in table.columns:
@@ -218,11 +216,12 @@ class GridStore:
 
     def point_series(self, var: str, iy: int, ix: int, group: str | None = None) -> DataFrame:
         """All times of one grid point: only the tiles that hold the point are read, and one element of each."""
-        tiles = self.read_tiles(var, group=group)
+        tiles = packed(self.read_tiles(var, group=group))
         tiles = tiles.filter((F.col("y0") <= iy) & (F.col("y0") + F.col("h") > iy)
                              & (F.col("x0") <= ix) & (F.col("x0") + F.col("w") > ix))
         at = (F.lit(iy) - F.col("y0")) * F.col("w") + F.lit(ix) - F.col("x0")
-        return tiles.select("run_id", "var", "level", "valid_time", F.get("values", at).alias("value"))
+        return tiles.select("run_id", "var", "level", "valid_time", 
+                            F.get(unpack(F.substring("values", at * 4 + 1, F.lit(4))), F.lit(0)).alias("value"))
 
     def read_box(self, var: str, lonmin: float, lonmax: float, latmin: float, latmax: float,
                  timestep: int | str | None = None, group: str | None = None) -> DataFrame:
