@@ -49,6 +49,26 @@ def _kind(packed: bool) -> T.DataType:
     return T.BinaryType() if packed else T.ArrayType(T.FloatType())
 
 
+def block_means(values: Column, h: Column, w: Column, k: int, packed: bool = False) -> Column:
+    """Means of the k x k blocks of each tile, missing points aside; rows and columns that fill no block drop out."""
+    def one(points: np.ndarray, rows: int, cols: int) -> np.ndarray:
+        whole = points.reshape(rows, cols)[:rows // k * k, :cols // k * k].astype("float64")
+        blocks = whole.reshape(rows // k, k, cols // k, k)
+        count = (~np.isnan(blocks)).sum(axis=(1, 3))
+        total = np.nansum(blocks, axis=(1, 3))
+        return np.where(count > 0, total / np.maximum(count, 1), np.nan).astype("<f4").ravel()
+
+    def run(a: pa.Array, rows: pa.Array, cols: pa.Array) -> pa.Array:
+        valid = a.is_valid()
+        sizes = [(r, c) for r, c, v in zip(rows.to_pylist(), cols.to_pylist(), valid.to_pylist()) if v]
+        cuts = np.cumsum([r * c for r, c in sizes])[:-1]
+        parts = [one(p, *size) for p, size in zip(np.split(_points(a, valid), cuts), sizes)]
+        lengths = [(r // k) * (c // k) for r, c in zip(rows.to_pylist(), cols.to_pylist())]
+        return _encode(np.concatenate(parts or [np.empty(0, "<f4")]), valid, pa.array(lengths, pa.int32()), packed)
+
+    return F.arrow_udf(run, _kind(packed), F.ArrowUDFType.SCALAR)(values, h, w)
+
+
 def unpack(packed: Column) -> Column:
     """Packed tiles to arrays of FLOAT; NaN becomes missing.
 

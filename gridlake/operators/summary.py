@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.layout import is_tiled, unpacked
+from gridlake.kernels import block_means
+from gridlake.layout import is_packed, is_tiled, unpacked
 
 REGIONAL_SPAN = 350
 
@@ -75,24 +76,15 @@ def coarsen_tiles(tiles: DataFrame, k: int) -> DataFrame:
     """
     h, w = (F.floor(F.col(c) / k).cast("int") for c in ("h", "w"))
 
-    def mean(b: Column) -> Column:
-        bx = b % w
-        by = ((b - bx) / w).cast("int")
-        rows = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                           lambda r: F.slice("values", (by * k + r) * F.col("w") + bx * k + 1, F.lit(k)))
-        present = F.filter(F.flatten(rows), lambda x: x.isNotNull())
-        total = F.aggregate(present, F.lit(0.0), lambda acc, x: acc + x)
-        return (total / F.nullif(F.size(present), F.lit(0))).cast("float")
-
     def axis(name: str, n: Column) -> Column:
         middle = lambda i: F.aggregate(F.slice(name, i * k + 1, F.lit(k)), F.lit(0.0), lambda a, x: a + x) / k
         return F.transform(F.sequence(F.lit(0), n - 1), middle)
 
-    full = unpacked(tiles).filter((h > 0) & (w > 0))
+    full = tiles.filter((F.col("h") >= k) & (F.col("w") >= k))
     aligned = F.assert_true((F.col("y0") % k == 0) & (F.col("x0") % k == 0), F.lit("tile origin is no multiple of k"))
+    means = block_means(F.col("values"), F.col("h"), F.col("w"), k, is_packed(tiles))
     return full.withColumns({
-        "values": F.when(aligned.isNull(), F.transform(F.sequence(F.lit(0), h * w - 1), mean)),
-        "lats": axis("lats", h), "lons": axis("lons", w), "h": h, "w": w,
+        "values": F.when(aligned.isNull(), means), "lats": axis("lats", h), "lons": axis("lons", w), "h": h, "w": w,
         "y0": (F.col("y0") / k).cast("int"), "x0": (F.col("x0") / k).cast("int"),
         "ny": F.floor(F.col("ny") / k).cast("int"), "nx": F.floor(F.col("nx") / k).cast("int"),
     })

@@ -20,8 +20,8 @@ SAMPLE_FILES = 5
 
 
 def list_files(spark: SparkSession, directory: str) -> DataFrame:
-    """(path, length, modified) of the plain files of one directory, by path. Names with a leading ``_`` or ``.``
-    are hidden by Spark."""
+    """(path, length, modified) of the plain files of one directory, by path. Spark leaves out names with a
+    leading ``_`` or ``.`` and files without content."""
     return spark.read.format("binaryFile").load(directory) \
         .select("path", "length", F.col("modificationTime").alias("modified")).orderBy("path")
 

@@ -139,7 +139,7 @@ def grid_tiles(spark, sf_dir):
 
 
 COARSE_SQL = f"""WITH {GR_SQL} SELECT vec_id, CAST(iy // 2 AS INTEGER) AS iy, CAST(ix // 2 AS INTEGER) AS ix, avg(lat) AS lat,
-round(avg(CAST(value AS DOUBLE)), 5) + 0.0 AS value FROM gr GROUP BY 1, 2, 3"""
+round(CAST(CAST(avg(CAST(value AS DOUBLE)) AS FLOAT) AS DOUBLE), 5) + 0.0 AS value FROM gr GROUP BY 1, 2, 3"""
 
 
 def _r5(column):
@@ -150,6 +150,13 @@ def _r5(column):
 def grid_coarsen(spark, sf_dir):
     """2 x 2 block means over cells."""
     return summary.coarsen(_cells(spark, sf_dir), 2, ["vec_id"], 8, 8) \
+        .select("vec_id", "iy", "ix", "lat", _r5(F.col("value").cast("float")).alias("value"))
+
+
+@query(COARSE_SQL)
+def grid_coarsen_tiles(spark, sf_dir):
+    """The same inside tiles, without a shuffle."""
+    return grid.cells_from_tiles(summary.coarsen_tiles(_tiles(spark, sf_dir), 2)) \
         .select("vec_id", "iy", "ix", "lat", _r5(F.col("value")).alias("value"))
 
 
