@@ -89,8 +89,7 @@ def replace_variables(df: DataFrame, new: DataFrame, new_names: DataFrame | None
     """
     on = on or [c for c in ("run_id", "var") if c in df.columns]
     listed = (new_names if new_names is not None else new).select(*on).distinct()
-    kept = df.join(listed, on, "left_anti")
-    return kept.unionByName(new, allowMissingColumns=True)
+    return drop_listed(df, listed, on).unionByName(new, allowMissingColumns=True)
 
 
 def present(df: DataFrame) -> DataFrame:

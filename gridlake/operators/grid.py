@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from gridlake.kernels import Kernel
 from gridlake.layout import TILE_GEOMETRY, TILE_KEY, unpacked
+from gridlake.session import broadcast_if_small
 
 TILE_EDGE = 256
 
@@ -178,7 +179,8 @@ def tiles_from_cells(cells: DataFrame, keys: list[str], edge: int = TILE_EDGE) -
         F.map_from_entries(F.collect_set(F.struct("iy", "lat"))).alias("_lat"),
         F.map_from_entries(F.collect_set(F.struct("ix", "lon"))).alias("_lon"),
         *[F.first(c, ignorenulls=True).alias(c) for c in rest])
-    out = packed.join(grid, "run_id").withColumns({"y0": F.col("ty") * edge, "x0": F.col("tx") * edge})
+    # One row per run, and every tile of a run has the same key: this join must not shuffle the tiles if it can help it.
+    out = packed.join(broadcast_if_small(grid), "run_id").withColumns({"y0": F.col("ty") * edge, "x0": F.col("tx") * edge})
     out = out.withColumns({"h": F.least(F.lit(edge), F.col("ny") - F.col("y0")),
                            "w": F.least(F.lit(edge), F.col("nx") - F.col("x0"))})
     rows, cols = (F.sequence(a, a + n - 1) for a, n in ((F.col("y0"), F.col("h")), (F.col("x0"), F.col("w"))))

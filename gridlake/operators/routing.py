@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridlake.functions.names import group_hours
 from gridlake.operators.align import time_positions
 from gridlake.rules import GroupRule, Rules
+from gridlake.session import broadcast_if_small
 
 DEFAULT_GROUP = "surface"
 
@@ -78,5 +79,5 @@ def kept_times(df: DataFrame, axis: DataFrame | None = None, time: str = "valid_
 
 
 def trim_leading(df: DataFrame, axis: DataFrame | None = None, time: str = "valid_time") -> DataFrame:
-    """Drop the first steps of N-hour groups by position; the list of kept times is header-sized."""
-    return df.join(kept_times(df, axis, time), ["run_id", "grp", time], "left_semi")
+    """Drop the first steps of N-hour groups by position; the list of kept times is header-sized and counted."""
+    return df.join(broadcast_if_small(kept_times(df, axis, time)), ["run_id", "grp", time], "left_semi")

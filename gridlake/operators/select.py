@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gridlake.layout import is_tiled, per_element, unpacked, value_name
 from gridlake.operators.align import time_axes
+from gridlake.session import broadcast_if_small
 
 
 def variables(df: DataFrame, names: list[str]) -> DataFrame:
@@ -28,20 +29,21 @@ def read_field(df: DataFrame, var: str, group: str | None = None) -> DataFrame:
     field = df.filter(F.col("var") == var)
     if group is not None:
         return field.filter(F.col("grp") == group)
-    # One row of group names decides; the rows themselves are only filtered by it.
-    return field.join(first_group(df, var), ["var", "grp"], "left_semi")
+    # Exactly one row (one variable, its first group) decides, and all rows share its key: they are filtered in place.
+    return field.join(F.broadcast(first_group(df, var)), ["var", "grp"], "left_semi")
 
 
 def at_position(df: DataFrame, index: int, keys: list[str], time: str = "valid_time") -> DataFrame:
     """The step at a position of each field's sorted times; negative counts from the end.
 
-    A field with a single time is returned as it is.
+    A field with a single time is returned as it is. The list of picked times has a row per field; it is counted, so
+    that the data are filtered in place if it is small.
     """
     at = index + 1 if index >= 0 else index
     picked = F.when(F.col("n_times") > 1, F.array_compact(F.array(F.try_element_at("times", F.lit(at))))) \
         .otherwise(F.col("times"))
     keep = time_axes(df, keys, time).select(*keys, F.explode(picked).alias(time))
-    return df.join(keep, [*keys, time], "left_semi")
+    return df.join(broadcast_if_small(keep), [*keys, time], "left_semi")
 
 
 _PARTS = re.compile(r"^(\d{4})(?:-(\d{2})(?:-(\d{2})(?:[T ](\d{2})(?::(\d{2})(?::(\d{2}(?:\.\d+)?))?)?)?)?)?$")

@@ -20,7 +20,7 @@ from gridlake.layout import FIELD_KEY, TILE_GEOMETRY, TILE_KEY, packed, unpacked
 from gridlake.operators import accum, align, derived, grid, routing
 from gridlake.operators.grid import valid_shape
 from gridlake.rules import DerivedRule, Rules, load_rules
-from gridlake.session import apply_settings, local_if_small, scratch_dir
+from gridlake.session import apply_settings, local_if_small, remove_dir, scratch_dir
 from gridlake.sources import files, messages as msg
 
 log = logging.getLogger(__name__)
@@ -186,17 +186,20 @@ def assemble(base: DataFrame, sources: DataFrame, facts: DataFrame, rules: Rules
 
 def messages_to_groups(table: DataFrame, fmt: str, rules: Rules, run_id: str | None = None, dt_hours: float = 1.0,
                        edge: int = grid.TILE_EDGE, compat: bool = False,
-                       stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                       stage: Callable[[DataFrame], DataFrame] | None = None,
+                       cached: list[DataFrame] | None = None) -> DataFrame:
     """All tiles of one or many runs with their group.
 
     ``run_id`` names the run; without it the table has a ``run_id`` column and any number of runs. ``stage`` may
     write the source tiles of derived fields to a table and read them back, so that the arrays are decoded once
-    for all derivations and a lost executor does not repeat it.
+    for all derivations and a lost executor does not repeat it. ``cached`` receives what to unpersist after the write.
     """
     table = with_run(table, run_id)
     decoded = decoder(fmt)(table, rules, compat).filter(F.col("valid_time").isNotNull())
     headers = decoded.select("run_id", *msg.HEADER, "ni", "nj", valid_shape(decoded).alias("_ok")) \
         .persist(StorageLevel.MEMORY_AND_DISK)
+    if cached is not None:
+        cached.append(headers)
     facts = local_if_small(header_facts(headers))
     if not facts.take(1):
         raise EmptyRun("no message of the run is mapped to a variable")
@@ -240,10 +243,11 @@ def cells_to_groups(cells: DataFrame, rules: Rules, run_id: str | None = None, d
     return assemble(tiles, tiles.filter(is_source(rules)), facts, rules, dt_hours, compat)
 
 
-def table_stage(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
-    """Stage by writing a table to the shared scratch folder, one directory per variable."""
+def table_stage(spark: SparkSession, made: list[str]) -> Callable[[DataFrame], DataFrame]:
+    """Stage by writing a table to the shared scratch folder, one directory per variable; ``made`` receives its path."""
     def stage(df: DataFrame) -> DataFrame:
         path = scratch_dir(spark)
+        made.append(path)
         packed_df = packed(df)
         packed_df.write.option("parquet.enable.dictionary#values", "false").partitionBy("var").parquet(path)
         return spark.read.schema(packed_df.schema).parquet(path).select(*df.columns)
@@ -263,20 +267,27 @@ def convert(spark: SparkSession, input_dir: str, store_dir: str, model: str, run
     from gridlake.plans.store import write_groups
 
     apply_settings(spark)
+    scratch: list[str] = []
+    cached: list[DataFrame] = []
     try:
         rules = rules or load_rules(spark, rules_dir)
         run_id = f"{model}_{run}"
         fmt = files.ALIASES.get(fmt.lower(), fmt.lower()) if fmt else table_format(spark, input_dir)
-        settings = (rules, run_id, dt_hours, edge, compat, table_stage(spark))
+        settings = (rules, run_id, dt_hours, edge, compat, table_stage(spark, scratch))
         if fmt == "netcdf":
             groups = cells_to_groups(msg.read_cells(spark, input_dir), *settings)
         else:
-            groups = messages_to_groups(msg.read_messages(spark, input_dir), fmt, *settings)
+            groups = messages_to_groups(msg.read_messages(spark, input_dir), fmt, *settings, cached)
         write_groups(groups, store_dir, run_ids=[run_id])
         return True
     except Exception as err:
         log.error("conversion of %s failed: %s", input_dir, err)
         return False
+    finally:
+        for df in cached:
+            df.unpersist()
+        for path in scratch:
+            remove_dir(spark, path)
 
 
 def table_format(spark: SparkSession, input_dir: str) -> str:

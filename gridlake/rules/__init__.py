@@ -139,22 +139,15 @@ def default_rules() -> Rules:
     )
 
 
-# Names of the rule files a caller may supply.
-FA_FILE = "fa_definitions.json"
-GRIB_FILE = "grib_definitions.json"
-GROUP_FILE = "zarr_groups.json"
-
-
-def load_rules(spark: SparkSession, rules_dir: str | None = None) -> Rules:
+def load_rules(spark: SparkSession, rules_dir: str | None = None, fa_file: str = "fa.json",
+               grib_file: str = "grib.json", group_file: str = "groups.json") -> Rules:
     """Rules from a directory of JSON files on any file system Spark can reach, else the shipped ones.
 
     A missing or broken file gives empty sections and a warning; the other files still count.
     """
     if rules_dir is None:
         return default_rules()
-    fa = _read_json(spark, f"{rules_dir}/{FA_FILE}")
-    grib = _read_json(spark, f"{rules_dir}/{GRIB_FILE}")
-    groups = _read_json(spark, f"{rules_dir}/{GROUP_FILE}")
+    fa, grib, groups = (_read_json(spark, f"{rules_dir}/{name}") for name in (fa_file, grib_file, group_file))
     return Rules(
         fa_fields=_field_rules(fa.get("fields", {})),
         fa_levels=tuple(LevelRule(prefix, info["type"], info.get("factor", 1))

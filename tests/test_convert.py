@@ -236,3 +236,45 @@ def test_changing_grid_is_refused(spark, tmp_path):
     large, _ = grib_run({("2t", "heightAboveGround", 2): lambda g, s: g.uniform(0, 1, 30)}, [3], nj=5)
     frame(spark, small + large).write.parquet(f"{tmp_path}/in")
     assert not convert(spark, f"{tmp_path}/in", f"{tmp_path}/out", "arome", "2025102200")
+
+
+def test_many_runs_at_once(spark):
+    from pyspark.sql import functions as F
+
+    from gridlake import default_rules
+    from gridlake.operators.grid import cells_from_tiles
+    from gridlake.plans.convert import messages_to_groups
+
+    first, truth1 = fa_run({"SURFACCPLUIE": CODES["SURFACCPLUIE"]}, [0, 3], seed=1)
+    second, truth2 = fa_run({"SURFACCPLUIE": CODES["SURFACCPLUIE"]}, [0, 3], seed=2)
+    both = frame(spark, first).withColumn("run_id", F.lit("a")).unionByName(frame(spark, second).withColumn("run_id", F.lit("b")))
+    groups = messages_to_groups(both, "fa", default_rules(), edge=4)
+    for run, truth in (("a", truth1), ("b", truth2)):
+        cells = cells_from_tiles(groups.filter((F.col("run_id") == run) & (F.col("var") == "tp_3h")))
+        diff = truth["SURFACCPLUIE", 3] - truth["SURFACCPLUIE", 0]
+        assert np.array_equal(as_grid(cells, 5, 7), np.maximum(diff, np.float32(0)))
+
+
+def test_compat_keeps_one_field_per_name(spark, tmp_path):
+    fields = {("t", "heightAboveGround", 850): lambda g, s: g.uniform(260, 310, 24),
+              ("t", "isobaricInhPa", 850): lambda g, s: g.uniform(260, 310, 24)}
+    rows, truth = grib_run(fields, [0, 3])
+    frame(spark, rows).write.parquet(f"{tmp_path}/in")
+    assert convert(spark, f"{tmp_path}/in", f"{tmp_path}/out", "arome", "2025102200", compat=True)
+    store = open_store(spark, f"{tmp_path}/out", "arome_2025102200")
+    assert [r["grp"] for r in store.groups().collect()] == ["alt_pressure"]
+    assert np.array_equal(as_grid(store.readfield("t850", 0), 4, 6), truth["t", "isobaricInhPa", 850, 0] - np.float32(273.15))
+
+
+def test_packed_messages(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from gridlake.kernels import to_bytes
+
+    rows, truth = fa_run({"CLSTEMPERATURE": CODES["CLSTEMPERATURE"]}, [0, 1])
+    pack = F.arrow_udf(lambda a: to_bytes(a), T.BinaryType(), F.ArrowUDFType.SCALAR)
+    frame(spark, rows).withColumn("values", pack("values")).write.parquet(f"{tmp_path}/in")
+    assert convert(spark, f"{tmp_path}/in", f"{tmp_path}/out", "arome", "2026081900", edge=4)
+    store = open_store(spark, f"{tmp_path}/out", "arome_2026081900")
+    assert np.array_equal(as_grid(store.readfield("t2", 1), 5, 7), truth["CLSTEMPERATURE", 1] - np.float32(273.15))

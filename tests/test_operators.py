@@ -284,11 +284,11 @@ def test_shipped_rules(spark):
 
 
 def test_rules_from_files(spark, tmp_path):
-    (tmp_path / "fa_definitions.json").write_text(json.dumps({
+    (tmp_path / "fa.json").write_text(json.dumps({
         "fields": {"ABC": {"shortname": "abc", "formula": "k2c"}}, "levels": {"P": {"type": "isobaric", "factor": 0.01}},
         "accumulations": {"abc": ["RR6h", "none"]},
         "derived_fields": {"x": {"unit": "m", "recipe": {"type": "vector_magnitude", "sources": ["a", "b"]}}}}))
-    (tmp_path / "zarr_groups.json").write_text("{ broken")
+    (tmp_path / "groups.json").write_text("{ broken")
     rules = load_rules(spark, str(tmp_path))
     assert rules.fa_fields[0].long_name == "abc" and rules.fa_fields[0].units == "unknown"
     assert rules.accumulation_hours == [6] and rules.groups == () and rules.grib_fields == ()
