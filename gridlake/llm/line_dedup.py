@@ -9,38 +9,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import release, settle
+from .common import release, settle, written
 
 #: Shorter lines (in characters) are neither removed nor compared.
 LEAST = 20
 
 
-def line_rows(docs: DataFrame, least: int) -> DataFrame:
-    """``doc, sub, no, line, h1, h2`` of the lines of ``docs(doc, sub, text)`` with at least ``least`` characters."""
-    lines = docs.select("doc", "sub", F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
-    return lines.where(F.char_length("line") >= least).select(
-        "doc", "sub", "no", "line", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(7)).alias("h2"))
+def line_rows(docs: DataFrame, least: int, with_keys: bool) -> DataFrame:
+    """``doc, sub, no, h1, h2, keys`` of the lines of ``docs(doc, sub, text)`` with at least ``least`` characters."""
+    lines = docs.select("doc", "sub", F.posexplode(F.split("text", "\n", -1)).alias("no", "line")).withColumn("n", F.char_length("line"))
+    lines = lines.where(F.col("n") >= least).withColumn("q", (F.floor(F.col("n") / 8) * 2).cast("int"))
+    lines = lines.withColumn("p", F.when(F.col("n") % 8 == 0, F.col("q") - 2).cast("int"))
+    keys = part_keys() if with_keys else F.lit(None).cast("array<bigint>")
+    return lines.select("doc", "sub", "no", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(7)).alias("h2"), "q", "p", keys.alias("keys"))
 
 
 def part_keys() -> F.Column:
-    """Keys ``(side, q, key)`` of the parts that a line shares with a line one edit away.
+    """Keys of the parts that a line shares with a line one edit away.
 
     Both agree before and behind the edit, so with quarters of q characters they agree in three of four quarters: in front, behind, or on
-    both sides. q comes from the length in steps of eight; at a step the smaller q is a key as well, for the line that is one shorter.
+    both sides. q comes from the length in steps of eight; at a step the smaller one, p, has keys as well, for the line that is one shorter.
     """
     made = []
     for q in ("q", "p"):
         for side, parts in enumerate(("left(line, 3*{q})", "concat(left(line, 2*{q}), right(line, {q}))", "concat(left(line, {q}), right(line, 2*{q}))", "right(line, 3*{q})")):
-            part = parts.format(q=q)
-            made.append(f"if({q} is null, null, named_struct('side', {side}, 'q', {q}, 'key', xxhash64({part}, {side}, {q})))")
-    return F.expr(f"filter(array({', '.join(made)}), x -> x is not null)")
+            made.append(f"xxhash64({parts.format(q=q)}, {side}, {q})")
+    return F.expr(f"if(p is null, array({', '.join(made[:4])}), array({', '.join(made)}))")
 
 
 def keyed_lines(lines: DataFrame) -> DataFrame:
-    n = F.char_length("line")
-    return (lines.withColumn("q", (F.floor(n / 8) * 2).cast("int"))
-            .withColumn("p", F.when(n % 8 == 0, F.col("q") - 2).cast("int"))
-            .select("h1", "h2", F.explode(part_keys()).alias("k")).select("h1", "h2", "k.side", "k.q", "k.key"))
+    at = F.col("at")
+    return lines.select("h1", "h2", "q", "p", F.posexplode("keys").alias("at", "key")).select(
+        "h1", "h2", (at % 4).alias("side"), F.when(at < 4, F.col("q")).otherwise(F.col("p")).alias("q"), "key")
 
 
 def variant_rows(lines: DataFrame) -> DataFrame:
@@ -101,8 +101,8 @@ def dedup_lines(documents: DataFrame, least: int = LEAST, edits: int = 1) -> Dat
     spark = documents.sparkSession
     place = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64("text").alias("sub")]
     docs = documents.where("text is not null").select(*place, "text")
-    lines = line_rows(docs, least)
-    narrow = lines.drop("line")
+    lines = written(line_rows(docs, least, bool(edits)))
+    narrow = lines.select("doc", "sub", "no", "h1", "h2")
     firsts = settle(narrow.groupBy("h1", "h2").agg(F.min(F.struct("doc", "sub", "no")).alias("first"), F.count("*").alias("c")))
     gone = None
     if edits:

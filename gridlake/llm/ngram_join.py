@@ -112,8 +112,9 @@ def ordered_sets(texts: list, words: int, levels: np.ndarray) -> tuple[np.ndarra
     """The sets of all texts, each in the global order (level, hash), and where each ends."""
     hashes, of = shingle_hashes(texts, words)
     key = (levels[(hashes >> np.uint64(44)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (hashes & np.uint64((1 << 56) - 1))
-    order = np.lexsort((key, of))
-    key, of = key[order], of[order]
+    ends = np.searchsorted(of, np.arange(len(texts)), "right").tolist()
+    for start, end in zip([0, *ends], ends, strict=False):
+        key[start:end].sort()
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (of[1:] != of[:-1])
     key, of = key[new], of[new]

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 #: Chunks kept per worker in each of two generations, and the longest one that is kept.
-CACHE, CACHE_CHARS = 400_000, 40
+CACHE, CACHE_CHARS = 600_000, 40
 
 
 class PieceCodec:
@@ -47,8 +47,20 @@ class PieceCodec:
         self.matcher.make_automaton()
         #: Character pairs that stand together in a piece; no merge crosses any other place.
         self.joins = {p[k - 1:k + 1] for p in self.ids for k in range(1, len(p))}
-        self.cache: dict[str, tuple[str, str]] = {}
-        self.older: dict[str, tuple[str, str]] = {}
+        # Strings only: the collector of cyclic garbage need not walk them.
+        self.cache: dict[str, str] = {}
+        self.older: dict[str, str] = {}
+        self.texts = {str(i): p.replace(SPACE, " ") for i, p in enumerate(self.pieces) if i in self.rank} | {
+            str(i): chr(b) for i, b in self.of_byte.items() if b < 128}
+        # Marks that no piece joins to a letter or digit are cut off at once, so that fewer different chunks are looked up.
+        inner = {c for c in self.chars if c.isalpha() or c in "0123456789"}
+        marks, more = self.chars - inner - {SPACE}, {""}
+        while more:
+            more = {c for j in self.joins if SPACE not in j for c in j if c in marks and not set(j) <= marks}
+            marks -= more
+        cut = "\n" + re.escape("".join(sorted(marks)))
+        self.cells = re.compile(f"{SPACE}*[^{SPACE}{cut}]+|{SPACE}*[{cut}]+|{SPACE}+").findall
+        self.marks = marks
 
     def merged(self, text: str) -> list[int]:
         """Merging by its definition: the best adjacent pair first, the leftmost of equals. For short strings only."""
@@ -115,27 +127,31 @@ class PieceCodec:
         text = self.plain(shown)
         return text[1:] if shown and shown[0] in self.rank and self.pieces[shown[0]].startswith(SPACE) else text
 
-    def known(self, chunk: str) -> tuple[str, str]:
-        """Ids, joined by commas, and decoded text of a chunk."""
+    def known(self, chunk: str) -> str:
+        """Ids of a chunk, joined by commas."""
         found = self.cache.get(chunk) or self.older.get(chunk)
         if found is None:
             joins = self.joins
             cuts = [k for k in range(1, len(chunk)) if chunk[k - 1:k + 1] not in joins]
             if cuts:
-                parts = [self.known(chunk[i:j]) for i, j in zip([0, *cuts], [*cuts, len(chunk)], strict=True)]
-                found = ",".join([p[0] for p in parts]), "".join([p[1] for p in parts])
+                found = ",".join([self.known(chunk[i:j]) for i, j in zip([0, *cuts], [*cuts, len(chunk)], strict=True)])
             elif self.chars.issuperset(chunk):
-                ids = self.known_run(chunk)
-                found = ",".join(map(str, ids)), chunk.replace(SPACE, " ")
+                found = ",".join(map(str, self.known_run(chunk)))
             else:  # one character that no piece has becomes its UTF-8 bytes
-                ids = [self.bytes[b] for b in chunk.encode("utf-8", "surrogatepass")]
-                found = ",".join(map(str, ids)), self.plain(ids)
+                found = ",".join([str(self.bytes[b]) for b in chunk.encode("utf-8", "surrogatepass")])
         if len(chunk) <= CACHE_CHARS:
             if len(self.cache) >= CACHE:
                 self.older, self.cache = self.cache, {}
             self.cache[chunk] = found
         return found
 
+    def shown(self, ids: str) -> str:
+        """Decoded text of ids joined by commas, with the first space. Only bytes beyond ASCII are read in runs."""
+        try:
+            return "".join(map(self.texts.__getitem__, ids.split(",")))
+        except KeyError:
+            return self.plain([int(i) for i in ids.split(",")])
+
     def encoded(self, text: str) -> tuple[str, str]:
         """Ids of ``text``, joined by commas, and what they decode to.
 
@@ -143,9 +159,9 @@ class PieceCodec:
         """
         if not text:
             return "", ""
-        cells = re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", SPACE + text.replace(" ", SPACE))
-        found = [self.cache.get(c) or self.known(c) for c in cells]
-        return ",".join([f[0] for f in found]), "".join([f[1] for f in found])[1:]
+        known = self.cache.get
+        ids = ",".join([known(c) or self.known(c) for c in self.cells(SPACE + text.replace(" ", SPACE))])
+        return ids, self.shown(ids)[1:]
 
 
 def replaced(held: bytearray) -> str:

@@ -124,6 +124,8 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     n, sigma = len(s), int(s.max()) + 1
     if n == 1:
         return np.zeros(1, np.int64)
+    if sigma <= 1 << 16:
+        s = s.astype(np.uint16)  # short integers are sorted by counting
     change = np.nonzero(s[:-1] != s[1:])[0]
     following = change[np.searchsorted(change, np.arange(n - 1))]  # where the run of equals around a place ends
     smaller = np.append(s[following] < s[following + 1], True)
@@ -249,11 +251,11 @@ def repeated_in(pieces: list[bytes], keys: np.ndarray, length: int) -> list[tupl
     sizes = np.array([len(p) for p in pieces])
     stop = np.cumsum(sizes + 1) - 1
     begin = stop - sizes
-    s = np.ones(int(stop[-1]) + 2, np.int64)
+    s = np.ones(int(stop[-1]) + 2, np.uint16)
     s[-1] = 0
     body = np.ones(len(s), bool)
     body[stop] = body[-1] = False
-    s[body] = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64) + 2
+    s[body] = np.frombuffer(b"".join(pieces), np.uint8).astype(np.uint16) + 2
     table = suffix_array(s)
     prefix = common_prefixes(s, table, length)
     of = np.repeat(np.arange(len(pieces)), sizes + 1)

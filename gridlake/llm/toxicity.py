@@ -78,7 +78,8 @@ class Lexicon:
         self.accept: list[float] = []
         self.dead = self.state(frozenset())
         self.start = self.state(self.closed({(0, 0)}))
-        self.known: dict[str, float] = {}
+        self.known: set[str] = set()
+        self.found: dict[str, float] = {}
 
     def closed(self, found: set[tuple[int, int]]) -> frozenset:
         """With the nodes reached by leaving out characters of a term."""
@@ -131,10 +132,12 @@ class Lexicon:
     def hits(self, words: set[str]) -> dict[str, float]:
         if len(self.known) >= KNOWN:
             self.known.clear()
-        known = self.known
-        for word in words.difference(known):
-            known[word] = self.strength(word.strip(MARKS))
-        return {w: s for w in words if (s := known[w])}
+        for word in words - self.known:
+            strength = self.strength(word.strip(MARKS))
+            if strength:
+                self.found[word] = strength
+        self.known |= words
+        return {w: self.found[w] for w in words & self.found.keys()} if not words.isdisjoint(self.found) else {}
 
 
 @lru_cache(maxsize=2)
