@@ -51,6 +51,14 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table of ``written``. Only for one whose every use is settled or written itself."""
+    spark = table.sparkSession
+    for place in {file.rpartition("/")[0] for file in table.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of steps whose result is settled: it does so when the driver collects its garbage."""
     gc.collect()

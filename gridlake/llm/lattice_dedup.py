@@ -122,6 +122,9 @@ def links_in_bucket(ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, ke
         a += start
         for at in range(0, len(a), 200_000):
             x, y = a[at:at + 200_000], b[at:at + 200_000]
+            # In one table a pair may meet in the home cells of both; it counts in that of the smaller id.
+            twice = ~home[x] & (keys[x, table, :1] == keys[y, table]).any(1)
+            x, y = x[~twice], y[~twice]
             if table:
                 kx, ky = keys[x, :table], keys[y, :table]
                 met = ((kx[:, :, :1] == ky).any(2) | (ky[:, :, :1] == kx).any(2)).any(1)

@@ -12,7 +12,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, release, runs, settle, written
+from .common import components, discard, release, runs, settle, written
 
 #: Counters of the frequency sketch, sets of one tree, and texts that are hashed together (bytes).
 COUNTERS, PART, CHUNK = 1 << 20, 1000, 1_000_000
@@ -264,7 +264,9 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
     def met(rows: DataFrame, pairs: bool) -> DataFrame:
         sizes = rows.groupBy("g").agg(F.count("*").alias("c"), F.min("label").alias("low"), F.max("label").alias("high"))
         sizes = sizes.where("low <> high").select("g", "c")
-        return settle(join_sets(tiled(rows, sizes, pairs).join(grams, "sid"), percent, pairs))
+        found = settle(join_sets(tiled(rows, sizes, pairs).join(grams, "sid"), percent, pairs))
+        release(spark)
+        return found
 
     labels = None
     links = None
@@ -276,15 +278,19 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
         found = met(rows, False)
         links = found if links is None else links.unionByName(found)
         labels = settle(components(links))
+        release(spark)
     rows = shared.distinct().join(labels, shared.sid == labels.id, "left").select("sid", "g", F.coalesce("component_id", "sid").alias("label"))
     # A doc_id on several rows is one node, so the sets of these rows belong together.
     several = full.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id")
     same = full.join(several, "doc_id").join(distinct, ["n", "f1", "f2"]).select(F.col("doc_id").alias("a"), F.col("sid").alias("b"))
     links = links.unionByName(met(rows, True)).unionByName(same)
-    final = components(links)
+    discard(grams)
+    discard(shared)
+    final = settle(components(links))
+    release(spark)
     named = distinct.join(final, distinct.sid == final.id, "left").select("n", "f1", "f2", F.coalesce("component_id", "sid").alias("component_id"))
     out = sets.join(named, ["n", "f1", "f2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce(F.when(F.col("n") > 0, F.col("component_id")), "doc_id").alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def described(docs: DataFrame, words: int, percent: int, levels: Broadcast) -> DataFrame:

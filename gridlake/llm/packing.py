@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from .common import groups_for, settle
 
+#: Fixed value: the vocabulary's one added token, whose id follows those of the ranks. It is recognised inside a text.
+END_OF_TEXT = "<|endoftext|>"
 NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
 
@@ -24,24 +26,24 @@ def tokenizer(ranks_file: str) -> tiktoken.Encoding:
     """The byte-level BPE of a rank file; ids equal those of the JSON file with the same vocabulary."""
     with open(public_tokenizers.path(ranks_file), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={END_OF_TEXT: len(ranks)})
 
 
 def token_pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 1, with_ids: bool = False,
                  ranks_file: str = "byte_bpe_50k.tiktoken") -> DataFrame:
     """The token ids of every ``text``, then ``end_id``, cut into pieces of at most ``capacity`` tokens.
 
-    Null and empty texts give the end id alone. Special-token strings in a text are ordinary text. Only ``doc_id`` and
+    Null and empty texts give the end id alone. The added token is one id where it stands in a text, as in the library. Only ``doc_id`` and
     ``text`` are read; other columns are ignored. ``with_ids`` adds the ids themselves (``ids``, array of int).
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(ranks_file).encode_ordinary
+        coder = tokenizer(ranks_file)
         for batch in batches:
             rows: list[tuple] = []
             arrays: list[np.ndarray] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.array([*encode(text or ""), end_id], dtype="<u4")
+                ids = np.array([*coder.encode(text or "", allowed_special="all"), end_id], dtype="<u4")
                 for start in range(0, len(ids), capacity):
                     piece = ids[start:start + capacity]
                     rows.append((doc_id, start, len(piece), zlib.crc32(piece), len(ids)))

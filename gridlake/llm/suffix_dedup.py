@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, runs, smallest, written
+from .common import discard, release, runs, smallest, written
 
 #: Length of an anchor, and bytes of pieces that are sorted at once.
 ANCHOR, SHARD = 32, 4_000_000
@@ -309,8 +309,10 @@ def remove_repeats(documents: DataFrame, length: int = 100, size: int = ANCHOR,
     release(spark)
     firsts = written(seen.groupBy("h", "p").agg(F.min(F.struct("doc", "sub", "start", "n")).alias("first"), F.count("*").alias("c")))
     release(spark)
-    later = seen.join(firsts.where("c > 1").select("h", "p", "first"), ["h", "p"]).where(
-        F.struct("doc", "sub", "start") > F.struct("first.doc", "first.sub", "first.start")).select("doc", "sub", F.col("start").alias("a"), F.expr("start + n - 1").alias("b"))
+    later = written(seen.join(firsts.where("c > 1").select("h", "p", "first"), ["h", "p"]).where(
+        F.struct("doc", "sub", "start") > F.struct("first.doc", "first.sub", "first.start")).select("doc", "sub", F.col("start").alias("a"), F.expr("start + n - 1").alias("b")))
+    discard(seen)
+    release(spark)
     several = firsts.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
     wanted = firsts.join(several, "h").select("h", "first.*").groupBy("doc", "sub").agg(F.collect_list(F.struct("h", "start", "n")).alias("w"))
     lines = long_enough.join(wanted, ["doc", "sub"])
@@ -352,9 +354,10 @@ def remove_repeats(documents: DataFrame, length: int = 100, size: int = ANCHOR,
         return pa.RecordBatch.from_arrays([pa.array(doc[piece]), pa.array(sub[piece]), pa.array((start[piece] + a).astype(np.int32)),
                                            pa.array((start[piece] + b).astype(np.int32))], names=["doc", "sub", "a", "b"])
 
-    repeats = written(dealt.mapInArrow(sort_shards, "doc long, sub int, a int, b int").unionByName(later))
+    repeats = written(dealt.mapInArrow(sort_shards, "doc long, sub int, a int, b int"))
+    discard(firsts)
     release(spark)
-    spans = repeats.groupBy("doc", "sub").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("r"))
+    spans = repeats.unionByName(later).groupBy("doc", "sub").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("r"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
