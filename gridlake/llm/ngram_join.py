@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -231,6 +232,17 @@ def tiled(members: DataFrame, sizes: DataFrame, pairs: bool) -> DataFrame:
     return out.withColumn("i", F.least("part", "o")).withColumn("j", F.greatest("part", "o"))
 
 
+def by_size(rows: DataFrame, percent: int) -> DataFrame:
+    """``rows(sid, g, n, label)`` with ``g`` narrowed to sets of like size: linked sets are in one band of sizes or in adjacent ones.
+
+    A set joins the group of its band (``own``) and that of the band above; a group without own members has met one band below.
+    """
+    width = max(1e-9, 1.0001 * math.log(100 / percent))
+    band = F.floor(F.log("n") / width) + F.col("up")
+    return rows.withColumn("up", F.explode(F.array(F.lit(0), F.lit(1)))).select(
+        "sid", F.xxhash64("g", band).alias("g"), "label", (F.col("up") == 0).alias("own"))
+
+
 def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     """``doc_id, n_shingles, component_id``: per row the size of its set and the smallest doc_id reachable by links.
 
@@ -241,8 +253,8 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
        n-grams, shares an n-gram with that of every set it links to; n-grams that one prefix alone holds drop out.
     3. Sets meet at their first shared n-gram, in prefix trees of at most about ``PART`` sets. What links gets one label; a second
        round does the same with one set per label, so that large groups of near copies fall under one label.
-    4. The sets of every other shared n-gram meet likewise if they have different labels still; larger groups are cut into parts
-       that meet in pairs. So every link is found or joins what is joined already.
+    4. The sets of every other shared n-gram meet likewise if they have different labels still and sizes that allow a link; larger groups
+       are cut into parts that meet in pairs. So every link is found or joins what is joined already.
 
     Texts without words have no n-gram and link with nothing, neither do rows without doc_id (their component is null). Rows that share a
     doc_id are one node. An empty table gives no rows; other columns are ignored.
@@ -254,7 +266,7 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
     release(spark)
     full = sets.where("n > 0 and doc_id is not null")
     distinct = full.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("sid"))
-    prefixes = full.join(distinct, ["n", "f1", "f2"]).where("doc_id = sid").select("sid", F.explode("prefix").alias("g"))
+    prefixes = full.join(distinct, ["n", "f1", "f2"]).where("doc_id = sid").select("sid", "n", F.explode("prefix").alias("g"))
     counted = prefixes.groupBy("g").agg(F.count("*").alias("c")).where("c > 1")
     shared = written(prefixes.join(counted.select("g"), "g"))
     wanted = shared.groupBy("sid").agg(F.min("g").alias("g"))
@@ -262,8 +274,8 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
     release(spark)
 
     def met(rows: DataFrame, pairs: bool) -> DataFrame:
-        sizes = rows.groupBy("g").agg(F.count("*").alias("c"), F.min("label").alias("low"), F.max("label").alias("high"))
-        sizes = sizes.where("low <> high").select("g", "c")
+        sizes = rows.groupBy("g").agg(F.count("*").alias("c"), F.min("label").alias("low"), F.max("label").alias("high"), F.max("own").alias("any_own"))
+        sizes = sizes.where("low <> high and any_own").select("g", "c")
         found = settle(join_sets(tiled(rows, sizes, pairs).join(grams, "sid"), percent, pairs))
         release(spark)
         return found
@@ -271,7 +283,7 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
     labels = None
     links = None
     for _ in range(2):
-        rows = wanted.withColumn("label", F.col("sid"))
+        rows = wanted.withColumn("label", F.col("sid")).withColumn("own", F.lit(True))
         if labels is not None:
             rows = rows.join(labels, rows.sid == labels.id, "left_anti").unionByName(
                 rows.join(labels.where("id = component_id"), rows.sid == labels.id, "left_semi"))
@@ -279,11 +291,11 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
         links = found if links is None else links.unionByName(found)
         labels = settle(components(links))
         release(spark)
-    rows = shared.distinct().join(labels, shared.sid == labels.id, "left").select("sid", "g", F.coalesce("component_id", "sid").alias("label"))
+    rows = shared.distinct().join(labels, shared.sid == labels.id, "left").select("sid", "g", "n", F.coalesce("component_id", "sid").alias("label"))
     # A doc_id on several rows is one node, so the sets of these rows belong together.
     several = full.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id")
     same = full.join(several, "doc_id").join(distinct, ["n", "f1", "f2"]).select(F.col("doc_id").alias("a"), F.col("sid").alias("b"))
-    links = links.unionByName(met(rows, True)).unionByName(same)
+    links = links.unionByName(met(by_size(rows, percent), True)).unionByName(same)
     discard(grams)
     discard(shared)
     final = settle(components(links))
