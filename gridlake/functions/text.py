@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BOX_KEYS = ("lonmin", "lonmax", "latmin", "latmax")
-_BOX_PATTERN = r"([a-zA-Z_]+)\s*=\s*([-+]?\d*\.?\d+)"
 
 
 def first_attr(attrs: Column, names: list[str], default: Column) -> Column:
@@ -41,32 +38,42 @@ def inventory_line(var: Column, long_name: Column, units: Column, level_type: Co
 
 
 def box_column(box: Column) -> Column:
-    """``struct(lonmin, lonmax, latmin, latmax)`` from ``lonmin=-2, ...``; NULL unless all four are given.
+    """``struct(lonmin, lonmax, latmin, latmax)`` from settings such as ``lonmin=-2, ...``; NULL unless all four have a number.
 
-    The last mention of a key counts and keys are case-free.
+    Settings are separated by commas, names are case-free, of a name given twice the last one counts, and a number is whatever casts to
+    DOUBLE. What is no setting is passed over.
     """
-    def number(key: str) -> Column:
-        pattern = F.lit(rf"(?i)(?<![a-z_]){key}\s*=\s*([-+]?\d*\.?\d+)")
-        return F.try_element_at(F.regexp_extract_all(box, pattern, F.lit(1)), F.lit(-1)).try_cast("double")
+    settings = F.transform(F.split(box, ","), lambda part: F.split(part, "=", 2))
+    named = F.filter(settings, lambda s: F.size(s) == 2)
+
+    def bound(name: str) -> Column:
+        given = F.filter(named, lambda s: F.lower(F.trim(s[0])) == name)
+        return F.trim(F.try_element_at(given, F.lit(-1))[1]).try_cast("double")
 
-    numbers = [number(k) for k in BOX_KEYS]
-    complete = numbers[0].isNotNull()
-    for n in numbers[1:]:
-        complete = complete & n.isNotNull()
-    return F.when(complete, F.struct(*[n.alias(k) for n, k in zip(numbers, BOX_KEYS)]))
+    corners = F.struct(*[bound(name).alias(name) for name in BOX_KEYS])
+    complete = F.forall(F.array(*[bound(name) for name in BOX_KEYS]), lambda x: x.isNotNull())
+    return F.when(complete, corners)
 
 
 def parse_box(text: str | None) -> dict[str, float] | None:
-    """The same for one string given as an argument."""
-    found = {k.lower(): float(v) for k, v in re.findall(_BOX_PATTERN, text or "")}
-    return {k: found[k] for k in BOX_KEYS} if all(k in found for k in BOX_KEYS) else None
+    """The same for one text given as an argument."""
+    corners: dict[str, float | None] = dict.fromkeys(BOX_KEYS)
+    for setting in (text or "").split(","):
+        name, sign, number = setting.partition("=")
+        if sign and name.strip().lower() in corners:
+            corners[name.strip().lower()] = _number(number)
+    return None if None in corners.values() else corners
 
 
 def parse_limits(limits: str | tuple | list | None) -> tuple[float | None, float | None]:
-    """``"min,max"`` or a pair; ``None`` leaves a side open."""
-    if not limits:
-        return None, None
-    if isinstance(limits, str):
-        low, high = [part.strip() for part in limits.split(",")][:2]
-        return (None if low == "None" else float(low)), (None if high == "None" else float(high))
-    return limits[0], limits[1]
+    """Lower and upper limit from a pair or from text with a comma between; a side without a number is open."""
+    sides = limits.partition(",")[::2] if isinstance(limits, str) else (limits or (None, None))
+    low, high = (_number(side) for side in sides)
+    return low, high
+
+
+def _number(given: str | float | None) -> float | None:
+    try:
+        return float(given)
+    except (TypeError, ValueError):
+        return None

@@ -49,24 +49,57 @@ def _kind(packed: bool) -> T.DataType:
     return T.BinaryType() if packed else T.ArrayType(T.FloatType())
 
 
-def block_means(values: Column, h: Column, w: Column, k: int, packed: bool = False) -> Column:
-    """Means of the k x k blocks of each tile, missing points aside; rows and columns that fill no block drop out."""
-    def one(points: np.ndarray, rows: int, cols: int) -> np.ndarray:
-        whole = points.reshape(rows, cols)[:rows // k * k, :cols // k * k].astype("float64")
-        blocks = whole.reshape(rows // k, k, cols // k, k)
-        count = (~np.isnan(blocks)).sum(axis=(1, 3))
-        total = np.nansum(blocks, axis=(1, 3))
-        return np.where(count > 0, total / np.maximum(count, 1), np.nan).astype("<f4").ravel()
-
-    def run(a: pa.Array, rows: pa.Array, cols: pa.Array) -> pa.Array:
-        valid = a.is_valid()
-        sizes = [(r, c) for r, c, v in zip(rows.to_pylist(), cols.to_pylist(), valid.to_pylist()) if v]
-        cuts = np.cumsum([r * c for r, c in sizes])[:-1]
-        parts = [one(p, *size) for p, size in zip(np.split(_points(a, valid), cuts), sizes)]
-        lengths = [(r // k) * (c // k) for r, c in zip(rows.to_pylist(), cols.to_pylist())]
-        return _encode(np.concatenate(parts or [np.empty(0, "<f4")]), valid, pa.array(lengths, pa.int32()), packed)
-
-    return F.arrow_udf(run, _kind(packed), F.ArrowUDFType.SCALAR)(values, h, w)
+STATS = T.StructType([T.StructField("n_present", T.IntegerType()), T.StructField("v_sum", T.DoubleType()),
+                      T.StructField("v_min", T.FloatType()), T.StructField("v_max", T.FloatType())])
+DIFFERENCE = T.StructType([T.StructField("max_abs", T.FloatType()), T.StructField("n", T.LongType()), T.StructField("n_one_sided", T.LongType())])
+
+
+def tile_stats(values: Column) -> Column:
+    """``struct(n_present, v_sum, v_min, v_max)`` of each tile; sum and bounds are NULL where no point is present."""
+    def run(a: pa.Array) -> pa.Array:
+        counts, sums, lows, highs = [], [], [], []
+        for points in _each(a):
+            points = points[~np.isnan(points)]
+            counts.append(len(points))
+            sums.append(float(points.sum(dtype="float64")) if len(points) else None)
+            lows.append(points.min() if len(points) else None)
+            highs.append(points.max() if len(points) else None)
+        return pa.StructArray.from_arrays(
+            [pa.array(counts, pa.int32()), pa.array(sums, pa.float64()), pa.array(lows, pa.float32()), pa.array(highs, pa.float32())],
+            names=STATS.names)
+
+    return F.arrow_udf(run, STATS, F.ArrowUDFType.SCALAR)(values)
+
+
+def tile_difference(a: Column, b: Column) -> Column:
+    """``struct(max_abs, n, n_one_sided)`` of two tiles of one place; a side that is NULL as a whole has no values."""
+    def run(left: pa.Array, right: pa.Array) -> pa.Array:
+        largest, counts, gaps = [], [], []
+        for x, y in zip(_each(left), _each(right), strict=True):
+            n = max(len(x), len(y))
+            x, y = (v if len(v) else np.full(n, np.nan, "<f4") for v in (x, y))
+            both = ~np.isnan(x) & ~np.isnan(y)
+            largest.append(np.abs(x[both] - y[both]).max() if both.any() else None)
+            counts.append(n)
+            gaps.append(int((np.isnan(x) != np.isnan(y)).sum()))
+        return pa.StructArray.from_arrays([pa.array(largest, pa.float32()), pa.array(counts, pa.int64()), pa.array(gaps, pa.int64())],
+                                          names=DIFFERENCE.names)
+
+    return F.arrow_udf(run, DIFFERENCE, F.ArrowUDFType.SCALAR)(a, b)
+
+
+def limited(low: float | None, high: float | None) -> Kernel:
+    """Kernel that limits values to a range; missing stays missing."""
+    return lambda x: np.clip(x, None if low is None else np.float32(low), None if high is None else np.float32(high)) \
+        if low is not None or high is not None else x
+
+
+def _each(a: pa.Array) -> list[np.ndarray]:
+    """The points of every row, none for a missing tile."""
+    valid = a.is_valid()
+    lengths = pc.divide(pc.binary_length(a), 4) if pa.types.is_binary(a.type) else pc.list_value_length(a)
+    sizes = np.where(valid.to_numpy(zero_copy_only=False), pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False), 0)
+    return np.split(_points(a, valid), np.cumsum(sizes)[:-1]) if len(a) else []
 
 
 def unpack(packed: Column) -> Column:
@@ -98,7 +131,7 @@ def _points(a: pa.Array, valid: pa.Array) -> np.ndarray:
     if not len(present):
         return np.empty(0, "<f4")
     ends = np.frombuffer(present.buffers()[1], "int32")[present.offset:present.offset + len(present) + 1]
-    return np.frombuffer(present.buffers()[2], "u1")[ends[0]:ends[-1]].view("<f4")
+    return np.frombuffer(present.buffers()[2] or b"", "u1")[ends[0]:ends[-1]].view("<f4")
 
 
 def _encode(numbers: np.ndarray, valid: pa.Array, lengths: pa.Array, packed: bool, width: int = 1) -> pa.Array:
@@ -112,7 +145,10 @@ def _encode(numbers: np.ndarray, valid: pa.Array, lengths: pa.Array, packed: boo
 
 def _offsets(valid: pa.Array, lengths: pa.Array) -> np.ndarray:
     sizes = pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False)
-    return np.concatenate([[0], np.cumsum(np.where(valid.to_numpy(zero_copy_only=False), sizes, 0))]).astype("int32")
+    ends = np.concatenate([[0], np.cumsum(np.where(valid.to_numpy(zero_copy_only=False), sizes, 0), dtype="int64")])
+    if 4 * ends[-1] >= 1 << 31:
+        raise OverflowError(f"a batch of {ends[-1]} points does not fit one Arrow array; lower spark.sql.execution.arrow.maxBytesPerBatch")
+    return ends.astype("int32")
 
 
 def _apply(kernel: Kernel, *arrays: pa.Array) -> pa.Array:

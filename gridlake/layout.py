@@ -19,11 +19,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridlake.kernels import Kernel, on_tiles, to_bytes, unpack
+from gridlake.kernels import Kernel, on_tiles, tile_stats, to_bytes, unpack
 
 # Columns that place a tile on its grid.
 TILE_KEY = ["ty", "tx"]
 TILE_GEOMETRY = ["ny", "nx", "y0", "x0", "h", "w", "lats", "lons"]
+# What a stored tile says about its values and its place, so that questions on them need not open the values.
+TILE_STATS = ["n_present", "v_sum", "v_min", "v_max"]
+TILE_ZONE = ["lat_min", "lat_max", "lon_min", "lon_max"]
+TILE_ORDER = "tkey"
 # Columns that place a cell on its grid.
 CELL_KEY = ["iy", "ix"]
 CELL_GEOMETRY = ["lat", "lon"]
@@ -59,6 +63,37 @@ def packed(df: DataFrame) -> DataFrame:
     return df.mapInArrow(convert, T.StructType(fields))
 
 
+def with_stats(tiles: DataFrame) -> DataFrame:
+    """Tiles with count, sum, minimum and maximum of their present values; kept if they are there already."""
+    if set(TILE_STATS) <= set(tiles.columns):
+        return tiles
+    return tiles.withColumn("_stats", tile_stats(F.col("values"))).withColumns({c: F.col(f"_stats.{c}") for c in TILE_STATS}).drop("_stats")
+
+
+def with_zone(tiles: DataFrame) -> DataFrame:
+    """Tiles with the bounds of their coordinates as plain numbers, which file statistics know; kept if they are there already."""
+    if set(TILE_ZONE) <= set(tiles.columns):
+        return tiles
+    return tiles.withColumns({"lat_min": F.array_min("lats"), "lat_max": F.array_max("lats"),
+                              "lon_min": F.array_min("lons"), "lon_max": F.array_max("lons")})
+
+
+def curve_key(ty: Column, tx: Column) -> Column:
+    """Place of a tile on a Z-shaped curve: neighbours on the grid are near on it, so sorted files can be skipped by place."""
+    def spread(n: Column) -> Column:
+        n = n.cast("bigint")
+        for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+            n = n.bitwiseOR(F.shiftleft(n, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
+        return n
+
+    return F.shiftleft(spread(ty), 1).bitwiseOR(spread(tx))
+
+
+def curve_position(ty: int, tx: int) -> int:
+    """The same for one tile."""
+    return sum(((ty >> b & 1) << 1 | tx >> b & 1) << 2 * b for b in range(16))
+
+
 def value_name(df: DataFrame) -> str:
     return "values" if is_tiled(df) else "value"
 

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.layout import value_name
-from gridlake.session import broadcast_if_small
 
 
 def last_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -49,10 +48,9 @@ def first_file_wins(df: DataFrame, keys: list[str], file: str = "source_file") -
 
 
 def drop_listed(df: DataFrame, listed: DataFrame, on: list[str]) -> DataFrame:
-    """Anti join whose strategy follows the checked size of the list: nothing, broadcast, or shuffle."""
-    if listed.limit(1).count() == 0:
-        return df
-    return df.join(broadcast_if_small(listed), on, "left_anti")
+    """Rows whose key is not listed. The planner follows the measured size of the list; one that was written knows it beforehand, so that
+    the rows are filtered where they are."""
+    return df.join(listed, on, "left_anti")
 
 
 def missing_times(df: DataFrame, field_keys: list[str], time: str = "valid_time", run: str = "run_id") -> DataFrame:

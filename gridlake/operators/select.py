@@ -7,15 +7,11 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
-from gridlake.layout import is_tiled, per_element, unpacked, value_name
+from gridlake import kernels
+from gridlake.layout import is_packed, is_tiled, per_element, value_name, with_zone
 from gridlake.operators.align import time_axes
-from gridlake.session import broadcast_if_small
-
-
-def variables(df: DataFrame, names: list[str]) -> DataFrame:
-    """Only the named variables; reaches the scan."""
-    return df.filter(F.col("var").isin(*names))
 
 
 def first_group(df: DataFrame, var: str | None = None) -> DataFrame:
@@ -36,14 +32,13 @@ def read_field(df: DataFrame, var: str, group: str | None = None) -> DataFrame:
 def at_position(df: DataFrame, index: int, keys: list[str], time: str = "valid_time") -> DataFrame:
     """The step at a position of each field's sorted times; negative counts from the end.
 
-    A field with a single time is returned as it is. The list of picked times has a row per field; it is counted, so
-    that the data are filtered in place if it is small.
+    A field with a single time is returned as it is. The list of picked times has a row per field.
     """
     at = index + 1 if index >= 0 else index
     picked = F.when(F.col("n_times") > 1, F.array_compact(F.array(F.try_element_at("times", F.lit(at))))) \
         .otherwise(F.col("times"))
     keep = time_axes(df, keys, time).select(*keys, F.explode(picked).alias(time))
-    return df.join(broadcast_if_small(keep), [*keys, time], "left_semi")
+    return df.join(keep, [*keys, time], "left_semi")
 
 
 _PARTS = re.compile(r"^(\d{4})(?:-(\d{2})(?:-(\d{2})(?:[T ](\d{2})(?::(\d{2})(?::(\d{2}(?:\.\d+)?))?)?)?)?)?$")
@@ -69,13 +64,17 @@ def label_period(label: str) -> tuple[datetime, datetime | None]:
     return start, start.replace(year=start.year + 1)
 
 
-def at_label(df: DataFrame, label: str, time: str = "valid_time") -> DataFrame:
-    """The step with this time, or all steps of the period a shorter text names (``2026-08-19``)."""
+def in_label(time: Column, label: str, kind: str | DataType = "timestamp") -> Column:
+    """Whether a time is the one a text names, or lies in the period a shorter text names (``2026-08-19``)."""
     start, end = label_period(label)
-    kind = df.schema[time].dataType
     if end is None:
-        return df.filter(F.col(time) == F.lit(start).cast(kind))
-    return df.filter((F.col(time) >= F.lit(start).cast(kind)) & (F.col(time) < F.lit(end).cast(kind)))
+        return time == F.lit(start).cast(kind)
+    return (time >= F.lit(start).cast(kind)) & (time < F.lit(end).cast(kind))
+
+
+def at_label(df: DataFrame, label: str, time: str = "valid_time") -> DataFrame:
+    """The step with this time, or all steps of the period a shorter text names."""
+    return df.filter(in_label(F.col(time), label, df.schema[time].dataType))
 
 
 def bounding_box(cells: DataFrame, lonmin: float, lonmax: float, latmin: float, latmax: float) -> DataFrame:
@@ -84,11 +83,13 @@ def bounding_box(cells: DataFrame, lonmin: float, lonmax: float, latmin: float,
 
 
 def tiles_in_box(tiles: DataFrame, lonmin: float, lonmax: float, latmin: float, latmax: float) -> DataFrame:
-    """Tiles that touch a box, by their axis ranges; their cells still have to pass :func:`bounding_box`."""
-    def touches(axis: str, low: float, high: float) -> Column:
-        return (F.array_max(axis) >= low) & (F.array_min(axis) <= high)
+    """Tiles that touch a box; their cells still have to pass :func:`bounding_box`.
 
-    return tiles.filter(touches("lons", lonmin, lonmax) & touches("lats", latmin, latmax))
+    Stored tiles carry their bounds as plain columns, so the conditions reach the scan and skip row groups and pages.
+    """
+    known = with_zone(tiles)
+    return known.filter((F.col("lon_max") >= lonmin) & (F.col("lon_min") <= lonmax) & (F.col("lat_max") >= latmin) & (F.col("lat_min") <= latmax)) \
+        .select(*tiles.columns)
 
 
 def stride(cells: DataFrame, step: int) -> DataFrame:
@@ -99,18 +100,18 @@ def stride(cells: DataFrame, step: int) -> DataFrame:
 
 def clip(df: DataFrame, low: float | None = None, high: float | None = None) -> DataFrame:
     """Limit values to a range with optional sides; missing stays missing."""
-    df = unpacked(df)
     tiled, value = is_tiled(df), value_name(df)
     kind = "float" if tiled else df.schema[value].dataType
+    return df.withColumn(value, per_element(tiled, lambda x: limited_column(x, low, high, kind), F.col(value),
+                                            kernel=kernels.limited(low, high), packed=is_packed(df)))
 
-    def limited(x: Column) -> Column:
-        if low is not None:
-            x = F.when(x < low, F.lit(low).cast(kind)).otherwise(x)
-        if high is not None:
-            x = F.when(x > high, F.lit(high).cast(kind)).otherwise(x)
-        return x
 
-    return df.withColumn(value, per_element(tiled, limited, F.col(value)))
+def limited_column(x: Column, low: float | None, high: float | None, kind: str | DataType = "float") -> Column:
+    if low is not None:
+        x = F.when(x < low, F.lit(low).cast(kind)).otherwise(x)
+    if high is not None:
+        x = F.when(x > high, F.lit(high).cast(kind)).otherwise(x)
+    return x
 
 
 def in_range(cells: DataFrame, low: float | None = None, high: float | None = None) -> DataFrame:

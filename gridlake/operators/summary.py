@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gridlake.kernels import block_means
-from gridlake.layout import is_packed, is_tiled, unpacked
+from gridlake.kernels import tile_difference
+from gridlake.layout import TILE_GEOMETRY, TILE_KEY, TILE_ORDER, TILE_STATS, TILE_ZONE, is_tiled, packed, with_stats, with_zone
 
 REGIONAL_SPAN = 350
 
 
 def extent(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Bounds of a domain, and whether it is regional (less than 350 degrees wide). Missing is skipped."""
-    lat, lon = ("lats", "lons") if is_tiled(df) else ("lat", "lon")
-    low = (lambda c: F.min(F.array_min(c))) if is_tiled(df) else F.min
-    high = (lambda c: F.max(F.array_max(c))) if is_tiled(df) else F.max
+    """Bounds of a domain, and whether it is regional (less than 350 degrees wide). Missing is skipped.
+
+    Of tiles only their bounds are read, which stored tiles carry as numbers.
+    """
+    lows, highs = (("lon_min", "lat_min"), ("lon_max", "lat_max")) if is_tiled(df) else (("lon", "lat"), ("lon", "lat"))
+    df = with_zone(df) if is_tiled(df) else df
     return df.groupBy(*(keys or [])).agg(
-        low(lon).alias("lon_min"), high(lon).alias("lon_max"), low(lat).alias("lat_min"), high(lat).alias("lat_max"),
+        F.min(lows[0]).alias("lon_min"), F.max(highs[0]).alias("lon_max"), F.min(lows[1]).alias("lat_min"), F.max(highs[1]).alias("lat_max"),
     ).withColumn("is_regional", F.abs(F.col("lon_max") - F.col("lon_min")) < REGIONAL_SPAN)
 
 
@@ -33,25 +40,22 @@ def axis_steps(axis: DataFrame, keys: list[str], position: str, coordinate: str)
 
 
 def symmetric_limit(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Largest absolute value, missing skipped."""
-    df = unpacked(df)
+    """Largest absolute value, missing skipped. Stored tiles answer from their minimum and maximum, without their values."""
     if is_tiled(df):
-        size = F.greatest(F.abs(F.array_max("values")), F.abs(F.array_min("values")))
-        return df.groupBy(*keys).agg(F.max(size).alias("max_abs"))
+        size = F.greatest(F.abs("v_min"), F.abs("v_max"))
+        return with_stats(df).groupBy(*keys).agg(F.max(size).alias("max_abs"))
     return df.groupBy(*keys).agg(F.max(F.abs("value")).alias("max_abs"))
 
 
 def field_mean(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Mean over present cells, and how many are missing (a mean that must not skip any is NULL if that is not 0)."""
-    df = unpacked(df)
+    """Mean over present cells, and how many are missing (a mean that must not skip any is NULL if that is not 0).
+
+    Stored tiles answer from their sums and counts, without their values.
+    """
     if is_tiled(df):
-        present = F.filter("values", lambda x: x.isNotNull())
-        total = F.aggregate(present, F.lit(0.0), lambda acc, x: acc + x)
-        partial = df.select(*keys, total.alias("_s"), F.size(present).alias("_n"),
-                            (F.col("h") * F.col("w")).alias("_all"))
-        sums = partial.groupBy(*keys).agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"), F.sum("_all").alias("_all"))
-        return sums.select(*keys, (F.col("_s") / F.nullif(F.col("_n"), F.lit(0))).alias("mean"),
-                           (F.col("_all") - F.col("_n")).alias("n_missing"))
+        merged = with_stats(df).groupBy(*keys).agg(F.sum("v_sum").alias("_s"), F.sum("n_present").alias("_n"),
+                                                   F.sum(F.col("h").cast("long") * F.col("w")).alias("_all"))
+        return merged.select(*keys, (F.col("_s") / F.nullif(F.col("_n"), F.lit(0))).alias("mean"), (F.col("_all") - F.col("_n")).alias("n_missing"))
     return df.groupBy(*keys).agg(F.avg("value").alias("mean"),
                                  (F.count(F.lit(1)) - F.count("value")).alias("n_missing"))
 
@@ -70,24 +74,112 @@ def coarsen(cells: DataFrame, k: int, keys: list[str], ny: int | Column, nx: int
         *([F.avg("lon").alias("lon")] if "lon" in cells.columns else []))
 
 
-def coarsen_tiles(tiles: DataFrame, k: int) -> DataFrame:
-    """The same inside each tile, without a shuffle. Tile origins have to be multiples of k, as with an edge of 256
-    and k of 2 or 4; then no block crosses a tile border and trimming happens only at the end of the grid.
-    """
-    h, w = (F.floor(F.col(c) / k).cast("int") for c in ("h", "w"))
+PARTS = "array<struct<sums:binary, counts:binary, lat_sum:binary, lat_n:binary, lon_sum:binary, lon_n:binary>>"
 
-    def axis(name: str, n: Column) -> Column:
-        middle = lambda i: F.aggregate(F.slice(name, i * k + 1, F.lit(k)), F.lit(0.0), lambda a, x: a + x) / k
-        return F.transform(F.sequence(F.lit(0), n - 1), middle)
 
-    full = tiles.filter((F.col("h") >= k) & (F.col("w") >= k))
-    aligned = F.assert_true((F.col("y0") % k == 0) & (F.col("x0") % k == 0), F.lit("tile origin is no multiple of k"))
-    means = block_means(F.col("values"), F.col("h"), F.col("w"), k, is_packed(tiles))
-    return full.withColumns({
-        "values": F.when(aligned.isNull(), means), "lats": axis("lats", h), "lons": axis("lons", w), "h": h, "w": w,
-        "y0": (F.col("y0") / k).cast("int"), "x0": (F.col("x0") / k).cast("int"),
-        "ny": F.floor(F.col("ny") / k).cast("int"), "nx": F.floor(F.col("nx") / k).cast("int"),
-    })
+def coarsen_tiles(tiles: DataFrame, k: int, edge: int | None = None) -> DataFrame:
+    """The same on tiles of any edge, for any k. Blocks inside a tile are finished where the tile lies. Of a block that a tile border cuts each tile gives
+    its sums and counts, and only these strips are shuffled and merged.
+
+    Results are tiles of the coarse grid: one of the whole blocks of each tile, and strips one block wide along borders that cut blocks.
+    ``ty`` and ``tx`` number them by their first row and column. ``edge`` tells the edge of the tiles, if it is known; if it is
+    a multiple of k no block is cut, and the plan has no exchange.
+    """
+    df = packed(tiles)
+    keep = [c for c in df.columns if c not in {*TILE_KEY, *TILE_GEOMETRY, *TILE_STATS, *TILE_ZONE, TILE_ORDER, "values"}]
+    names = [f"c{i}" for i in range(len(keep))]
+    place = [*TILE_KEY, "ny", "nx", "y0", "x0", "h", "w"]
+    plain = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], *place, "lats", "lons", "values")
+    own = [T.StructField(n, df.schema[c].dataType) for c, n in zip(keep, names, strict=True)]
+    at = [T.StructField(c, T.IntegerType()) for c in place]
+    arrays = [T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("lats", "lons")]
+    cut = T.StructType([*own, *at, T.StructField("whole", T.BooleanType()), T.StructField("parts", T.DataType.fromDDL(PARTS))])
+    out = T.StructType([*own, *at, *arrays, T.StructField("values", T.BinaryType())])
+
+    def take_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, places, whole, parts = [], [], [], []
+            columns = [batch.column(c).to_pylist() for c in (*place, "lats", "lons", "values")]
+            for i, (_, _, ny, nx, y0, x0, h, w, lats, lons, values) in enumerate(zip(*columns, strict=True)):
+                grid = np.frombuffer(values, "<f4").reshape(h, w) if values is not None else np.full((h, w), np.nan, "<f4")
+                for by, bx, inside, part in _block_parts(grid, lats, lons, (ny, nx, y0, x0), k):
+                    rows.append(i)
+                    bh, bw = len(part["lat_n"]) // 8, len(part["lon_n"]) // 8
+                    places.append((by, bx, ny // k, nx // k, by, bx, bh, bw))
+                    whole.append(inside)
+                    parts.append([part])
+            if rows:
+                picked = pa.array(rows, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(n).take(picked) for n in names] + [pa.array(c, pa.int32()) for c in np.array(places, "int32").reshape(-1, len(place)).T]
+                    + [pa.array(whole, pa.bool_()), pa.array(parts, _PART_LIST)], names=cut.names)
+
+    def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lats, lons, values = [], [], []
+            for parts in batch.column("parts").to_pylist():
+                total = {key: sum(np.frombuffer(p[key], "<f8") for p in parts) for key in parts[0]}
+                values.append(_quotient(total["sums"], total["counts"]).astype("<f4").tobytes())
+                lats.append(_quotient(total["lat_sum"], total["lat_n"]))
+                lons.append(_quotient(total["lon_sum"], total["lon_n"]))
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in (*names, *place)]
+                                             + [pa.array([x.tolist() for x in a], pa.list_(pa.float64())) for a in (lats, lons)]
+                                             + [pa.array(values, pa.binary())], names=out.names)
+
+    pieces = plain.mapInArrow(take_apart, cut)
+    ready = pieces if edge is not None and edge % k == 0 else _merged(pieces, [*names, *place])
+    return ready.select(*names, *place, "parts").mapInArrow(put_together, out).toDF(*keep, *out.names[len(keep):])
+
+
+def _merged(pieces: DataFrame, keys: list[str]) -> DataFrame:
+    """Whole pieces as they are, and the parts of cut blocks by their place; a block is cut by as many tiles as it touches."""
+    joined = pieces.where("not whole").groupBy(*keys).agg(F.flatten(F.collect_list("parts")).alias("parts"))
+    return pieces.where("whole").select(*keys, "parts").unionByName(joined)
+
+
+_PART_LIST = pa.list_(pa.struct([(c, pa.binary()) for c in ("sums", "counts", "lat_sum", "lat_n", "lon_sum", "lon_n")]))
+
+
+def _quotient(total: np.ndarray, count: np.ndarray) -> np.ndarray:
+    return np.where(count > 0, total / np.maximum(count, 1), np.nan)
+
+
+def _stretch(start: int, size: int, whole: int, k: int) -> list[tuple[int, int, bool, np.ndarray]]:
+    """``(first block, blocks, uncut, row starts)`` of the blocks along one side of a tile: those cut at its borders alone, those inside together."""
+    first, last = start // k, min((start + size - 1) // k, whole // k - 1)
+    if last < first:
+        return []
+    inside = range(-(-start // k), (start + size) // k)
+    inside = range(inside.start, min(inside.stop, last + 1))
+    out = [(b, 1, False) for b in range(first, last + 1) if b not in inside]
+    if len(inside):
+        out.append((inside.start, len(inside), True))
+    return [(b, n, uncut, np.maximum(np.arange(b, b + n) * k - start, 0)) for b, n, uncut in out]
+
+
+def _block_parts(grid: np.ndarray, lats: list, lons: list, place: tuple[int, int, int, int], k: int) -> Iterator[tuple[int, int, bool, dict[str, bytes]]]:
+    """Sums and counts of the blocks of a tile, as rectangles of blocks that are cut alike."""
+    ny, nx, y0, x0 = place
+    present = ~np.isnan(grid)
+    numbers = np.where(present, grid, 0).astype("<f8")
+    axes = [np.array([np.nan if v is None else v for v in axis], "<f8") for axis in (lats, lons)]
+    for by, bh, uncut_y, ys in _stretch(y0, grid.shape[0], ny, k):
+        y_end = min((by + bh) * k - y0, grid.shape[0])
+        for bx, bw, uncut_x, xs in _stretch(x0, grid.shape[1], nx, k):
+            x_end = min((bx + bw) * k - x0, grid.shape[1])
+
+            def blocks(a: np.ndarray, ys: np.ndarray = ys, xs: np.ndarray = xs, y_end: int = y_end, x_end: int = x_end) -> bytes:
+                rows = np.add.reduceat(a[:y_end, :x_end].astype("<f8"), ys, axis=0)
+                return np.add.reduceat(rows, xs, axis=1).tobytes()
+
+            def line(a: np.ndarray, starts: np.ndarray, end: int) -> tuple[bytes, bytes]:
+                a = a[:end]
+                return (np.add.reduceat(np.nan_to_num(a), starts).tobytes(), np.add.reduceat((~np.isnan(a)).astype("<f8"), starts).tobytes())
+
+            lat_sum, lat_n = line(axes[0], ys, y_end)
+            lon_sum, lon_n = line(axes[1], xs, x_end)
+            yield by, bx, uncut_y and uncut_x, {"sums": blocks(numbers), "counts": blocks(present), "lat_sum": lat_sum, "lat_n": lat_n,
+                                                "lon_sum": lon_sum, "lon_n": lon_n}
 
 
 def time_head_tail(axes: DataFrame, limit: int = 15, head: int = 6, tail: int = 4) -> DataFrame:
@@ -102,14 +194,11 @@ def field_diff(a: DataFrame, b: DataFrame, on: list[str], keys: list[str] | None
     Works on cells and on tiles; for tiles the places have to agree.
     """
     keys = keys or []
-    a, b = unpacked(a), unpacked(b)
     if is_tiled(a):
-        pair = a.select(*on, F.col("values").alias("_a")).join(b.select(*on, F.col("values").alias("_b")), on, "full")
-        gaps = F.size(F.filter(F.zip_with("_a", "_b", lambda x, y: x.isNull() != y.isNull()), lambda t: t))
-        diff = F.array_max(F.filter(F.zip_with("_a", "_b", lambda x, y: F.abs(x - y)), lambda d: d.isNotNull()))
-        gap_count = F.sum(F.coalesce(gaps, F.size(F.coalesce("_a", "_b"))))
-        return pair.groupBy(*keys).agg(F.max(diff).alias("max_abs_diff"), F.count(F.lit(1)).alias("n_compared"),
-                                       gap_count.alias("n_one_sided"))
+        pair = packed(a).select(*on, F.col("values").alias("_a")).join(packed(b).select(*on, F.col("values").alias("_b")), on, "full")
+        found = pair.select(*keys, tile_difference(F.col("_a"), F.col("_b")).alias("_d"))
+        return found.groupBy(*keys).agg(F.max("_d.max_abs").alias("max_abs_diff"), F.sum("_d.n").alias("n_compared"),
+                                        F.sum("_d.n_one_sided").alias("n_one_sided"))
     pair = a.select(*on, F.col("value").alias("_a")).join(b.select(*on, F.col("value").alias("_b")), on, "full")
     return pair.groupBy(*keys).agg(
         F.max(F.abs(F.col("_a") - F.col("_b"))).alias("max_abs_diff"), F.count(F.lit(1)).alias("n_compared"),

@@ -5,19 +5,17 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows of a key-only table up to which a broadcast is considered safe (about 100 bytes per row).
-BROADCAST_ROWS = 200_000
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    # A row may be a whole message or tile of some megabytes; the default of 10,000 rows is meant for scalars.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+    # A row may be a cell of a few bytes or a message of some megabytes: batches are bounded by bytes, and by rows for cells.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "65536",
 }
 
 
@@ -28,19 +26,14 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; a larger table is joined by shuffle instead.
+def known(df: DataFrame, held: list[DataFrame]) -> tuple[DataFrame, int]:
+    """``df`` computed and kept, with its number of rows; ``held`` receives what to unpersist.
 
-    The count stops at ``max_rows + 1`` rows, so it stays cheap however large the table is. Meant for key
-    tables (run, file, variable), whose rows are a few dozen bytes wide.
+    The planner then knows its size in bytes, and joins with it follow ``spark.sql.autoBroadcastJoinThreshold``. Meant for tables of keys.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
-def local_if_small(df: DataFrame, max_rows: int = 20_000) -> DataFrame:
-    """A header summary as a local table if it is small, so that later decisions on it need no job; else itself."""
-    rows = df.limit(max_rows + 1).collect()
-    return df if len(rows) > max_rows else df.sparkSession.createDataFrame(rows, df.schema)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    held.append(kept)
+    return kept, kept.count()
 
 
 def scratch_dir(spark: SparkSession) -> str:

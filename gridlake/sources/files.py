@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Endings, first bytes and names of the formats.
 EXTENSIONS = {
     "netcdf": (".nc", ".nc4", ".netcdf"),
     "grib": (".grib", ".grb", ".grib1", ".grib2", ".grb1", ".grb2"),
@@ -16,13 +17,12 @@ EXTENSIONS = {
 MAGIC = ((b"GRIB", "grib"), (b"CDF", "netcdf"), (b"\x89HDF", "netcdf"))
 ALIASES = {"fa": "fa", "lfa": "fa", "grib": "grib", "grib1": "grib", "grib2": "grib", "netcdf": "netcdf",
            "nc": "netcdf"}
-SAMPLE_FILES = 5
 
 
-def list_files(spark: SparkSession, directory: str) -> DataFrame:
-    """(path, length, modified) of the plain files of one directory, by path. Spark leaves out names with a
+def list_files(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
+    """(path, length, modified) of the plain files of one directory, or of a tree, by path. Spark leaves out names with a
     leading ``_`` or ``.`` and files without content."""
-    return spark.read.format("binaryFile").load(directory) \
+    return spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(directory) \
         .select("path", "length", F.col("modificationTime").alias("modified")).orderBy("path")
 
 
@@ -32,6 +32,17 @@ def format_by_extension(path: Column) -> Column:
     return chain.when(suffix.isin(*EXTENSIONS["grib"]), F.lit("grib"))
 
 
+def format_by_bytes(head: Column) -> Column:
+    """Format by the first bytes of a file; NULL if they tell nothing."""
+    found = [F.when(F.substring(head, 1, len(magic)) == F.lit(magic), F.lit(fmt)) for magic, fmt in MAGIC]
+    return F.coalesce(*found)
+
+
+def format_of(path: Column, head: Column) -> Column:
+    """Format by ending first, by the first bytes for what the ending leaves open, else ``unknown``."""
+    return F.coalesce(format_by_extension(path), format_by_bytes(head), F.lit("unknown"))
+
+
 @F.pandas_udf(T.StringType())
 def format_by_header(paths: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Format by the first 16 bytes, read where the file lives; unreadable files are unknown."""
@@ -42,7 +53,7 @@ def format_by_header(paths: Iterator[pd.Series]) -> Iterator[pd.Series]:
             where, name = fs.FileSystem.from_uri(path)
             with where.open_input_stream(name) as stream:
                 head = stream.read(16)
-        except Exception:
+        except OSError:
             return "unknown"
         return next((fmt for magic, fmt in MAGIC if head.startswith(magic)), "unknown")
 
@@ -64,18 +75,17 @@ def _uri(path: Column) -> Column:
 
 
 def run_format(spark: SparkSession, directory: str, explicit: str | None = None) -> str:
-    """Format of a run: as given, else that of the first of five sample files that is recognised.
+    """Format of a run: as given, else that of the first file, in path order, that is recognised.
 
-    ``none`` for an empty directory, ``unknown`` if no sample tells.
+    ``none`` for an empty directory, ``unknown`` if no file tells.
     """
-    files = list_files(spark, directory)
-    samples = files.limit(SAMPLE_FILES)
-    if explicit and explicit.lower() in ALIASES:
-        return ALIASES[explicit.lower()] if samples.take(1) else "none"
-    fmts = [r.fmt for r in classify_files(samples).orderBy("path").collect()]  # at most five rows
-    if not fmts:
+    listed = list_files(spark, directory)
+    if not listed.take(1):
         return "none"
-    return next((f for f in fmts if f != "unknown"), "unknown")
+    if explicit and explicit.lower() in ALIASES:
+        return ALIASES[explicit.lower()]
+    known = F.when(F.col("fmt") != "unknown", F.col("path"))
+    return classify_files(listed).agg(F.min_by("fmt", known)).first()[0] or "unknown"
 
 
 def size_by_group(files: DataFrame, group: Column) -> DataFrame:

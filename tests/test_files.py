@@ -29,7 +29,9 @@ def test_empty_and_unknown_runs(spark, tmp_path):
     (tmp_path / "odd").mkdir()
     for i in range(5):
         (tmp_path / "odd" / f"a{i}").write_bytes(b"x")
-    (tmp_path / "odd" / "z.nc").write_bytes(b"x")  # sixth file: no sample
+    (tmp_path / "odd" / "z.nc").write_bytes(b"x")  # every file counts, not a sample
+    assert files.run_format(spark, str(tmp_path / "odd")) == "netcdf"
+    (tmp_path / "odd" / "z.nc").unlink()
     assert files.run_format(spark, str(tmp_path / "odd")) == "unknown"
 
 

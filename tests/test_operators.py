@@ -266,7 +266,7 @@ def test_packing_keeps_missing(messages):
 
 def test_coarsening_inside_tiles(messages):
     grids, df = messages
-    tiles = summary.coarsen_tiles(grid.tiles_from_messages(df, 4), 2)
+    tiles = summary.coarsen_tiles(grid.tiles_from_messages(df, 4), 2, edge=4)
     assert "Exchange" not in tiles._jdf.queryExecution().executedPlan().toString()
     cells = grid.cells_from_tiles(tiles).toPandas()
     for i, g in enumerate(grids):

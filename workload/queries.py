@@ -13,7 +13,6 @@ from gridlake.plans.convert import messages_to_groups
 from gridlake.plans.store import open_store, write_groups
 from gridlake.rules import DerivedRule, Rules, default_rules
 from gridlake.session import scratch_dir
-from gridlake.sources import files
 from workload.adapters import (EV_SQL, GR_SQL, HD_SQL, ID_SQL, NOUN_RULES, RUN, ST_SQL, STORE_RULES, field_codes,
                                grid_messages, headers, hourly, iso, r6, run_totals, stored, table, wind_parts)
 
@@ -71,12 +70,11 @@ def accum_negative_clamp(spark, sf_dir):
 
 
 @query(f"""WITH {EV_SQL}
-SELECT 'click' AS var, h, value FROM acc WHERE var = 'click' UNION ALL
-SELECT 'view', h, value FROM acc WHERE var = 'view' UNION ALL
+SELECT var, h, value FROM acc UNION ALL
 SELECT 'both', a.h, a.value + b.value FROM acc a JOIN acc b ON a.h = b.h AND a.var = 'click' AND b.var = 'view'""")
 def run_total_sum(spark, sf_dir):
     """The sum of two run totals is appended as a new variable."""
-    totals = run_totals(spark, sf_dir).filter(F.col("var").isin("click", "view"))
+    totals = run_totals(spark, sf_dir).select("run_id", "var", "h", "value")
     rule = DerivedRule("both", "accumulation", ("click", "view"))
     added = derived.derive(totals, [rule], keys=["run_id", "h"]).select("run_id", "var", "h", "value")
     return align.replace_variables(totals, added).select("var", "h", "value")
@@ -153,11 +151,13 @@ def grid_coarsen(spark, sf_dir):
         .select("vec_id", "iy", "ix", "lat", _r5(F.col("value").cast("float")).alias("value"))
 
 
-@query(COARSE_SQL)
+@query(f"""WITH {GR_SQL}, k(k) AS (VALUES (2), (3), (5)) SELECT k, vec_id, CAST(iy // k AS INTEGER) AS iy, CAST(ix // k AS INTEGER) AS ix, avg(lat) AS lat, avg(lon) AS lon,
+round(CAST(CAST(avg(CAST(value AS DOUBLE)) AS FLOAT) AS DOUBLE), 5) + 0.0 AS value FROM gr CROSS JOIN k
+WHERE iy < 8 - 8 % k AND ix < 8 - 8 % k GROUP BY 1, 2, 3, 4""")
 def grid_coarsen_tiles(spark, sf_dir):
-    """The same inside tiles, without a shuffle."""
-    return grid.cells_from_tiles(summary.coarsen_tiles(_tiles(spark, sf_dir), 2)) \
-        .select("vec_id", "iy", "ix", "lat", _r5(F.col("value")).alias("value"))
+    """Block means on tiles of edge 4: blocks inside tiles without a shuffle, blocks of 3 and 5 merged across their borders."""
+    made = [grid.cells_from_tiles(summary.coarsen_tiles(_tiles(spark, sf_dir), k, edge=4)).withColumn("k", F.lit(k)) for k in (2, 3, 5)]
+    return align.concat(made).select("k", "vec_id", "iy", "ix", "lat", "lon", _r5(F.col("value")).alias("value"))
 
 
 @query(f"""WITH {GR_SQL} SELECT vec_id, CAST(iy // 3 AS INTEGER) AS iy, CAST(ix // 3 AS INTEGER) AS ix,
@@ -214,7 +214,8 @@ SELECT label, min(CASE WHEN iy = 0 THEN lat END) AS first, max(CASE WHEN iy = 7
 max(CASE WHEN iy = 0 THEN abs(nxt - lat) END) AS step FROM led GROUP BY label""")
 def grid_step(spark, sf_dir):
     """First and last latitude and the first step."""
-    return summary.axis_steps(_cells(spark, sf_dir), ["label"], "iy", "lat")
+    axis = grid.axis_points(_tiles(spark, sf_dir).drop("values"), ["label"], "lats")
+    return summary.axis_steps(axis, ["label"], "position", "coordinate")
 
 
 @query(f"""WITH {GR_SQL} SELECT label, round(CAST(max(abs(value)) AS DOUBLE), 6) + 0.0 AS max_abs FROM gr GROUP BY label""")
@@ -277,7 +278,8 @@ def wind_layer(spark, sf_dir):
 WIND = [DerivedRule("ws", "vector_magnitude", ("u", "v"), "ws", "m s-1", "Wind Speed"),
         DerivedRule("wdir", "vector_direction", ("u", "v"), "wdir", "degrees", "Wind Direction"),
         DerivedRule("ws10", "vector_magnitude", ("u10", "v10"), "ws10", "m s-1", "10m Wind Speed")]
-PAIR_SQL = f"""WITH {GR_SQL}, p AS (SELECT a.vec_id // 2 AS step, a.iy, a.ix, a.value AS u, b.value AS v FROM gr a JOIN gr b ON a.vec_id % 2 = 0 AND b.vec_id = a.vec_id + 1 AND a.iy = b.iy AND a.ix = b.ix)"""
+PAIR_SQL = f"""WITH {GR_SQL}, paired AS (SELECT vec_id // 2 AS step, iy, ix, max(CASE WHEN vec_id % 2 = 0 THEN value END) AS u,
+max(CASE WHEN vec_id % 2 = 1 THEN value END) AS v FROM gr GROUP BY 1, 2, 3), p AS (SELECT * FROM paired WHERE u IS NOT NULL AND v IS NOT NULL)"""
 
 
 def _step():
@@ -574,10 +576,10 @@ def group_fallback(spark, sf_dir):
     return routing.route(rows.filter(none), STORE_RULES).groupBy("grp", "var").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""WITH {ST_SQL} SELECT DISTINCT var, grp FROM routed WHERE grp IN ('surface', 'watch', 'everything')""")
+@query(f"""WITH {ST_SQL} SELECT DISTINCT var, grp FROM routed""")
 def group_exclude(spark, sf_dir):
     """An excluded variable never enters, whatever else fits."""
-    return _routed(spark, sf_dir).filter(F.col("grp").isin("surface", "watch", "everything")).select("var", "grp").distinct()
+    return _routed(spark, sf_dir).select("var", "grp").distinct()
 
 
 @query(f"""WITH {ST_SQL}, axis AS (SELECT valid_time, row_number() OVER (ORDER BY valid_time) - 1 AS t_idx, count(*) OVER () AS n_times
@@ -675,28 +677,7 @@ def inventory_line(spark, sf_dir):
 
 # ---- files and stores -------------------------------------------------------------------------------------
 
-@query()
-def file_catalog(spark, sf_dir):
-    """The files of a directory in path order."""
-    return files.list_files(spark, sf_dir).select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
-
-
-@query()
-def file_format(spark, sf_dir):
-    """Format by extension, else by the first bytes."""
-    return files.classify_files(files.list_files(spark, sf_dir)).select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), "fmt")
-
-
-@query()
-def group_bytes(spark, sf_dir):
-    """Megabytes per group of a written store."""
-    store = _store(spark, sf_dir)
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{store}/tiles").select("path", "length")
-    return files.size_by_group(listed, files.store_group(F.col("path")))
-
-
-def _store(spark, sf_dir) -> str:
+def stored_grids(spark: SparkSession, sf_dir: str) -> str:
     """Write the 8 x 8 grids as a store, one variable per label."""
     path = scratch_dir(spark)
     tiles = grid.tiles_from_messages(grid_messages(spark, sf_dir).select(
@@ -705,7 +686,7 @@ def _store(spark, sf_dir) -> str:
     attributes = {"shortname": F.col("var"), "units": F.lit("1"), "long_name": F.lit(None).cast("string"),
                   "level_type": F.when(F.col("var") < "f5", F.lit("surface")).otherwise(F.lit("isobaric")),
                   "level": F.lit(0.0), "acc_hours": F.lit(None).cast("int"), "dt_hours": F.lit(None).cast("double"),
-                  "source_name": F.col("var")}
+                  "source_name": F.col("var"), "field_order": F.lit(9) - F.substring("var", 2, 9).cast("int")}
     write_groups(routing.route(tiles.withColumns(attributes), default_rules()), path)
     return path
 
@@ -714,7 +695,7 @@ def _store(spark, sf_dir) -> str:
 lat, lon, round(CAST(value AS DOUBLE), 6) + 0.0 AS value FROM gr""")
 def store_roundtrip(spark, sf_dir):
     """Write by group, open, read everything back."""
-    store = open_store(spark, _store(spark, sf_dir))
+    store = open_store(spark, stored_grids(spark, sf_dir))
     return grid.cells_from_tiles(store.tiles).select(
         "grp", "var", (F.unix_timestamp("valid_time") / 3600).cast("bigint").alias("vec_id"), "iy", "ix", "lat", "lon",
         r6("value").alias("value"))
@@ -725,7 +706,7 @@ CAST(count(DISTINCT vec_id) AS INTEGER) AS n_times, 8 AS ny, 8 AS nx, 30.0::DOUB
 1.0::DOUBLE AS lat_step FROM embeddings GROUP BY 1""")
 def store_what(spark, sf_dir):
     """The inventory of a written store, from its field table alone."""
-    return open_store(spark, _store(spark, sf_dir), RUN).inventory() \
+    return open_store(spark, stored_grids(spark, sf_dir), RUN).inventory() \
         .select("grp", "n_vars", "n_times", "ny", "nx", "lat_first", "lat_last", "lat_step")
 
 
@@ -733,7 +714,7 @@ def store_what(spark, sf_dir):
 WHERE label = 7""")
 def store_point_series(spark, sf_dir):
     """All times of one grid point, from the tiles that hold it."""
-    series = open_store(spark, _store(spark, sf_dir), RUN).point_series("f7", 5, 6)
+    series = open_store(spark, stored_grids(spark, sf_dir), RUN).point_series("f7", 5, 6)
     return series.select("var", (F.unix_timestamp("valid_time") / 3600).cast("bigint").alias("vec_id"), r6("value").alias("value"))
 
 
@@ -761,16 +742,17 @@ n(hours) AS (VALUES (3), (6), (12), (24)),
 a AS (SELECT 'surface_' || hours || 'h' AS grp, 'tp_' || hours || 'h' AS var, t.step, t.iy, t.ix,
   CASE WHEN t.value - p.value < 0 THEN CAST(0 AS FLOAT) ELSE CAST(t.value - p.value AS FLOAT) END AS value
   FROM b t CROSS JOIN n JOIN b p ON p.var = 'tp' AND p.step = t.step - hours AND p.iy = t.iy AND p.ix = t.ix WHERE t.var = 'tp'),
-w AS (SELECT u.step, u.iy, u.ix, u.value AS u, v.value AS v FROM b u JOIN b v
-  ON u.var = 'u10' AND v.var = 'v10' AND u.step = v.step AND u.iy = v.iy AND u.ix = v.ix),
+paired AS (SELECT step, iy, ix, max(CASE WHEN var = 'u10' THEN value END) AS u, max(CASE WHEN var = 'v10' THEN value END) AS v FROM b GROUP BY 1, 2, 3),
+w AS (SELECT * FROM paired WHERE u IS NOT NULL AND v IS NOT NULL),
 o AS (SELECT 'surface' AS grp, var, step, iy, ix, CAST(value AS DOUBLE) AS value FROM b UNION ALL
   SELECT grp, var, step, iy, ix, CAST(value AS DOUBLE) FROM a UNION ALL
-  SELECT 'surface', 'ws10', step, iy, ix, CAST(CAST(sqrt(CAST(u * u + v * v AS DOUBLE)) AS FLOAT) AS DOUBLE) FROM w)
+  SELECT 'surface', 'ws10', step, iy, ix, CAST(CAST(sqrt(CAST(u * u + v * v AS DOUBLE)) AS FLOAT) AS DOUBLE) FROM w UNION ALL
+  SELECT 'surface', 'wdir10', step, iy, ix, CAST(CAST((degrees(atan2(-CAST(u AS DOUBLE), -CAST(v AS DOUBLE))) + 360) % 360 AS FLOAT) AS DOUBLE) FROM w)
 SELECT grp, var, strftime(TIMESTAMP '2026-08-19 00:00:00' + to_hours(CAST(step AS INTEGER)), '%Y-%m-%dT%H:%M:%S') AS valid_time,
 iy, ix, round(value, 6) + 0.0 AS value FROM o""")
 def run_convert(spark, sf_dir):
-    """Decode, convert, amounts, wind and routing of a whole run (directions are in ``wind_dir``)."""
+    """Decode, convert, amounts, wind and routing of a whole run."""
     rows = messages_to_groups(run_messages(spark, sf_dir), "fa", default_rules(), RUN, edge=4)
-    return grid.cells_from_tiles(rows.filter("var <> 'wdir10'")).select(
+    return grid.cells_from_tiles(rows).select(
         "grp", "var", times.iso_text(F.col("valid_time")).alias("valid_time"), "iy", "ix",
         r6("value").alias("value"))
