@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Everything between words, before and after lower-casing.
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -84,10 +86,10 @@ def contamination(documents: DataFrame, items: DataFrame, words: int = 10) -> Da
     """
     windows = item_windows(items, words)
     found = occurrences(documents, windows)
-    # Places in a row of equal length and no gap, such as a copied passage, become one before they are gathered.
-    places = found.groupBy("doc_id", "sub", "p").agg(F.max("len").alias("len"))
-    spans = places.groupBy("doc_id", "sub").agg(merged(F.collect_list(F.struct("p", "len"))).alias("spans"))
-    grams = found.select("doc_id", "sub", "gram").distinct()
+    # The corpus is scanned once: what the two uses below need is written, and is as small as what the documents share with the items.
+    held = written(found.groupBy("doc_id", "sub").agg(F.collect_set(F.struct("p", "len")).alias("places"), F.collect_set("gram").alias("grams")))
+    spans = held.select("doc_id", "sub", merged(F.col("places")).alias("spans"))
+    grams = held.select("doc_id", "sub", F.explode("grams").alias("gram"))
     named = grams.join(bounded(windows.where("item is not null").select("gram", "item")), "gram").select("doc_id", "sub", "item").distinct()
     listed = named.groupBy("doc_id", "sub").agg(F.sort_array(F.collect_list("item")).alias("items"))
     b = listed.select(F.col("doc_id").alias("_d"), F.col("sub").alias("_s"), "items")
