@@ -123,11 +123,14 @@ def ordered_sets(texts: list, words: int, levels: np.ndarray) -> tuple[np.ndarra
 
 
 class Tree:
-    """Ordered sets in a prefix tree whose nodes hold the n-grams that all sets below share next."""
+    """Ordered prefixes in a tree whose nodes hold the n-grams that all prefixes below share next.
 
-    def __init__(self, sets: list[np.ndarray]):
-        self.sets = sets
-        self.sizes = np.array([len(s) for s in sets])
+    Of a set the tree knows its size, its prefix in the global order (n-grams cut to 32 bits that keep the order) and a bitmap of
+    the parities of all its n-grams. All three only ever let overlaps look larger than they are, so no pair of linked sets is left.
+    """
+
+    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray, bits: list[bytes]):
+        self.sets, self.sizes, self.bits = sets, sizes, bits
         n = len(sets)
         shared = [0] * (n + 1)
         for i in range(1, n):
@@ -161,15 +164,16 @@ class Tree:
                         cut = i
         return first
 
-    def links(self, labels: np.ndarray, part: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
-        """Links that join sets of different labels; ``labels`` are merged on the way.
+    def candidates(self, labels: np.ndarray, part: np.ndarray | None, percent: int, merge: bool) -> list[tuple[int, int]]:
+        """Pairs of sets of different labels that may be linked. With ``merge`` a pair is taken for a link, and its labels become one.
 
         Each set walks down the tree with the overlap found so far. A subtree is left if its labels are all its own, if its sizes are
-        out of reach, or if the overlap cannot become enough with what remains of the set and of the longest set below.
+        out of reach, or if the overlap cannot become enough with what remains of the set and of the longest set below. What is left
+        at a leaf has to pass the bitmaps: n-grams of one set alone are at least as many as parities that differ.
         """
         found = []
         for x in range(len(self.sets)):
-            own, size = self.sets[x], len(self.sets[x])
+            own, size = self.sets[x], int(self.sizes[x])
             todo = [(self.root, 0, 0)]
             while todo:
                 node, at, overlap = todo.pop()
@@ -185,41 +189,90 @@ class Tree:
                     continue
                 if len(grams):
                     spots = at + np.searchsorted(own[at:], grams)
-                    inside = spots < size
+                    inside = spots < len(own)
                     overlap += int((own[spots[inside]] == grams[inside]).sum())
-                    at += int(np.searchsorted(own[at:], grams[-1], "right"))
+                    at += int(np.searchsorted(own[at:], grams[-1]))
                     depth += len(grams)
                     if overlap + min(size - at, most - depth) < need:
                         continue
                 if children:
                     todo += [(c, at, overlap) for c in children]
                     continue
-                both = size + len(self.sets[lo])
-                if 100 * overlap >= percent * (both - overlap):
+                both = size + int(self.sizes[lo])
+                if _apart(self.bits[x], self.bits[lo]) <= both - 2 * -(-percent * both // (100 + percent)):
                     found.append((x, lo))
-                    labels[labels == labels[lo]] = labels[x]
+                    if merge:
+                        labels[labels == labels[lo]] = labels[x]
         return found
 
 
-def join_sets(members: DataFrame, percent: int, across: bool) -> DataFrame:
-    """Links ``a, b`` within the groups ``(g, i, j)`` of ``members(g, i, j, part, label, sid, grams)``, enough to connect what is linked."""
+def parity_bits(keys: np.ndarray) -> bytes:
+    """Parities of the n-grams that fall on each bit; a power of two of bits, at least 64 and at least one an n-gram."""
+    size = max(64, 1 << max(0, len(keys) - 1).bit_length())
+    counts = np.bincount((keys & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def _apart(a: bytes, b: bytes) -> int:
+    """Number of parities that differ; the longer bitmap is folded, half upon half, which keeps parities."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if len(x) > len(y):
+        x, y = y, x
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def join_sets(members: DataFrame, percent: int, merge: bool) -> DataFrame:
+    """Candidates ``a, b, g, i, j`` within the groups ``(g, i, j)`` of ``members(g, i, j, part, label, sid, n, head, bits)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, ["g", "i", "j"]):
             if group.num_rows < 2:
                 continue
-            raw = group.column("grams").to_pylist()
+            raw = group.column("head").to_pylist()
             order = sorted(range(len(raw)), key=raw.__getitem__)  # big-endian bytes sort like the sets
             sids, labels = group.column("sid").to_numpy()[order], group.column("label").to_numpy()[order].copy()
-            part = group.column("part").to_numpy()[order] if group.column("i")[0].as_py() != group.column("j")[0].as_py() else None
-            tree = Tree([np.frombuffer(raw[k], ">u8").astype(np.uint64) for k in order])
-            links = tree.links(labels, part, percent)
-            if links:
-                yield pa.RecordBatch.from_arrays([pa.array([int(sids[a]) for a, _ in links], pa.int64()), pa.array([int(sids[b]) for _, b in links], pa.int64())], names=["a", "b"])
+            here = [group.column(c)[0].as_py() for c in ("g", "i", "j")]
+            part = group.column("part").to_numpy()[order] if here[1] != here[2] else None
+            bits = group.column("bits").to_pylist()
+            tree = Tree([np.frombuffer(raw[k], ">u4").astype(np.uint32) for k in order], group.column("n").to_numpy()[order], [bits[k] for k in order])
+            pairs = tree.candidates(labels, part, percent, merge)
+            if pairs:
+                ends = [pa.array([int(sids[p[side]]) for p in pairs], pa.int64()) for side in (0, 1)]
+                keys = [pa.array([v] * len(pairs), kind) for v, kind in zip(here, (pa.int64(), pa.int32(), pa.int32()), strict=True)]
+                yield pa.RecordBatch.from_arrays([*ends, *keys], names=["a", "b", "g", "i", "j"])
 
     key = ["g", "i", "j"]
-    names = [*key, "part", "label", "sid", "grams"]
-    return members.select(*names).repartition(*key).sortWithinPartitions(*key, "sid").mapInArrow(run, "a long, b long")
+    names = [*key, "part", "label", "sid", "n", "head", "bits"]
+    placed = members.select(*names).withColumns({c: F.col(c).cast("int") for c in ("i", "j")})
+    return placed.repartition(*key).sortWithinPartitions(*key, "sid").mapInArrow(run, "a long, b long, g long, i int, j int")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``pairs(a, b, ...)`` with ``linked``: whether the whole sets of the two documents overlap enough.
+
+    Whole texts move only for documents that are in a pair. A document in many pairs is on the unique side of the joins, so it is split like
+    any skewed join key.
+    """
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    texts = docs.join(wanted, "doc_id", "left_semi")
+    left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            linked = []
+            for texts in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
+                x, y = (np.unique(shingle_hashes([t], words)[0]) for t in texts)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                linked.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
+            keep = [c for c in batch.schema.names if c not in ("text_a", "text_b")]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(linked, pa.bool_())], names=[*keep, "linked"])
+
+    rest = [c for c in pairs.columns if c not in ("a", "b")]
+    kinds = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in ("a", "b", *rest))
+    return both.select("a", "b", *rest, "text_a", "text_b").mapInArrow(run, f"{kinds}, linked boolean")
 
 
 def tiled(members: DataFrame, sizes: DataFrame, pairs: bool) -> DataFrame:
@@ -251,10 +304,17 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
     1. A sketch of fixed size over all documents gives the global order: frequent n-grams last.
     2. Equal sets are joined once, under their smallest doc_id. A set's prefix, its first ``size - ceil(percent * size) + 1``
        n-grams, shares an n-gram with that of every set it links to; n-grams that one prefix alone holds drop out.
-    3. Sets meet at their first shared n-gram, in prefix trees of at most about ``PART`` sets. What links gets one label; a second
-       round does the same with one set per label, so that large groups of near copies fall under one label.
-    4. The sets of every other shared n-gram meet likewise if they have different labels still and sizes that allow a link; larger groups
-       are cut into parts that meet in pairs. So every link is found or joins what is joined already.
+    3. Sets meet at their first shared n-gram, in prefix trees of at most about ``PART`` sets. Only a card of each travels there: size,
+       prefix in 32 bits an n-gram, and a bitmap of about a bit an n-gram, together a fifteenth of the set. Trees give candidates, and
+       these are verified on whole sets. What links gets one label; a second round does the same with one set per label, so that large groups
+       of near copies fall under one label.
+    4. The cards of every other shared n-gram meet likewise if they have different labels still and sizes that allow a link; larger groups
+       are cut into parts that meet in pairs. A candidate is taken for a link within its group, so that near copies do not give all their
+       pairs; groups in which verification proves that wrong give all their candidates in one more round. So every link is found or joins
+       what is joined already.
+
+    N-grams are known by 64 bits of hash, sets by their size and two sums of 64 bits. The longest text bounds the memory of a task, some 60
+    bytes a word.
 
     Texts without words have no n-gram and link with nothing, neither do rows without doc_id (their component is null). Rows that share a
     doc_id are one node. An empty table gives no rows; other columns are ignored.
@@ -266,19 +326,26 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
     release(spark)
     full = sets.where("n > 0 and doc_id is not null")
     distinct = full.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("sid"))
-    prefixes = full.join(distinct, ["n", "f1", "f2"]).where("doc_id = sid").select("sid", "n", F.explode("prefix").alias("g"))
+    chosen = full.join(distinct, ["n", "f1", "f2"]).where("doc_id = sid")
+    prefixes = chosen.select("sid", "n", F.explode("prefix").alias("g"))
     counted = prefixes.groupBy("g").agg(F.count("*").alias("c")).where("c > 1")
     shared = written(prefixes.join(counted.select("g"), "g"))
     wanted = shared.groupBy("sid").agg(F.min("g").alias("g"))
-    grams = written(with_grams(docs.join(wanted, docs.doc_id == wanted.sid).select("sid", "text"), words, levels))
+    cards = written(chosen.select("sid", "n", "head", "bits").join(wanted.select("sid"), "sid", "left_semi"))
     release(spark)
 
-    def met(rows: DataFrame, pairs: bool) -> DataFrame:
+    made: list[DataFrame] = [shared, cards]
+
+    def met(rows: DataFrame, pairs: bool, merge: bool = True) -> DataFrame:
+        """Pairs that meet in the groups of ``rows``, verified."""
         sizes = rows.groupBy("g").agg(F.count("*").alias("c"), F.min("label").alias("low"), F.max("label").alias("high"), F.max("own").alias("any_own"))
         sizes = sizes.where("low <> high and any_own").select("g", "c")
-        found = settle(join_sets(tiled(rows, sizes, pairs).join(grams, "sid"), percent, pairs))
+        found = written(join_sets(tiled(rows, sizes, pairs).join(cards, "sid"), percent, merge))
+        out = written(verified(found, docs, words, percent))
+        discard(found)
+        made.append(out)
         release(spark)
-        return found
+        return out
 
     labels = None
     links = None
@@ -287,26 +354,35 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
         if labels is not None:
             rows = rows.join(labels, rows.sid == labels.id, "left_anti").unionByName(
                 rows.join(labels.where("id = component_id"), rows.sid == labels.id, "left_semi"))
-        found = met(rows, False)
+        found = met(rows, False).where("linked").select("a", "b")
         links = found if links is None else links.unionByName(found)
         labels = settle(components(links))
         release(spark)
-    rows = shared.distinct().join(labels, shared.sid == labels.id, "left").select("sid", "g", "n", F.coalesce("component_id", "sid").alias("label"))
     # A doc_id on several rows is one node, so the sets of these rows belong together.
     several = full.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id")
     same = full.join(several, "doc_id").join(distinct, ["n", "f1", "f2"]).select(F.col("doc_id").alias("a"), F.col("sid").alias("b"))
-    links = links.unionByName(met(by_size(rows, percent), True)).unionByName(same)
-    discard(grams)
-    discard(shared)
-    final = settle(components(links))
+
+    def labelled(labels: DataFrame) -> DataFrame:
+        rows = shared.distinct().join(labels, shared.sid == labels.id, "left").select("sid", "g", "n", F.coalesce("component_id", "sid").alias("label"))
+        return by_size(rows, percent)
+
+    last = met(labelled(labels), True)
+    links = links.unionByName(last.where("linked").select("a", "b"))
+    wrong = last.where("not linked").select("g").distinct()
+    if wrong.take(1):
+        labels = settle(components(links))
+        links = links.unionByName(met(labelled(labels).join(wrong, "g", "left_semi"), True, merge=False).where("linked").select("a", "b"))
+    final = settle(components(links.unionByName(same)))
+    for table in made:
+        discard(table)
     release(spark)
     named = distinct.join(final, distinct.sid == final.id, "left").select("n", "f1", "f2", F.coalesce("component_id", "sid").alias("component_id"))
-    out = sets.join(named, ["n", "f1", "f2"], "left")
+    out = sets.drop("prefix", "head", "bits").join(named, ["n", "f1", "f2"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def described(docs: DataFrame, words: int, percent: int, levels: Broadcast) -> DataFrame:
-    """``doc_id, n, f1, f2, prefix``: size, fingerprint and prefix of each set."""
+    """``doc_id, n, f1, f2, prefix, head, bits``: size, fingerprint, prefix, and the prefix and bitmap of the set's card."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -320,20 +396,11 @@ def described(docs: DataFrame, words: int, percent: int, levels: Broadcast) -> D
                 stops = np.cumsum(size)
                 index = np.repeat(begins - (stops - size), size) + np.arange(int(stops[-1]))
                 prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stops]).astype(np.int32)), pa.array(key[index].astype(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), pa.array(n), pa.array(f1), pa.array(f2), prefix],
-                                                 names=["doc_id", "n", "f1", "f2", "prefix"])
-
-    return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, prefix array<long>")
-
-
-def with_grams(rows: DataFrame, words: int, levels: Broadcast) -> DataFrame:
-    """``sid, grams``: the ordered set as big-endian bytes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at, texts in batches_of(batch):
-                key, ends = ordered_sets(texts, words, levels.value)
-                blobs = [part.astype(">u8").tobytes() for part in np.split(key, ends[:-1])]
-                yield pa.RecordBatch.from_arrays([batch.column("sid").slice(at, len(texts)), pa.array(blobs, pa.binary())], names=["sid", "grams"])
-
-    return rows.mapInArrow(run, "sid long, grams binary")
+                short = (key[index] >> np.uint64(32)).astype(">u4")
+                head = [part.tobytes() for part in np.split(short, stops[:-1])]
+                bits = [parity_bits(part) for part in np.split(key, ends[:-1])]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(at, len(texts)), pa.array(n), pa.array(f1), pa.array(f2), prefix, pa.array(head, pa.binary()), pa.array(bits, pa.binary())],
+                    names=["doc_id", "n", "f1", "f2", "prefix", "head", "bits"])
+
+    return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, prefix array<long>, head binary, bits binary")
