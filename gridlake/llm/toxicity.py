@@ -1,14 +1,15 @@
 """Toxicity: Levenshtein automata over a lexicon trie find terms and their misspellings, windows around them give the score.
 
-The lexicon is learned from labelled documents: words and word beginnings that stand in toxic documents and hardly in others.
-A hit inside quotation marks or next to a word of reporting counts less than one that is said outright.
+The lexicon is learned from labelled documents: words and word beginnings that stand in toxic documents and hardly in others. So are the cues of
+reporting: words that stand next to a term where the document is not toxic. A hit inside a quotation, however long that is, or next to a
+cue counts less than one that is said outright.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -17,16 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
 
-# Marks around a quotation, and words that report what someone else said.
+# Marks around words, and those that open and close a quotation.
 MARKS = "\"'`.,;:!?()[]{}<>|*#%&$-_~=+/\\«»“”„‘’…"
 OPENING, CLOSING = "\"“„«‘", "\"”“»’"
-REPORTING = {"said", "says", "called", "quote", "quoted", "quotes", "quoting", "word", "term", "reported", "wrote", "slur", "insult",
-             "dit", "disait", "citation", "mot", "sagte", "zitat", "wort", "dijo", "cita", "palabra"}
 STEMS = range(3, 9)
-#: Words on both sides of a hit that tell quotation from abuse, and the length of the window whose hits are added.
+#: Words on both sides of a hit among which a cue of reporting counts, and the length of the window whose hits are added.
 CONTEXT, WINDOW = 4, 50
+#: States of the automaton a worker keeps; beyond it the automaton is started again.
+STATES = 200_000
 #: Words kept per worker whose match is known.
 KNOWN = 500_000
 
@@ -72,14 +72,18 @@ class Lexicon:
             else:
                 self.begins[at] = True
         self.letters = {c for node in self.children for c in node}
+        self.known: set[str] = set()
+        self.found: dict[str, float] = {}
+        self.restart()
+
+    def restart(self) -> None:
+        """The automaton without the states worked out so far."""
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.steps: list[dict[str, int]] = []
         self.accept: list[float] = []
         self.dead = self.state(frozenset())
         self.start = self.state(self.closed({(0, 0)}))
-        self.known: set[str] = set()
-        self.found: dict[str, float] = {}
 
     def closed(self, found: set[tuple[int, int]]) -> frozenset:
         """With the nodes reached by leaving out characters of a term."""
@@ -132,6 +136,9 @@ class Lexicon:
     def hits(self, words: set[str]) -> dict[str, float]:
         if len(self.known) >= KNOWN:
             self.known.clear()
+            self.found.clear()
+        if len(self.sets) >= STATES:
+            self.restart()
         for word in words - self.known:
             strength = self.strength(word.strip(MARKS))
             if strength:
@@ -145,20 +152,38 @@ def lexicon_of(terms: tuple[str, ...]) -> Lexicon:
     return Lexicon(list(terms))
 
 
-def features(text: str, lexicon: Lexicon) -> tuple[list[float], list[tuple[int, float]]]:
+def quotations(words: list[str]) -> list[bool]:
+    """Whether each word lies in a quotation: between a word that opens one and the next that closes one, over the whole text."""
+    inside, start = [False] * len(words), -1
+    for at, word in enumerate(words):
+        if start < 0 and word[:1] in OPENING:
+            start = at
+        if start >= 0:
+            end = word.rstrip(".,;:!?")
+            if end[-1:] and end[-1] in CLOSING and (at > start or len(end) > 1):
+                inside[start:at + 1] = [True] * (at + 1 - start)
+                start = -1
+    return inside
+
+
+def nearby(words: list[str], at: int) -> set[str]:
+    """Bare words around a place, without the word itself."""
+    around = words[max(0, at - CONTEXT):at] + words[at + 1:at + CONTEXT + 1]
+    return {w for w in (x.strip(MARKS) for x in around) if len(w) > 1}
+
+
+def features(text: str, lexicon: Lexicon, cues: frozenset = frozenset()) -> tuple[list[float], list[tuple[int, float]]]:
     """What the score is made of, and the hits (place of the word, strength after context)."""
     words = tokens(text)
     strengths = lexicon.hits(set(words))
     hits: list[tuple[int, float]] = []
     quoted = 0.0
+    inside = quotations(words) if strengths else []
     for at, word in enumerate(words) if strengths else ():
         strength = strengths.get(word)
         if not strength:
             continue
-        around = words[max(0, at - CONTEXT):at + CONTEXT + 1]
-        before, after = words[max(0, at - CONTEXT):at + 1], words[at:at + CONTEXT + 1]
-        inside = any(w[:1] in OPENING for w in before) and any(w.rstrip(".,;:!?")[-1:] in CLOSING for w in after if w.rstrip(".,;:!?"))
-        if inside or any(w.strip(MARKS) in REPORTING for w in around):
+        if inside[at] or not cues.isdisjoint(nearby(words, at)):
             quoted += strength
             strength *= 0.3
         hits.append((at, strength))
@@ -176,34 +201,35 @@ def features(text: str, lexicon: Lexicon) -> tuple[list[float], list[tuple[int,
 
 @dataclass
 class Model:
-    """Terms and the weights of a logistic score; the last weight is the constant."""
+    """Terms, cues of reporting and the weights of a logistic score; the last weight is the constant."""
 
     terms: list[str]
     weights: list[float] = field(default_factory=lambda: [0.0] * 5)
+    cues: list[str] = field(default_factory=list)
 
     def score(self, found: list[float]) -> float:
         z = self.weights[-1] + sum(w * x for w, x in zip(self.weights, found, strict=False))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def term_counts(labelled: DataFrame, only: frozenset | None = None) -> DataFrame:
-    """Documents per term of ``labelled(text, toxic)``: ``term, n``; each partition adds up its own first."""
+def counted(rows: DataFrame, found_in: Callable[[str], Iterable[str]]) -> DataFrame:
+    """Documents per term of ``rows(text, toxic)``: ``term, toxic, n``; each partition adds up its own first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found = terms_of(set(tokens(text or "")))
-                counts.update(found & only if only is not None else found)
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                counts.update((term, toxic) for term in found_in(text or ""))
             if len(counts) > 400_000:
                 yield made(counts)
                 counts = Counter()
         yield made(counts)
 
     def made(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
+        return pa.RecordBatch.from_arrays([pa.array([t for t, _ in counts], pa.string()), pa.array([k for _, k in counts], pa.int32()),
+                                           pa.array(list(counts.values()), pa.int64())], names=["term", "toxic", "n"])
 
-    return labelled.select("text").mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return rows.select("text", "toxic").mapInArrow(count, "term string, toxic int, n long").groupBy("term", "toxic").agg(F.sum("n").alias("n"))
 
 
 def gain(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
@@ -251,37 +277,63 @@ def fit(x: np.ndarray, y: np.ndarray, penalty: float = 0.05) -> list[float]:
     return [float(v) for v in w]
 
 
-def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, most_terms: int = 2_000, least_gain: float = 26.0,
+def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 100_000, fit_rows: int = 20_000, most_terms: int = 2_000, least_gain: float = 26.0,
           least_share: float = 0.9, candidate_share: float = 0.01) -> Model:
-    """A model of ``labels(doc_id, toxic)`` on ``docs(doc_id, text)``.
+    """A model of ``labels(doc_id, toxic)`` on ``docs(doc_id, text)``, fitted on a bounded sample of labelled rows.
 
-    Term counts cover all labelled documents. A candidate term stands in at least 6 toxic documents and a share
-    ``candidate_share`` of them; with d distinct terms in a document on average there are at most ``d / candidate_share`` of them,
-    whatever the corpus, so their set may go to every executor. Weights are fitted on the ``fit_rows`` labelled documents
-    that come first by a hash of the id. Null labels are left out; repeated ids count once each.
+    ``sample_rows``: the labelled ids that come first by a hash; terms and cues are counted in their documents. ``fit_rows``: those of them, in the same
+    order, on which the weights are fitted. The ids are a bounded list, so it goes to where the texts are, and no text is moved. A
+    candidate term stands in at least 6 toxic documents and a share ``candidate_share`` of them. ``most_terms`` bounds the lexicon that every
+    executor holds: those of the greatest gain. Null labels and ids are left out; repeated ids count once each.
     """
     known = labels.where("toxic is not null and doc_id is not null").select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
-    labelled = settle(docs.select(F.col("doc_id").cast("long"), "text").join(known, "doc_id").select("doc_id", "text", "toxic"))
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("toxic")]
+    first = known.orderBy(*order).limit(sample_rows)
+    labelled = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(first), "doc_id").select("doc_id", "text", "toxic")
     sizes = {r[0]: r[1] for r in labelled.groupBy("toxic").count().collect()}
     all_toxic, all_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not all_toxic or not all_clean:
         return Model([], [0.0] * 4 + [math.log((all_toxic + 1) / (all_clean + 9))])
     least = max(6, math.ceil(candidate_share * all_toxic))
-    toxic = {r[0]: r[1] for r in term_counts(labelled.where("toxic = 1")).where(F.col("n") >= least).collect()}
-    clean = {r[0]: r[1] for r in term_counts(labelled.where("toxic = 0"), frozenset(toxic)).collect()}
+    terms_in = lambda text: terms_of(set(tokens(text)))
+    toxic = {r[0]: r[2] for r in counted(labelled.where("toxic = 1"), terms_in).where(F.col("n") >= least).collect()}
+    candidates = frozenset(toxic)
+    clean = {r[0]: r[2] for r in counted(labelled.where("toxic = 0"), lambda text: terms_in(text) & candidates).collect()}
     terms = chosen({t: (n, clean.get(t, 0)) for t, n in toxic.items()}, all_toxic, all_clean, least_gain, least_share, most_terms)
-    sample = labelled.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(fit_rows)
-    rows = [r[:] for r in scored(sample, Model(terms), ["toxic"]).select("features", "toxic").collect()]
-    return Model(terms, fit(np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)))
+    cues = reporting_cues(labelled, terms, least_gain)
+    fitted = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(known.orderBy(*order).limit(fit_rows)), "doc_id")
+    rows = [r[:] for r in scored(fitted, Model(terms, cues=cues), ["toxic"]).select("features", "toxic").collect()]
+    return Model(terms, fit(np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)), cues)
+
+
+def reporting_cues(labelled: DataFrame, terms: list[str], least_gain: float) -> list[str]:
+    """Words that stand next to a term in documents that are not toxic, and hardly next to one in toxic documents."""
+
+    def around(text: str) -> set[str]:
+        own, words = lexicon_of(tuple(terms)), tokens(text)
+        strengths = own.hits(set(words))
+        return {w for at, word in enumerate(words) if word in strengths for w in ("", *nearby(words, at))} if strengths else set()
+
+    counts: dict[str, list[int]] = {}
+    for term, toxic, n in counted(labelled, around).where("n >= 3").collect():  # at most two words a side of each hit, of a bounded sample
+        counts.setdefault(term, [0, 0])[1 - toxic] += n
+    with_hit = counts.pop("", [0, 0])
+    return sorted(w for w, (bad, good) in counts.items() if not own_term(w, terms)
+                  and good >= 0.5 * (good + bad) and gain(good, bad, with_hit[1], with_hit[0]) >= least_gain)
+
+
+def own_term(word: str, terms: list[str]) -> bool:
+    return lexicon_of(tuple(terms)).strength(word) > 0
 
 
 def scored(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns of ``docs`` with ``score``, ``n_hits``, ``hit_words`` (places of the words) and ``features``."""
     keep = keep if keep is not None else ["doc_id"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = lexicon_of(tuple(model.terms))
+        own, cues = lexicon_of(tuple(model.terms)), frozenset(model.cues)
         for batch in batches:
-            found = [features(t or "", own) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            found = [features(t or "", own, cues) for t in batch.column(batch.num_columns - 1).to_pylist()]
             arrays = [pa.array([model.score(x) for x, _ in found], pa.float64()), pa.array([len(h) for _, h in found], pa.int32()),
                       pa.array([[at for at, _ in h] for _, h in found], pa.list_(pa.int32())),
                       pa.array([x for x, _ in found], pa.list_(pa.float64()))]
@@ -300,7 +352,7 @@ def rate(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options)
     on its own, so repeated rows get equal scores; an empty table gives no rows. ``lang``, ``source`` and other columns are not read.
     """
     fold = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")) % 3
-    model = learn(docs.where(fold != 1), labels, **options)
+    model = learn(docs.where(fold != 1), labels.where(fold != 1), **options)
     return scored(docs.withColumn("doc_id", F.col("doc_id").cast("long")), model).select(
         "doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "score", "n_hits", "hit_words",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
