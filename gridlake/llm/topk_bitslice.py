@@ -16,16 +16,16 @@ from pyspark.sql import functions as F
 
 from .common import groups_for
 
-#: Rows of an index block, queries that meet a block in one task, and the components that fit the adders.
-BLOCK, QUERIES, REACH = 16_384, 1_024, 1 << 27
+#: Rows of an index block, queries that meet a block in one task, the size from which a component fits no long, and the greatest long.
+BLOCK, QUERIES, REACH, LONG = 16_384, 1_024, 1 << 62, (1 << 63) - 1
 INDEX = "dims int, block int, n int, bits int, ids binary, low binary, slices binary"
 
 
 def quantised(vectors: DataFrame, factor: int = 64) -> DataFrame:
     """``vec_id, q`` with q = floor(factor * x), for the vectors that take part.
 
-    Left out are vectors that are null, empty or hold null or non-finite components or such of ``2**27 / factor`` and more in size, and rows
-    without id. An id that occurs several times counts once, with the smallest of its vectors.
+    Left out are vectors that are null, empty or hold null or non-finite components or such of ``2**62 / factor`` and more in size, whose integer
+    fits no long, and rows without id. An id that occurs several times counts once, with the smallest of its vectors. Other columns are not read.
     """
     v = F.col("embedding").cast("array<double>")
     bad = F.exists("q", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) >= REACH))
@@ -87,7 +87,7 @@ class Block:
     def score_slices(self, query: np.ndarray) -> tuple[list[np.ndarray], int]:
         """Bitmaps of the scores, least significant first, and what is to be added to every score."""
         wanted: dict[int, list[int]] = {}
-        constant = int(query @ self.low)
+        constant = sum(a * b for a, b in zip(query.tolist(), self.low.tolist(), strict=True))
         for d, value in enumerate(query.tolist()):
             for at, digit in signed_digits(value):
                 base = d * self.bits + (self.turned if digit < 0 else 0)
@@ -119,7 +119,7 @@ class Block:
             at += 1
         return out, constant
 
-    def best(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def best(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, list[int]]:
         """Ids and scores of the ``k`` best rows without ``query_id``, from the most significant slice downward."""
         slices, constant = self.score_slices(query)
         maybe = self.all.copy()
@@ -141,9 +141,10 @@ class Block:
         taken = positions(sure)
         if len(taken) < k:  # what is left has equal scores; ids ascend with the position
             taken = np.concatenate([taken, positions(maybe)[:k - len(taken)]])
-        scores = np.full(len(taken), constant, np.int64)
+        scores = [constant] * len(taken)
         for at, bitmap in enumerate(slices):
-            scores += (bitmap[taken >> 6] >> (taken & 63).astype(np.uint64) & np.uint64(1)).astype(np.int64) << at
+            here = (bitmap[taken >> 6] >> (taken & 63).astype(np.uint64) & np.uint64(1)).tolist()
+            scores = [s + (int(b) << at) for s, b in zip(scores, here, strict=True)]
         return self.ids[taken], scores
 
 
@@ -155,7 +156,8 @@ def top_k(index: DataFrame, queries: DataFrame, k: int = 20, per_task: int = QUE
     """``query_id, rank, vec_id, score``: the ``k`` best rows of the index for every row of ``queries(vec_id, q)``, without itself.
 
     Blocks of rows meet blocks of queries, each pair in a task of its own, which passes on ``k`` rows a query; ties go to the smaller id.
-    Queries meet rows with as many dimensions only. No queries or an empty index give no rows.
+    Queries meet rows with as many dimensions only. No queries or an empty index give no rows. Rows of a block are ranked by their exact scores;
+    a score that fits no long is given as the greatest or least long, and such scores of different blocks tie.
     """
     shares = groups_for(queries.count(), per_task)
     asked = queries.select(F.size("q").alias("dims"), F.pmod(F.xxhash64("vec_id"), F.lit(shares)).cast("int").alias("share"),
@@ -165,13 +167,13 @@ def top_k(index: DataFrame, queries: DataFrame, k: int = 20, per_task: int = QUE
     right = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks))))
 
     def answer(rows: pa.Table, wanted: pa.Table) -> pa.Table:
-        out: list[tuple[int, np.ndarray, np.ndarray]] = []
+        out: list[tuple[int, np.ndarray, list[int]]] = []
         if rows.num_rows:
             block = Block(rows.to_pylist()[0])
             out = [(i, *block.best(i, np.array(q, np.int64), k)) for i, q in zip(wanted["query_id"].to_pylist(), wanted["q"].to_pylist(), strict=True)]
         return pa.table({"query_id": pa.array([i for i, ids, _ in out for _ in ids], pa.int64()),
                          "vec_id": pa.array([x for _, ids, _ in out for x in ids.tolist()], pa.int64()),
-                         "score": pa.array([x for _, _, scores in out for x in scores.tolist()], pa.int64())})
+                         "score": pa.array([max(-LONG, min(LONG, x)) for _, _, scores in out for x in scores], pa.int64())})
 
     key = ["dims", "block", "share"]
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(answer, "query_id long, vec_id long, score long")
