@@ -2,7 +2,8 @@
 
 A value is found by its form, validated (check digits, ranges, calendar) and replaced by another one of the same form: a keyed permutation
 of all values of that form, so equal values get equal pseudonyms in all documents and different values different ones. Who has
-the key can undo it.
+the key can undo it. Where a form has fewer valid values than its digits allow, the permutation is walked on until it is valid again, so
+pseudonyms are valid values too and the set of valid values is permuted within itself.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+#: Steps of a walk; of dates and numbers a step misses with less than one half, so a walk of this length misses with less than 2 ** -64.
+WALK = 64
 
 # The forms that are looked for, in order of precedence where two begin at one place.
 FORMS = {
@@ -53,6 +56,11 @@ def permuted_digits(key: str, kind: str, digits: str) -> str:
     return f"transform(array({pair}), p -> concat(lpad(cast(p.l as string), cast({n} div 2 as int), '0'), lpad(cast(p.r as string), cast({n} - {n} div 2 as int), '0')))[0]"
 
 
+def walked(first: str, step: str, valid: str) -> str:
+    """``first``, replaced by ``step`` of itself (as ``at``) until ``valid`` (of ``at``) holds."""
+    return f"aggregate(sequence(1, {WALK}), {first}, (at, walk) -> if({valid}, at, {step}))"
+
+
 def refilled(form: str, digits: str) -> str:
     """``form`` with its digits replaced by ``digits``, one after the other."""
     return (f"aggregate(split({form}, ''), named_struct('o', '', 'k', 1), (s, c) -> if(c rlike '[0-9]', "
@@ -75,9 +83,13 @@ def shifted(text: str, other: str, key: str, turn: str) -> str:
     pad = f"concat_ws('|', {sql_text(key)}, 'text', {turn}, length({text}), {other})"
     byte = "cast(conv(substr(h[j div 32], 2 * (j % 32) + 1, 2), 16, 10) as int)"
     stream = f"transform(sequence(0, length({text}) div 32), b -> sha2(concat_ws('|', {pad}, b), 256))"
+    # Other letters move within their row of 32 code points, which keeps the alphabet.
+    point = f"ascii(c) - ascii(c) % 32 + (ascii(c) % 32 + {byte}) % 32"
+    other_letter = f"decode(unhex(lpad(hex({point}), 8, '0')), 'UTF-32')"
     moved = (f"case when c between '0' and '9' then char(48 + (ascii(c) - 48 + {byte}) % 10) "
              f"when ascii(c) between 97 and 102 then char(97 + (ascii(c) - 97 + {byte}) % 6) when ascii(c) between 103 and 122 then char(103 + (ascii(c) - 103 + {byte}) % 20) "
-             f"when ascii(c) between 65 and 70 then char(65 + (ascii(c) - 65 + {byte}) % 6) when ascii(c) between 71 and 90 then char(71 + (ascii(c) - 71 + {byte}) % 20) else c end")
+             f"when ascii(c) between 65 and 70 then char(65 + (ascii(c) - 65 + {byte}) % 6) when ascii(c) between 71 and 90 then char(71 + (ascii(c) - 71 + {byte}) % 20) "
+             f"when ascii(c) > 127 then {other_letter} else c end")
     return f"if({text} = '', '', {let(stream, 'h', f'''array_join(transform(split({text}, ''), (c, j) -> {moved}), '')''')})"
 
 
@@ -95,15 +107,20 @@ def pseudonym(key: str) -> str:
         permuted_digits(key, "card", "substr(d, 1, length(d) - 1)"), "e", let(f"concat(e, cast((10 - {digit_sum('e')} % 10) % 10 as string))", "f", refilled("v", "f"))) + ", v)")
     country = "regexp_extract(v, '^[+][0-9]{1,3}(?=[^0-9])', 0)"
     phone = let(country, "c", let("regexp_replace(substr(v, length(c) + 1), '[^0-9]', '')", "d", f"if(length(d) between 7 and 14, concat(c, {let('substr(v, length(c) + 1)', 'w', let(permuted_digits(key, 'phone', 'd'), 'e', refilled('w', 'e')))}), v)"))
-    ssn = let(digits, "d", f"if(d rlike '^(?!000|666|9)[0-9]{{3}}(?!00)[0-9]{{2}}(?!0000)[0-9]{{4}}$', {let(permuted_digits(key, 'ssn', 'd'), 'e', refilled('v', 'e'))}, v)")
+    right_ssn = "rlike '^(?!000|666|9)[0-9]{3}(?!00)[0-9]{2}(?!0000)[0-9]{4}$'"
+    ssn = let(digits, "d", f"if(d {right_ssn}, {let(walked(permuted_digits(key, 'ssn', 'd'), permuted_digits(key, 'ssn', 'at'), 'at ' + right_ssn), 'e', refilled('v', 'e'))}, v)")
     octets = "transform(split(v, '[.]'), x -> cast(x as bigint))"
     four = permuted(key, "ip", "o[0] * 256 + o[1]", "o[2] * 256 + o[3]", "65536", "65536")
     ip = let(octets, "o", "if(forall(o, x -> x <= 255), " + let(four, "p", "concat_ws('.', p.l div 256, p.l % 256, p.r div 256, p.r % 256)") + ", v)")
     order = "case when substr(v, 5, 1) rlike '[-/]' then 'y' when substr(v, 3, 1) = '.' then 'd' when try_cast(concat(right(v, 4), '-', substr(v, 1, 2), '-', substr(v, 4, 2)) as date) is null then 'd' else 'm' end"
     iso = "case o when 'y' then replace(v, '/', '-') when 'd' then concat(right(v, 4), '-', substr(v, 4, 2), '-', left(v, 2)) else concat(right(v, 4), '-', left(v, 2), '-', substr(v, 4, 2)) end"
+    # A date with a slash is month first if that makes a date, else day first. So that each reading stays with its own values, a date that
+    # can only be day first becomes another day beyond the twelfth, and all others are permuted among all dates.
+    day = lambda n: f"date_add(date'{DAYS_FROM}', cast({n} as int))"
+    turn = lambda n: let(permuted(key, "date", f"{n} div {DAYS[1]}", f"{n} % {DAYS[1]}", str(DAYS[0]), str(DAYS[1])), "p", f"p.l * {DAYS[1]} + p.r")
+    late = f"o <> 'd' or substr(v, 3, 1) = '.' or day({day('at')}) > 12"
     number = let(f"cast(datediff(try_cast({iso} as date), date'{DAYS_FROM}') as bigint)", "n", "if(n is null or n < 0 or n >= 146097, v, " + let(
-        permuted(key, "date", f"n div {DAYS[1]}", f"n % {DAYS[1]}", str(DAYS[0]), str(DAYS[1])), "p",
-        let(f"date_add(date'{DAYS_FROM}', cast(p.l * {DAYS[1]} + p.r as int))", "t",
+        walked(turn("n"), turn("at"), late), "m", let(day("m"), "t",
             "case o when 'y' then date_format(t, concat('yyyy', substr(v, 5, 1), 'MM', substr(v, 5, 1), 'dd')) when 'd' then date_format(t, concat('dd', substr(v, 3, 1), 'MM', substr(v, 3, 1), 'yyyy')) else date_format(t, 'MM/dd/yyyy') end")) + ")")
     date = let(order, "o", number)
     bare = "replace(v, ' ', '')"
@@ -126,24 +143,28 @@ def loose(form: str) -> str:
     return "(?:" + form + ")"
 
 
-def pseudonymise(documents: DataFrame, key: str = "gridlake", column: str = "text") -> DataFrame:
-    """``documents`` with personal data in ``column`` replaced; ``n_pii`` counts the values that were changed.
+def pseudonymise(documents: DataFrame, key: str, column: str = "text") -> DataFrame:
+    """``documents`` with personal data in ``column`` replaced; ``n_pii`` counts the values that were changed. ``key`` is the secret of the permutations.
 
     Mail addresses (the part before @), IBANs (check digits made anew), card numbers (13 to 19 digits with a right Luhn digit, made anew), phone
     numbers (all but the country code), social security numbers, IPv4 addresses, dates of the years 1800 to 2199, and the secret part of
     keys and passwords. Numbers that fail validation stay as they are. Each form is permuted on its own: spaces and separators
-    stay, letters stay letters, digits digits.
+    stay, letters stay letters of their alphabet, digits digits.
 
     A null text stays null, an empty one empty; texts of any length are scanned once, with bounded look-around. Rows are
-    independent, so repeated rows, ties and an empty table need no rule; other columns are kept (``n_pii`` is replaced).
+    independent, so repeated rows, ties and an empty table need no rule; other columns are kept whatever their names (``n_pii`` is replaced).
     """
+    if not key:
+        raise ValueError("a key is needed")
     found = sql_text("|".join(FORMS.values()))
     text = f"`{column}`"
     values = f"transform(regexp_extract_all({text}, {found}, 0), v -> named_struct('v', v, 'p', {pseudonym(key)}))"
     # A text without digit, @ sign or assignment holds none of the forms.
     likely = f"{text} rlike '[0-9@=:]'"
-    held = documents.withColumn("_pii", F.expr(f"if({likely}, {values}, null)"))
-    some = "size(_pii) > 0"
-    joined = f"concat_ws('', transform(arrays_zip(split({text}, {found}, -1), _pii), z -> concat(z['0'], coalesce(z['_pii'].p, ''))))"
-    return (held.withColumn("n_pii", F.expr("coalesce(size(filter(_pii, x -> x.p <> x.v)), 0)").cast("long"))
-            .withColumn(column, F.expr(f"if({some}, {joined}, {text})")).drop("_pii"))
+    own = "_pii"
+    while own in documents.columns:
+        own += "_"
+    held = documents.withColumn(own, F.expr(f"if({likely}, {values}, null)"))
+    joined = f"concat_ws('', transform(arrays_zip(split({text}, {found}, -1), {own}), z -> concat(z['0'], coalesce(z['{own}'].p, ''))))"
+    return (held.withColumn("n_pii", F.expr(f"coalesce(size(filter({own}, x -> x.p <> x.v)), 0)").cast("long"))
+            .withColumn(column, F.expr(f"if(size({own}) > 0, {joined}, {text})")).drop(own))

@@ -176,8 +176,8 @@ def test_pseudonyms_keep_form_and_links(spark):
              "me@site.org wrote to me@site.org", "ip 10.20.30.40 not 300.1.1.1", "ssn 123-45-6789 not 000-45-6789", "IBAN DE89 3704 0044 0532 0130 00", None, "", "plain " * 5000]
     rows = [(i, t, 9, "k") for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_pii int, _key string")
-    got = {r.doc_id: r for r in pii.pseudonymise(df).collect()}
-    assert pii.pseudonymise(df).columns == ["doc_id", "text", "_key", "n_pii"] or set(pii.pseudonymise(df).columns) == {"doc_id", "text", "_key", "n_pii"}
+    got = {r.doc_id: r for r in pii.pseudonymise(df, "key").collect()}
+    assert pii.pseudonymise(df, "key").columns == ["doc_id", "text", "_key", "n_pii"] or set(pii.pseudonymise(df, "key").columns) == {"doc_id", "text", "_key", "n_pii"}
     one, two = re.findall(r"\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}", got[0].text)
     digits = one.replace(" ", "")
     assert digits == two.replace("-", "") == got[1].text != "4111111111111111" and luhn(digits)
@@ -197,9 +197,9 @@ def test_pseudonyms_keep_form_and_links(spark):
 
 def test_pseudonyms_are_a_permutation(spark):
     dates = spark.range(3000).select(F.expr("cast(date_add(date'1990-01-01', cast(id as int)) as string)").alias("text"))
-    got = [r.text for r in pii.pseudonymise(dates).collect()]
+    got = [r.text for r in pii.pseudonymise(dates, "key").collect()]
     assert len(set(got)) == 3000 and all(re.fullmatch(r"\d{4}-\d\d-\d\d", t) for t in got)
-    assert pii.pseudonymise(dates.limit(0)).count() == 0
+    assert pii.pseudonymise(dates.limit(0), "key").count() == 0
 
 
 # 4 sharding
