@@ -102,8 +102,12 @@ def pack(pieces: DataFrame, capacity: int = 2048, per_group: int = 8192, seed: i
     Pieces are dealt into groups of about ``per_group`` by a seeded hash of document and start, and each group is packed on its
     own, so work and memory of a task do not depend on the corpus; the padding lost to grouping is part of one sequence a
     group. Groups are dealt by row, so a document or source of any size spreads over all of them. Equal pieces are
-    told apart by nothing but their place in the sort and are interchangeable. Other columns (``ids``) are carried along.
+    told apart by nothing but their place in the sort and are interchangeable. Other columns (``ids``) are carried along; ``_grp``,
+    ``sequence_id`` and ``offset`` are refused.
     """
+    taken = {"_grp", "sequence_id", "offset"} & set(pieces.columns)
+    if taken:
+        raise ValueError(f"columns {sorted(taken)} are made here")
     groups = groups_for(pieces.count(), per_group)
     keyed = pieces.withColumn("_grp", F.pmod(F.xxhash64("doc_id", "start", F.lit(seed)), F.lit(groups)))
     names = [*pieces.columns, "sequence_id", "offset"]

@@ -28,14 +28,18 @@ def interleave(rows: DataFrame, shards: int, strata: str = "source", seed: int =
     buckets of the fraction, each after the total of the buckets before it. A stratum with a third of all rows has
     a third of the buckets. The bucket totals, one row per 20,000 rows, are all that is ranked beyond a bucket.
 
-    A null stratum is a stratum. Repeated rows and doc_ids are dealt one by one; rows equal in every column are interchangeable. An
-    empty table gives no rows. Columns named like the helpers (``_h``, ``_f``, ...) are not allowed; all others are kept.
+    A null stratum is a stratum. Repeated rows and doc_ids are dealt one by one; rows equal in every column are interchangeable. The law is one of
+    rows: equal texts in different rows are dealt like any rows and may come into several shards. An empty table gives no rows. All columns are kept
+    whatever their names; earlier ``shard`` and ``slot`` are replaced. Long texts travel with their row, so shard narrow rows and join back by key.
     """
+    rows = rows.drop("shard", "slot")
     n = rows.count()
     buckets = groups_for(n, per_bucket)
     kept = [c for c, t in rows.dtypes if not t.startswith(("map", "variant"))]
     mixed = F.xxhash64(*[F.col(f"`{c}`") for c in kept], F.lit(seed))
-    keyed = rows.withColumn("_h", mixed).withColumn("_s", F.coalesce(F.col(f"`{strata}`").cast("string"), F.lit("\x00null")))
+    # A row travels as one column, so that no name of the caller's meets one of these.
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row")
+    keyed = rows.select(whole, mixed.alias("_h"), F.coalesce(F.col(f"`{strata}`").cast("string"), F.lit("\x00null")).alias("_s"))
     keyed = keyed.withColumn("_b", F.least(F.floor(unit(F.col("_h")) * buckets), F.lit(buckets - 1)).cast("int"))
 
     totals = keyed.groupBy("_s", "_b").agg(F.count("*").alias("_c"))
@@ -43,7 +47,7 @@ def interleave(rows: DataFrame, shards: int, strata: str = "source", seed: int =
     starts = totals.select(
         "_s", "_b", (F.sum("_c").over(by_stratum.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_c")).alias("_before"),
         F.sum("_c").over(by_stratum).alias("_n"))
-    order = [F.col("_h"), *[F.col(f"`{c}`") for c, t in rows.dtypes if not t.startswith(("map", "array", "struct", "variant"))]]
+    order = [F.col("_h"), *[F.col(f"row.`{c}`") for c, t in rows.dtypes if not t.startswith(("map", "array", "struct", "variant"))]]
     ranked = keyed.withColumn("_r", F.row_number().over(Window.partitionBy("_s", "_b").orderBy(*order)))
     phase = unit(F.xxhash64(F.col("_s"), F.lit(seed + 1)))
     placed = ranked.join(starts, ["_s", "_b"]).withColumn(
@@ -56,5 +60,4 @@ def interleave(rows: DataFrame, shards: int, strata: str = "source", seed: int =
     numbered = placed.withColumn("_i", inside).join(first, "_g").withColumn("_pos", F.col("_start") + F.col("_i") - 1)
     numbered = numbered.withColumn("shard", F.expr(f"cast(_pos * {shards} div {max(n, 1)} as int)"))
     # First position of shard s is ceil(s * n / shards).
-    return numbered.withColumn("slot", F.expr(f"_pos - (shard * {n}L + {shards - 1}) div {shards}")).select(
-        *[F.col(f"`{c}`") for c in rows.columns], "shard", "slot")
+    return numbered.withColumn("slot", F.expr(f"_pos - (shard * {n}L + {shards - 1}) div {shards}")).select("row.*", "shard", "slot")
