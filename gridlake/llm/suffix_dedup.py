@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from .common import discard, release, runs, smallest, written
 
-#: Length of an anchor, and bytes of pieces that are sorted at once.
-ANCHOR, SHARD = 32, 4_000_000
+#: Length of an anchor, bytes of pieces that are sorted at once, and bytes of a text that are hashed at once.
+ANCHOR, SHARD, SLICE = 32, 4_000_000, 1 << 26
+#: Different characters up to which a bucket is dealt out as a whole; a string of more is dealt out suffix by suffix.
+BUCKETS = 2_000
 ODD = 0x9E3779B97F4A7C15
 
 
@@ -89,12 +91,23 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int, size: int) -> tuple
 
 
 def found_anchors(docs: DataFrame, length: int, size: int) -> DataFrame:
-    """``h, p, doc, sub, start, n``: the anchors of ``docs(doc, sub, text)``, a text of any length at a time."""
+    """``h, p, doc, sub, start, n``: the anchors of ``docs(doc, sub, text)``.
+
+    Short texts are hashed together, a long one in slices that overlap, so that every string lies in one slice whole. A piece that a slice cuts
+    becomes two with one anchor.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs_, subs, texts = (batch.column(c) for c in ("doc", "sub", "text"))
-            raw = [t.encode("utf-8") for t in texts.to_pylist()]
+            raw, row, offset = [], [], []
+            for i, text in enumerate(texts.to_pylist()):
+                whole = text.encode("utf-8")
+                for start in range(0, max(1, len(whole) - length + 1), SLICE):
+                    raw.append(whole[start:start + SLICE + length - 1])
+                    row.append(i)
+                    offset.append(start)
+            row, offset = np.array(row, np.int64), np.array(offset, np.int64)
             at = 0
             while at < len(raw):
                 end, total = at, 0
@@ -105,8 +118,8 @@ def found_anchors(docs: DataFrame, length: int, size: int) -> DataFrame:
                     ends = np.cumsum([len(x) for x in raw[at:end]])
                     h, starts, n, p = anchors(np.frombuffer(b"".join(raw[at:end]), np.uint8), ends, length, size)
                     of = np.searchsorted(ends, starts, "right")
-                    rows = pa.array(of + at)
-                    begins = np.concatenate([[0], ends[:-1]])[of]
+                    rows = pa.array(row[of + at])
+                    begins = np.concatenate([[0], ends[:-1]])[of] - offset[of + at]
                     yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(p), docs_.take(rows), subs.take(rows), pa.array((starts - begins).astype(np.int32)),
                                                       pa.array(n.astype(np.int32))], names=["h", "p", "doc", "sub", "start", "n"])
                 at = end
@@ -117,9 +130,9 @@ def found_anchors(docs: DataFrame, length: int, size: int) -> DataFrame:
 def suffix_array(s: np.ndarray) -> np.ndarray:
     """Suffix array of small integers that end with a unique least one, by induced sorting.
 
-    Buckets are filled one after the other, and all suffixes that a bucket induces are dealt out at once, in order. The sorted
-    leftmost-smaller substrings get names; the string of names is sorted by the same function while it has few different ones,
-    else, where a step per bucket doesn't pay, by doubling.
+    Buckets are filled one after the other. All suffixes that a bucket induces are dealt out at once, in order, or one by one where
+    buckets are many and small. The sorted leftmost-smaller substrings get names; the string of names is sorted by the same function, until all
+    names differ. Each level has at most half the length of the one before, and its work is linear in it.
     """
     n, sigma = len(s), int(s.max()) + 1
     if n == 1:
@@ -175,6 +188,31 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
         table[0] = n - 1
         return table
 
+    def one_by_one(order: np.ndarray) -> np.ndarray:
+        """The same without a step per bucket."""
+        chars, upward, table = s.tolist(), smaller.tolist(), [-1] * n
+        fill = tails.tolist()
+        for j in reversed(order.tolist()):
+            fill[chars[j]] -= 1
+            table[fill[chars[j]]] = j
+        fill = heads.tolist()
+        for i in range(n):
+            j = table[i] - 1
+            if j >= 0 and not upward[j]:
+                c = chars[j]
+                table[fill[c]] = j
+                fill[c] += 1
+        fill = tails.tolist()
+        for i in range(n - 1, -1, -1):
+            j = table[i] - 1
+            if j >= 0 and upward[j]:
+                c = chars[j]
+                fill[c] -= 1
+                table[fill[c]] = j
+        return np.array(table, np.int64)
+
+    if sigma > BUCKETS:
+        induced = one_by_one
     if len(lms) <= 1:
         return induced(lms)
     table = induced(lms)
@@ -196,28 +234,11 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     reduced = names[lms]
     if int(reduced.max()) + 1 == len(reduced):
         rank = np.argsort(reduced)
-    elif reduced.max() < 2_000:
-        rank = suffix_array(reduced)
     else:
-        rank = doubled(reduced)
+        rank = suffix_array(reduced)
     return induced(lms[rank])
 
 
-def doubled(names: np.ndarray) -> np.ndarray:
-    """Suffix array of names: ranks of twice as many names from pairs of ranks, until all differ."""
-    rank, width = names, 1
-    while True:
-        key = rank * (int(rank.max()) + 2)
-        key[:-width] += rank[width:] + 1
-        order = np.argsort(key, kind="stable")
-        sorted_ = key[order]
-        new = np.empty_like(rank)
-        new[order] = np.concatenate([[0], np.cumsum(sorted_[1:] != sorted_[:-1])])
-        if int(new.max()) + 1 == len(new):
-            return order
-        rank, width = new, 2 * width
-
-
 def common_prefixes(s: np.ndarray, table: np.ndarray, limit: int) -> np.ndarray:
     """By place in the text: the common prefix with the suffix before it in the array, exact up to ``limit``.
 
@@ -296,6 +317,9 @@ def remove_repeats(documents: DataFrame, length: int = 100, size: int = ANCHOR,
     Counts and first places are pre-aggregated before they are shuffled, and joins back to them have a unique side, so a passage in a
     third of all documents is split like any skewed join key. Texts are shuffled twice, never grouped with each other.
 
+    Pieces count as equal if 128 bits of hash agree; of n pieces two different ones do so with a chance below n * n / 2 ** 128. A task holds some 64 bytes
+    for a byte of the longest text, up to a slice of 64 MB, and of a shard. A text of 2 GB or more fits no row of Spark.
+
     A null text is empty; a null id comes before all others. Rows that share id and text are one document and get the same result; texts that
     share an id otherwise come in the order of a hash. An empty table gives no rows; other columns are ignored.
     """
