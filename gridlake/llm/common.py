@@ -12,12 +12,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch. Texts may hold hundreds of kilobytes each, so batches stay at some tens of megabytes.
-BATCH_ROWS = "512"
+#: Bytes and rows of an Arrow batch: texts may hold hundreds of kilobytes each, and short ones give many rows out for one in.
+BATCH_BYTES, BATCH_ROWS = "16m", "512"
 
 
 def text_batches(spark: SparkSession) -> SparkSession:
-    """Set the Arrow batch size the text operators are laid out for."""
+    """Set the Arrow batch size the text operators are laid out for; plans read it when they run, so it stays set."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark
 
