@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import release, settle, written
+from .common import discard, release, settle, written
 
 #: Shorter lines (in characters) are neither removed nor compared.
 LEAST = 20
@@ -38,9 +38,10 @@ def part_keys() -> F.Column:
 
 
 def keyed_lines(lines: DataFrame) -> DataFrame:
+    """``h1, side, q, key``: half of a line's hash is enough here, since two lines that share it only share candidates."""
     at = F.col("at")
-    return lines.select("h1", "h2", "q", "p", F.posexplode("keys").alias("at", "key")).select(
-        "h1", "h2", (at % 4).alias("side"), F.when(at < 4, F.col("q")).otherwise(F.col("p")).alias("q"), "key")
+    return lines.select("h1", "q", "p", F.posexplode("keys").alias("at", "key")).select(
+        "h1", (at % 4).cast("byte").alias("side"), F.when(at < 4, F.col("q")).otherwise(F.col("p")).alias("q"), "key")
 
 
 def variant_rows(lines: DataFrame) -> DataFrame:
@@ -101,15 +102,15 @@ def dedup_lines(documents: DataFrame, least: int = LEAST, edits: int = 1) -> Dat
     spark = documents.sparkSession
     place = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64("text").alias("sub")]
     docs = documents.where("text is not null").select(*place, "text")
-    lines = written(line_rows(docs, least, bool(edits)))
-    narrow = lines.select("doc", "sub", "no", "h1", "h2")
+    narrow = written(line_rows(docs, least, False).select("doc", "sub", "no", "h1", "h2"))
     firsts = settle(narrow.groupBy("h1", "h2").agg(F.min(F.struct("doc", "sub", "no")).alias("first"), F.count("*").alias("c")))
     gone = None
     if edits:
-        keyed = keyed_lines(lines)
+        # Keys are as long as many lines, so they are made where they are used instead of being kept.
+        keyed = keyed_lines(line_rows(docs, least, True))
         buckets = keyed.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo < hi").select("key")
-        sides = keyed.join(buckets, "key").groupBy("h1", "h2").agg(F.collect_set(F.struct("side", "q")).alias("sides"))
-        wanted = settle(sides.join(firsts, ["h1", "h2"]).select("h1", "h2", "sides", "first.*"))
+        sides = keyed.join(buckets, "key").groupBy("h1").agg(F.collect_set(F.struct(F.col("side").cast("int").alias("side"), "q")).alias("sides"))
+        wanted = settle(sides.join(firsts, "h1").select("h1", "h2", "sides", "first.*"))
         release(spark)
         by_doc = wanted.groupBy("doc", "sub").agg(F.collect_list(F.struct("no", "h1", "h2", "sides")).alias("w"))
         found = docs.join(by_doc, ["doc", "sub"]).select(F.split("text", "\n", -1).alias("all"), "doc", "sub", F.explode("w").alias("w")).select(
@@ -131,10 +132,14 @@ def dedup_lines(documents: DataFrame, least: int = LEAST, edits: int = 1) -> Dat
     dropped = narrow.join(known, ["h1", "h2"]).where(F.col("near") | (F.struct("doc", "sub", "no") != F.struct("first.doc", "first.sub", "first.no")))
     lists = settle(dropped.groupBy("doc", "sub").agg(F.collect_set("no").alias("gone")))
     release(spark)
-    keyed_docs = documents.drop("n_lines", "n_removed").withColumn("_doc", place[0]).withColumn("_sub", place[1])
-    joined = keyed_docs.join(lists.withColumnsRenamed({"doc": "_doc", "sub": "_sub", "gone": "_gone"}), ["_doc", "_sub"], "left")
-    kept = F.expr("array_join(filter(split(text, '\\n', -1), (l, i) -> not array_contains(_gone, i)), '\\n')")
-    return (joined.withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long"))
-            .withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
-            .withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept))
-            .select(*[F.col(f"`{c}`") for c in documents.columns if c not in ("n_lines", "n_removed")], "n_lines", "n_removed"))
+    discard(narrow)
+    # The row travels as one column, so that no name of the caller's meets one of these.
+    columns = [c for c in documents.columns if c not in ("n_lines", "n_removed")]
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), place[0], place[1])
+    joined = rows.join(lists, ["doc", "sub"], "left")
+    text = F.col("row.text")
+    kept = F.expr("array_join(filter(split(row.text, '\\n', -1), (l, i) -> not array_contains(gone, i)), '\\n')")
+    return joined.select(
+        *[F.when(F.col("gone").isNull(), text).otherwise(kept).alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in columns],
+        F.coalesce(F.size(F.split(text, "\n", -1)), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
