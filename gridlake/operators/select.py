@@ -67,9 +67,11 @@ def label_period(label: str) -> tuple[datetime, datetime | None]:
 def in_label(time: Column, label: str, kind: str | DataType = "timestamp") -> Column:
     """Whether a time is the one a text names, or lies in the period a shorter text names (``2026-08-19``)."""
     start, end = label_period(label)
+    # As text, a time is read in the time zone of the session, whatever that of the machine.
+    moment = lambda t: F.lit(t.isoformat(" ")).cast(kind)
     if end is None:
-        return time == F.lit(start).cast(kind)
-    return (time >= F.lit(start).cast(kind)) & (time < F.lit(end).cast(kind))
+        return time == moment(start)
+    return (time >= moment(start)) & (time < moment(end))
 
 
 def at_label(df: DataFrame, label: str, time: str = "valid_time") -> DataFrame:

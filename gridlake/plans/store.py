@@ -34,6 +34,7 @@ WRITE_OPTIONS = {
     "parquet.page.row.count.limit": "64",
     "parquet.page.size.row.check.min": "1",
 }
+REPORT_ORDER = ["grp", "part", "n", "place", "var", "line"]
 ATTRIBUTES = ["shortname", "units", "long_name", "acc_hours", "dt_hours", "source_name"]
 
 # Lines of the inspection report.
@@ -215,7 +216,8 @@ class GridStore:
         """The same as a list; KeyError for an unknown group."""
         if group is not None and not self.fields.filter(F.col("grp") == group).take(1):
             raise KeyError(f"no group {group!r}")
-        return [r["var"] for r in self.field_list(group).toLocalIterator()]
+        held = self.fields if group is None else self.fields.filter(F.col("grp") == group)
+        return sorted(r["var"] for r in held.select("var").distinct().collect())
 
     def inventory(self) -> DataFrame:
         """Per run and group: variables, times, first and last time, grid size."""
@@ -235,10 +237,16 @@ class GridStore:
         ``details``: ``time`` or ``times``, ``grid``, ``chunks`` (size of a tile) or ``compression`` (codec of the files); ``verbose`` shows times
         too. Variables stand in stored order, by name with ``sortfields``.
         """
+        rows = self._report_rows(details, sortfields, verbose)
+        head = self.fields.sparkSession.createDataFrame(
+            [("", 0, n, line, 0, "") for n, line in enumerate(self._title())] + [("\uffff", 9, 0, f"\n{RULER}", 0, "")], rows.schema)
+        return head.unionByName(rows).orderBy(*REPORT_ORDER)
+
+    def _title(self) -> list[str]:
+        return [RULER, TITLE + self.name, RULER]
+
+    def _report_rows(self, details: str | None, sortfields: bool, verbose: bool) -> DataFrame:
         group = self.inventory()
-        title = F.array(F.lit(RULER), F.lit(TITLE + self.name), F.lit(RULER))
-        head = group.agg(F.first("n_vars")).select(F.lit("").alias("grp"), F.lit(0).alias("part"), F.posexplode(title).alias("n", "line"),
-                                                   F.lit(0).alias("place"), F.lit("").alias("var"))
         lines = [F.lit(""), F.format_string(GROUP_LINE, "grp", "n_vars", "n_times"),
                  F.concat(F.lit(RANGE_LINE), F.coalesce(iso_text(F.col("first_time")), F.lit("Static / None")), F.lit(" -> "),
                           F.coalesce(iso_text(F.col("last_time")), F.lit("Static / None")))]
@@ -266,8 +274,7 @@ class GridStore:
             line = F.concat(line, F.lit(f" | compressor: {WRITE_OPTIONS['compression']}"))
         place = F.lit(0) if sortfields else F.coalesce("field_order", F.lit(0))
         body = self.fields.select(grp.alias("grp"), F.lit(2).alias("part"), F.lit(0).alias("n"), line.alias("line"), place.alias("place"), "var")
-        foot = head.filter("n = 0").withColumns({"part": F.lit(9), "grp": F.lit("\uffff"), "line": F.lit(f"\n{RULER}")})
-        return head.unionByName(top).unionByName(body).unionByName(foot).orderBy("grp", "part", "n", "place", "var", "line")
+        return top.unionByName(body)
 
     def what(self, details: str | None = None, output_dir: str | None = None, stdout: bool = True, sortfields: bool = False,
              verbose: bool = False) -> str:
@@ -275,8 +282,8 @@ class GridStore:
 
         The report has one line per variable of the opened run, so it is small by nature.
         """
-        lines = self.report(details, sortfields, verbose)
-        report = "\n".join(r["line"] for r in lines.toLocalIterator())
+        rows = sorted(self._report_rows(details, sortfields, verbose).collect(), key=lambda r: tuple(r[c] for c in REPORT_ORDER))
+        report = "\n".join([*self._title(), *[r["line"] for r in rows], f"\n{RULER}"])
         if output_dir is not None:
             _write_text(self.fields.sparkSession, f"{output_dir}/{self.name}.info", report + "\n")
         elif stdout:
@@ -296,9 +303,7 @@ class GridStore:
         on the axis of the group (negative from the end) and a text names a time or a period of it; both are ignored if the axis has one time. A time of
         the axis the field itself lacks is shown as missing: its tiles come from the field's first time, without values.
         """
-        held = self.fields.filter(F.col("var") == var)
-        if group is not None:
-            held = held.filter(F.col("grp") == group)
+        held = self._held(var, group)
         chosen = held.groupBy("run_id").agg(F.min("grp").alias("grp"))
         field = held.join(chosen, PARTITIONS).select(*PARTITIONS, "level_type", "level", "times")
         if timestep is None:
@@ -325,23 +330,22 @@ class GridStore:
         Of one opened run group and times become literals of the scan. Over many runs the picked rows are joined, and dynamic pruning
         takes only their directories.
         """
-        picks = self._picks(var, timestep, group)
         field = self.tiles.filter(F.col("var") == var)
         if self.run_id is not None:
-            rows = picks.collect()  # levels and times of one field of one run
-            if not rows and not self._holds(var, group):
-                raise KeyError(_absent(var, group))
-            field = field.filter(F.col("grp") == (rows[0]["grp"] if rows else ""))
-            if timestep is not None:
-                field = field.filter(F.col("valid_time").isin([r["at"] for r in rows]))
+            grp, rows = self._picked_rows(var, timestep, group)
+            field = field.filter(F.col("grp") == grp)
+            if rows is None:
+                return field
+            field = field.filter(F.col("valid_time").isin([r["at"] for r in rows]))
             if all(r["valid_time"] == r["at"] for r in rows):
                 return field
-            picks = field.sparkSession.createDataFrame(rows, picks.schema)
-        elif not self._holds(var, group):
-            raise KeyError(_absent(var, group))
-        elif timestep is None:
-            chosen = picks.select(*PARTITIONS).distinct()
-            return field.join(chosen, PARTITIONS, "left_semi")
+            picks = field.sparkSession.createDataFrame(rows, self._picks(var, timestep, group).schema)
+        else:
+            if not self._held(var, group).take(1):
+                raise KeyError(_absent(var, group))
+            picks = self._picks(var, timestep, group)
+            if timestep is None:
+                return field.join(picks.select(*PARTITIONS).distinct(), PARTITIONS, "left_semi")
         named = picks.select(*[F.col(c).alias(f"_{c}") for c in picks.columns])
         same = (F.col("run_id") == F.col("_run_id")) & (F.col("grp") == F.col("_grp")) & (F.col("valid_time") == F.col("_at")) \
             & F.col("level_type").eqNullSafe(F.col("_level_type")) & F.col("level").eqNullSafe(F.col("_level"))
@@ -352,9 +356,16 @@ class GridStore:
             blank["n_present"] = F.coalesce(blank["n_present"], F.lit(0))
         return found.withColumns({**blank, "valid_time": F.col("_valid_time")}).select(*field.columns)
 
-    def _holds(self, var: str, group: str | None) -> bool:
+    def _held(self, var: str, group: str | None) -> DataFrame:
         held = self.fields.filter(F.col("var") == var)
-        return bool((held if group is None else held.filter(F.col("grp") == group)).take(1))
+        return held if group is None else held.filter(F.col("grp") == group)
+
+    def _picked_rows(self, var: str, timestep: int | str | None, group: str | None) -> tuple[str, list | None]:
+        """Group of a field of the opened run, and what :meth:`_picks` says of it, if a time is asked for: levels and times of one field."""
+        groups = [r["grp"] for r in self._held(var, group).select("grp").distinct().collect()]
+        if not groups:
+            raise KeyError(_absent(var, group))
+        return min(groups), None if timestep is None else self._picks(var, timestep, min(groups)).collect()
 
     def readfield(self, var: str, timestep: int | str | None = None, group: str | None = None) -> DataFrame:
         """Cells of a field."""
