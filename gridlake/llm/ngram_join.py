@@ -17,6 +17,8 @@ from .common import components, discard, release, runs, settle, written
 
 #: Counters of the frequency sketch, sets of one tree, and texts that are hashed together (bytes).
 COUNTERS, PART, CHUNK = 1 << 20, 1000, 1_000_000
+#: Prefixes are made for overlaps this many points of percent lower, so that linked sets share several n-grams of them.
+SLACK = 5
 ODD = 0xD6E8FEB86659FD93
 
 
@@ -164,9 +166,11 @@ class Tree:
                         cut = i
         return first
 
-    def candidates(self, labels: np.ndarray, part: np.ndarray | None, percent: int, merge: bool) -> list[tuple[int, int]]:
+    def candidates(self, labels: np.ndarray, part: np.ndarray | None, early: np.ndarray, percent: int, merge: bool) -> list[tuple[int, int]]:
         """Pairs of sets of different labels that may be linked. With ``merge`` a pair is taken for a link, and its labels become one.
 
+        ``early`` tells which sets hold the n-gram they meet at early enough to be the smaller set of a link; of each pair one does.
+
         Each set walks down the tree with the overlap found so far. A subtree is left if its labels are all its own, if its sizes are
         out of reach, or if the overlap cannot become enough with what remains of the set and of the longest set below. What is left
         at a leaf has to pass the bitmaps: n-grams of one set alone are at least as many as parities that differ.
@@ -182,7 +186,7 @@ class Tree:
                     continue
                 if (labels[lo:hi] == labels[x]).all():
                     continue
-                if part is not None and (part[lo:hi] == part[x]).all():
+                if part is not None and (part[lo:hi] == part[x]).all() or not (early[x] or early[lo:hi].any()):
                     continue
                 need = -(-percent * (size + max(least, -(-percent * size // 100))) // (100 + percent))
                 if overlap + min(size - at, most - depth) < need:
@@ -207,8 +211,9 @@ class Tree:
 
 
 def parity_bits(keys: np.ndarray) -> bytes:
-    """Parities of the n-grams that fall on each bit; a power of two of bits, at least 64 and at least one an n-gram."""
-    size = max(64, 1 << max(0, len(keys) - 1).bit_length())
+    """Parities of the n-grams that fall on each bit; a power of two of bits, at least 64 and at least four an n-gram, so that of the n-grams
+    in which two nearly linked sets differ few hide each other."""
+    size = max(64, 1 << max(0, 4 * len(keys) - 1).bit_length())
     counts = np.bincount((keys & np.uint64(size - 1)).astype(np.int64), minlength=size)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
@@ -224,7 +229,8 @@ def _apart(a: bytes, b: bytes) -> int:
 
 
 def join_sets(members: DataFrame, percent: int, merge: bool) -> DataFrame:
-    """Candidates ``a, b, g, i, j`` within the groups ``(g, i, j)`` of ``members(g, i, j, part, label, sid, n, head, bits)``."""
+    """Candidates ``a, b, raw`` within the groups ``(g, i, j)`` of ``members(g, i, j, raw, part, label, early, sid, n, head, bits)``; ``raw`` is the
+    n-gram they met at."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, ["g", "i", "j"]):
@@ -237,16 +243,17 @@ def join_sets(members: DataFrame, percent: int, merge: bool) -> DataFrame:
             part = group.column("part").to_numpy()[order] if here[1] != here[2] else None
             bits = group.column("bits").to_pylist()
             tree = Tree([np.frombuffer(raw[k], ">u4").astype(np.uint32) for k in order], group.column("n").to_numpy()[order], [bits[k] for k in order])
-            pairs = tree.candidates(labels, part, percent, merge)
+            early = np.array(group.column("early").to_pylist())[order]
+            pairs = tree.candidates(labels, part, early, percent, merge)
             if pairs:
                 ends = [pa.array([int(sids[p[side]]) for p in pairs], pa.int64()) for side in (0, 1)]
-                keys = [pa.array([v] * len(pairs), kind) for v, kind in zip(here, (pa.int64(), pa.int32(), pa.int32()), strict=True)]
-                yield pa.RecordBatch.from_arrays([*ends, *keys], names=["a", "b", "g", "i", "j"])
+                met_at = pa.array([group.column("raw")[0].as_py()] * len(pairs), pa.int64())
+                yield pa.RecordBatch.from_arrays([*ends, met_at], names=["a", "b", "raw"])
 
     key = ["g", "i", "j"]
-    names = [*key, "part", "label", "sid", "n", "head", "bits"]
+    names = [*key, "raw", "part", "label", "early", "sid", "n", "head", "bits"]
     placed = members.select(*names).withColumns({c: F.col(c).cast("int") for c in ("i", "j")})
-    return placed.repartition(*key).sortWithinPartitions(*key, "sid").mapInArrow(run, "a long, b long, g long, i int, j int")
+    return placed.repartition(*key).sortWithinPartitions(*key, "sid").mapInArrow(run, "a long, b long, raw long")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -286,14 +293,43 @@ def tiled(members: DataFrame, sizes: DataFrame, pairs: bool) -> DataFrame:
 
 
 def by_size(rows: DataFrame, percent: int) -> DataFrame:
-    """``rows(sid, g, n, label)`` with ``g`` narrowed to sets of like size: linked sets are in one band of sizes or in adjacent ones.
+    """``rows(sid, g, n, label, early)`` of large groups, with ``g`` narrowed to sets of like size: linked sets are in one band of sizes or in
+    adjacent ones.
 
     A set joins the group of its band (``own``) and that of the band above; a group without own members has met one band below.
     """
     width = max(1e-9, 1.0001 * math.log(100 / percent))
     band = F.floor(F.log("n") / width) + F.col("up")
     return rows.withColumn("up", F.explode(F.array(F.lit(0), F.lit(1)))).select(
-        "sid", F.xxhash64("g", band).alias("g"), "label", (F.col("up") == 0).alias("own"))
+        "sid", F.xxhash64("g", band).alias("g"), F.col("g").alias("raw"), "label", "early", (F.col("up") == 0).alias("own"))
+
+
+def telling(rows: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """``rows(sid, g, label, early)`` cut to what linked sets of different labels need to meet, with ``n`` from ``sizes(sid, n)``.
+
+    Linked sets share at least ``share`` n-grams of their prefixes: the greater one of N n-grams shares ``percent`` of them, and fewer
+    than ``percent - SLACK`` lie behind its prefix. So a set with fewer n-grams that another label holds too links with none of another
+    label. Of the others the last ``share - 1`` such n-grams are left out: the first n-gram a pair shares is not among them.
+    """
+    share = F.expr(f"greatest(1, ({percent - lowered(percent)}L * n) div 100)")
+    other = rows.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("g")
+    held = rows.join(other, "g").groupBy("sid", "label").agg(F.sort_array(F.collect_list(F.struct("g", "early"))).alias("gs"))
+    held = held.join(sizes, "sid").withColumn("share", share.cast("int")).where(F.size("gs") >= F.col("share"))
+    return held.select("sid", "n", "label", F.inline(F.slice("gs", F.lit(1), F.size("gs") - F.col("share") + 1)))
+
+
+def lowered(percent: int) -> int:
+    return max(1, percent - SLACK)
+
+
+def meetings(rows: DataFrame, percent: int) -> DataFrame:
+    """``sid, g, raw, label, early, own`` of the sets of ``rows(sid, g, n, label, early)`` that have something to meet: groups with several labels and
+    an early member; those beyond ``PART`` sets are narrowed by size."""
+    groups = rows.groupBy("g").agg(F.count("*").alias("c"), F.min("label").alias("low"), F.max("label").alias("high"), F.max("early").alias("any"))
+    groups = groups.where("low <> high and any").select("g", "c")
+    held = rows.join(groups, "g")
+    few = held.where(F.col("c") <= PART).select("sid", "g", F.col("g").alias("raw"), "label", "early", F.lit(True).alias("own"))
+    return few.unionByName(by_size(held.where(F.col("c") > PART), percent))
 
 
 def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
@@ -302,14 +338,14 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
     Two documents link if ``100 * intersection >= percent * union`` of their sets of ``words``-word n-grams.
 
     1. A sketch of fixed size over all documents gives the global order: frequent n-grams last.
-    2. Equal sets are joined once, under their smallest doc_id. A set's prefix, its first ``size - ceil(percent * size) + 1``
-       n-grams, shares an n-gram with that of every set it links to; n-grams that one prefix alone holds drop out.
+    2. Equal sets are joined once, under their smallest doc_id. A set's prefix, its first ``size - ceil((percent - SLACK) * size) + 1``
+       n-grams, shares several n-grams with that of every set it links to; n-grams that one prefix alone holds drop out.
     3. Sets meet at their first shared n-gram, in prefix trees of at most about ``PART`` sets. Only a card of each travels there: size,
-       prefix in 32 bits an n-gram, and a bitmap of about a bit an n-gram, together a fifteenth of the set. Trees give candidates, and
+       prefix in 32 bits an n-gram, and a bitmap of four to eight bits an n-gram, together a sixth of the set. Trees give candidates, and
        these are verified on whole sets. What links gets one label; a second round does the same with one set per label, so that large groups
        of near copies fall under one label.
-    4. The cards of every other shared n-gram meet likewise if they have different labels still and sizes that allow a link; larger groups
-       are cut into parts that meet in pairs. A candidate is taken for a link within its group, so that near copies do not give all their
+    4. Sets that share enough n-grams with other labels (see :func:`telling`) meet likewise at each of those; larger groups
+       are narrowed by size and cut into parts that meet in pairs. A candidate is taken for a link within its group, so that near copies do not give all their
        pairs; groups in which verification proves that wrong give all their candidates in one more round. So every link is found or joins
        what is joined already.
 
@@ -322,25 +358,30 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long"), "text")
     levels = spark.sparkContext.broadcast(frequency_levels(docs, words))  # one byte per counter
-    sets = written(described(docs, words, percent, levels))
-    release(spark)
+    wide = written(described(docs, words, percent, levels))
+    sets = written(wide.select("doc_id", "n", "f1", "f2"))
     full = sets.where("n > 0 and doc_id is not null")
     distinct = full.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("sid"))
-    chosen = full.join(distinct, ["n", "f1", "f2"]).where("doc_id = sid")
-    prefixes = chosen.select("sid", "n", F.explode("prefix").alias("g"))
+    chosen = wide.where("n > 0 and doc_id is not null").join(distinct, ["n", "f1", "f2"]).where("doc_id = sid")
+    # Of two linked sets the smaller one shares an n-gram of a shorter prefix, sized for partners at least as large as itself.
+    early = F.expr(f"pos <= n - ({2 * percent}L * n + {99 + percent}) div {100 + percent}").alias("early")
+    prefixes = chosen.select("sid", "n", F.posexplode("prefix").alias("pos", "g")).select("sid", "g", early)
     counted = prefixes.groupBy("g").agg(F.count("*").alias("c")).where("c > 1")
     shared = written(prefixes.join(counted.select("g"), "g"))
     wanted = shared.groupBy("sid").agg(F.min("g").alias("g"))
     cards = written(chosen.select("sid", "n", "head", "bits").join(wanted.select("sid"), "sid", "left_semi"))
+    discard(wide)  # as large as a fifth of the texts
     release(spark)
 
     made: list[DataFrame] = [shared, cards]
 
     def met(rows: DataFrame, pairs: bool, merge: bool = True) -> DataFrame:
         """Pairs that meet in the groups of ``rows``, verified."""
-        sizes = rows.groupBy("g").agg(F.count("*").alias("c"), F.min("label").alias("low"), F.max("label").alias("high"), F.max("own").alias("any_own"))
-        sizes = sizes.where("low <> high and any_own").select("g", "c")
+        sizes = rows.groupBy("g").agg(F.count("*").alias("c"), F.min("label").alias("low"), F.max("label").alias("high"),
+                                      F.max("own").alias("any_own"), F.max("early").alias("any_early"))
+        sizes = sizes.where("low <> high and any_own and any_early").select("g", "c")
         found = written(join_sets(tiled(rows, sizes, pairs).join(cards, "sid"), percent, merge))
+        release(spark)
         out = written(verified(found, docs, words, percent))
         discard(found)
         made.append(out)
@@ -350,7 +391,7 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
     labels = None
     links = None
     for _ in range(2):
-        rows = wanted.withColumn("label", F.col("sid")).withColumn("own", F.lit(True))
+        rows = wanted.withColumns({"raw": F.col("g"), "label": F.col("sid"), "own": F.lit(True), "early": F.lit(True)})
         if labels is not None:
             rows = rows.join(labels, rows.sid == labels.id, "left_anti").unionByName(
                 rows.join(labels.where("id = component_id"), rows.sid == labels.id, "left_semi"))
@@ -362,22 +403,25 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
     several = full.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id")
     same = full.join(several, "doc_id").join(distinct, ["n", "f1", "f2"]).select(F.col("doc_id").alias("a"), F.col("sid").alias("b"))
 
+    sizes = cards.groupBy("sid").agg(F.min("n").alias("n"))
+
     def labelled(labels: DataFrame) -> DataFrame:
-        rows = shared.distinct().join(labels, shared.sid == labels.id, "left").select("sid", "g", "n", F.coalesce("component_id", "sid").alias("label"))
-        return by_size(rows, percent)
+        rows = shared.distinct().join(labels, shared.sid == labels.id, "left")
+        return telling(rows.select("sid", "g", F.coalesce("component_id", "sid").alias("label"), "early"), sizes, percent)
 
-    last = met(labelled(labels), True)
+    last = met(meetings(labelled(labels), percent), True)
     links = links.unionByName(last.where("linked").select("a", "b"))
-    wrong = last.where("not linked").select("g").distinct()
+    wrong = last.where("not linked").select(F.col("raw").alias("g")).distinct()
     if wrong.take(1):
         labels = settle(components(links))
-        links = links.unionByName(met(labelled(labels).join(wrong, "g", "left_semi"), True, merge=False).where("linked").select("a", "b"))
+        again = labelled(labels).join(wrong, "g", "left_semi")
+        links = links.unionByName(met(meetings(again, percent), True, merge=False).where("linked").select("a", "b"))
     final = settle(components(links.unionByName(same)))
     for table in made:
         discard(table)
     release(spark)
     named = distinct.join(final, distinct.sid == final.id, "left").select("n", "f1", "f2", F.coalesce("component_id", "sid").alias("component_id"))
-    out = sets.drop("prefix", "head", "bits").join(named, ["n", "f1", "f2"], "left")
+    out = sets.join(named, ["n", "f1", "f2"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
@@ -392,7 +436,7 @@ def described(docs: DataFrame, words: int, percent: int, levels: Broadcast) -> D
                 n = ends - begins
                 sums = [np.concatenate([[np.uint64(0)], np.cumsum(scrambled(key + np.uint64(salt)))]) for salt in (1, 2)]
                 f1, f2 = ((s[ends] - s[begins]).astype(np.int64) for s in sums)
-                size = np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
+                size = np.where(n > 0, n - -(-lowered(percent) * n // 100) + 1, 0)
                 stops = np.cumsum(size)
                 index = np.repeat(begins - (stops - size), size) + np.arange(int(stops[-1]))
                 prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stops]).astype(np.int32)), pa.array(key[index].astype(np.int64)))
