@@ -377,6 +377,7 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
 
     def met(rows: DataFrame, pairs: bool, merge: bool = True) -> DataFrame:
         """Pairs that meet in the groups of ``rows``, verified."""
+        rows = written(rows)  # used twice below
         sizes = rows.groupBy("g").agg(F.count("*").alias("c"), F.min("label").alias("low"), F.max("label").alias("high"),
                                       F.max("own").alias("any_own"), F.max("early").alias("any_early"))
         sizes = sizes.where("low <> high and any_own and any_early").select("g", "c")
@@ -384,6 +385,7 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
         release(spark)
         out = written(verified(found, docs, words, percent))
         discard(found)
+        discard(rows)
         made.append(out)
         release(spark)
         return out
@@ -403,11 +405,13 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
     several = full.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id")
     same = full.join(several, "doc_id").join(distinct, ["n", "f1", "f2"]).select(F.col("doc_id").alias("a"), F.col("sid").alias("b"))
 
-    sizes = cards.groupBy("sid").agg(F.min("n").alias("n"))
+    sizes = written(cards.groupBy("sid").agg(F.min("n").alias("n")))
+    made.append(sizes)
 
     def labelled(labels: DataFrame) -> DataFrame:
         rows = shared.distinct().join(labels, shared.sid == labels.id, "left")
-        return telling(rows.select("sid", "g", F.coalesce("component_id", "sid").alias("label"), "early"), sizes, percent)
+        made.append(named := written(rows.select("sid", "g", F.coalesce("component_id", "sid").alias("label"), "early")))
+        return telling(named, sizes, percent)
 
     last = met(meetings(labelled(labels), percent), True)
     links = links.unionByName(last.where("linked").select("a", "b"))
