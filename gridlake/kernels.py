@@ -7,7 +7,7 @@ kernel sees the points of a whole batch as one flat array. Each kernel has a Col
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,16 @@ from pyspark.sql import types as T
 
 Kernel = Callable[..., np.ndarray]
 
+#: Tiles and points a Python worker holds as objects at once. A batch may have 65,536 rows, and a row many tiles.
+MOST_TILES, MOST_POINTS = 2048, 1 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = MOST_TILES) -> Iterator[pa.RecordBatch]:
+    """The batches in views of at most ``rows`` rows, none of them empty."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
 
 def on_tiles(kernel: Kernel, *columns: Column, packed: bool = False) -> Column:
     """``kernel`` on the points of one or two columns of equal lengths; a missing tile gives a missing tile.

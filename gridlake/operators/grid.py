@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridlake.kernels import Kernel
+from gridlake.kernels import MOST_POINTS, MOST_TILES, Kernel
 from gridlake.layout import TILE_GEOMETRY, TILE_KEY, TILE_ORDER, TILE_STATS, TILE_ZONE, unpacked
 
 TILE_EDGE = 256
@@ -88,13 +88,14 @@ def tiles_from_messages(df: DataFrame, edge: int = TILE_EDGE, by_formula: dict[s
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield _split_batch(batch, keep, edge, by_formula or {}, packed)
+                yield from _split_batch(batch, keep, edge, by_formula or {}, packed)
 
     return df.select(*keep, "ni", "nj", "lats", "lons", "values").mapInArrow(split, schema)
 
 
 def _split_batch(batch: pa.RecordBatch, keep: list[str], edge: int, by_formula: dict[str, Kernel],
-                 packed: bool) -> pa.RecordBatch:
+                 packed: bool) -> Iterator[pa.RecordBatch]:
+    """The tiles of a batch, in batches of at most ``MOST_TILES`` tiles and about ``MOST_POINTS`` points."""
     def lists(name: str) -> tuple[np.ndarray, np.ndarray]:
         column = batch.column(name)
         if not pa.types.is_list(column.type):
@@ -105,7 +106,20 @@ def _split_batch(batch: pa.RecordBatch, keep: list[str], edge: int, by_formula:
     numbers, at = lists("values")
     (lats, lat_at), (lons, lon_at) = lists("lats"), lists("lons")
     formulas = batch.column("formula").to_pylist() if by_formula else []
-    rows, place, values, lat_parts, lon_parts = [], [], [], [], []
+    rows, place, values, lat_parts, lon_parts = held = [], [], [], [], []
+    points = 0
+
+    def made() -> pa.RecordBatch:
+        picked = pa.array(rows, pa.int64())
+        columns = [batch.column(c).take(picked) for c in keep]
+        columns += [pa.array(c, pa.int32()) for c in np.array(place, "int32").reshape(-1, 8).T]
+        columns += [_list_array(parts, nan_is_missing=False) for parts in (lat_parts, lon_parts)]
+        columns.append(pa.array([v.astype("<f4", copy=False).tobytes() for v in values], pa.binary()) if packed
+                       else _list_array(values, nan_is_missing=True))
+        for each in held:
+            each.clear()
+        return pa.RecordBatch.from_arrays(columns, names=[*keep, *TILE_KEY, *TILE_GEOMETRY, "values"])
+
     for i, (ni, nj) in enumerate(zip(batch.column("ni").to_pylist(), batch.column("nj").to_pylist())):
         whole = numbers[at[i]:at[i + 1]].reshape(nj, ni)
         kernel = by_formula.get((formulas[i] or "").lower()) if formulas else None
@@ -120,13 +134,12 @@ def _split_batch(batch: pa.RecordBatch, keep: list[str], edge: int, by_formula:
                 values.append(block.ravel())
                 lat_parts.append(lats[lat_at[i] + y0:lat_at[i] + y0 + h])
                 lon_parts.append(lons[lon_at[i] + x0:lon_at[i] + x0 + w])
-    picked = pa.array(rows, pa.int64())
-    columns = [batch.column(c).take(picked) for c in keep]
-    columns += [pa.array(c, pa.int32()) for c in np.array(place, "int32").reshape(-1, 8).T]
-    columns += [_list_array(parts, nan_is_missing=False) for parts in (lat_parts, lon_parts)]
-    columns.append(pa.array([v.astype("<f4", copy=False).tobytes() for v in values], pa.binary()) if packed
-                   else _list_array(values, nan_is_missing=True))
-    return pa.RecordBatch.from_arrays(columns, names=[*keep, *TILE_KEY, *TILE_GEOMETRY, "values"])
+                points += h * w
+                if len(rows) == MOST_TILES or points >= MOST_POINTS:
+                    yield made()
+                    points = 0
+    if rows:
+        yield made()
 
 
 def _list_array(parts: list[np.ndarray], nan_is_missing: bool) -> pa.ListArray:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridlake.kernels import tile_difference
+from gridlake.kernels import MOST_POINTS, MOST_TILES, slices, tile_difference, to_bytes
 from gridlake.layout import TILE_GEOMETRY, TILE_KEY, TILE_ORDER, TILE_STATS, TILE_ZONE, is_tiled, packed, with_stats, with_zone
 
 REGIONAL_SPAN = 350
@@ -84,57 +84,78 @@ def coarsen_tiles(tiles: DataFrame, k: int, edge: int | None = None) -> DataFram
     Results are tiles of the coarse grid: one of the whole blocks of each tile, and strips one block wide along borders that cut blocks.
     ``ty`` and ``tx`` number them by their first row and column. ``edge`` tells the edge of the tiles, if it is known; if it is
     a multiple of k no block is cut, and the plan has no exchange.
+
+    A worker has ``MOST_TILES`` tiles as Python objects at once, whatever the size of a batch, and whole blocks take one pass through Python.
     """
-    df = packed(tiles)
-    keep = [c for c in df.columns if c not in {*TILE_KEY, *TILE_GEOMETRY, *TILE_STATS, *TILE_ZONE, TILE_ORDER, "values"}]
+    keep = [c for c in tiles.columns if c not in {*TILE_KEY, *TILE_GEOMETRY, *TILE_STATS, *TILE_ZONE, TILE_ORDER, "values"}]
     names = [f"c{i}" for i in range(len(keep))]
     place = [*TILE_KEY, "ny", "nx", "y0", "x0", "h", "w"]
-    plain = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], *place, "lats", "lons", "values")
-    own = [T.StructField(n, df.schema[c].dataType) for c, n in zip(keep, names, strict=True)]
+    plain = tiles.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], *place, "lats", "lons", "values")
+    own = [T.StructField(n, tiles.schema[c].dataType) for c, n in zip(keep, names, strict=True)]
     at = [T.StructField(c, T.IntegerType()) for c in place]
     arrays = [T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("lats", "lons")]
-    cut = T.StructType([*own, *at, T.StructField("whole", T.BooleanType()), T.StructField("parts", T.DataType.fromDDL(PARTS))])
+    cut = T.StructType([*own, *at, T.StructField("parts", T.DataType.fromDDL(PARTS))])
     out = T.StructType([*own, *at, *arrays, T.StructField("values", T.BinaryType())])
 
-    def take_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, places, whole, parts = [], [], [], []
-            columns = [batch.column(c).to_pylist() for c in (*place, "lats", "lons", "values")]
-            for i, (_, _, ny, nx, y0, x0, h, w, lats, lons, values) in enumerate(zip(*columns, strict=True)):
+    def pieces(batches: Iterator[pa.RecordBatch], wanted: bool | None) -> Iterator[tuple[list[pa.Array], list[dict[str, bytes]]]]:
+        """Columns and parts of the blocks that lie whole in a tile (``wanted``), of those a border cuts, or of all."""
+        for batch in slices(batches):
+            packs = batch.column("values")
+            packs = packs if pa.types.is_binary(packs.type) else to_bytes(packs)
+            columns = [batch.column(c).to_pylist() for c in (*place, "lats", "lons")]
+            rows, places, parts, size = [], [], [], 0
+
+            def made(batch: pa.RecordBatch = batch) -> list[pa.Array]:
+                picked = pa.array(rows, pa.int64())
+                return [batch.column(n).take(picked) for n in names] \
+                    + [pa.array(c, pa.int32()) for c in np.array(places, "int32").reshape(-1, len(place)).T]
+
+            for i, (_, _, ny, nx, y0, x0, h, w, lats, lons) in enumerate(zip(*columns, strict=True)):
+                values = packs[i].as_py()
                 grid = np.frombuffer(values, "<f4").reshape(h, w) if values is not None else np.full((h, w), np.nan, "<f4")
-                for by, bx, inside, part in _block_parts(grid, lats, lons, (ny, nx, y0, x0), k):
+                for by, bx, part in _block_parts(grid, lats, lons, (ny, nx, y0, x0), k, wanted):
                     rows.append(i)
                     bh, bw = len(part["lat_n"]) // 8, len(part["lon_n"]) // 8
                     places.append((by, bx, ny // k, nx // k, by, bx, bh, bw))
-                    whole.append(inside)
-                    parts.append([part])
+                    parts.append(part)
+                    size += bh * bw
+                if len(rows) >= MOST_TILES or size >= MOST_POINTS:
+                    yield made(), parts
+                    rows, places, parts, size = [], [], [], 0
             if rows:
-                picked = pa.array(rows, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(n).take(picked) for n in names] + [pa.array(c, pa.int32()) for c in np.array(places, "int32").reshape(-1, len(place)).T]
-                    + [pa.array(whole, pa.bool_()), pa.array(parts, _PART_LIST)], names=cut.names)
+                yield made(), parts
 
-    def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lats, lons, values = [], [], []
-            for parts in batch.column("parts").to_pylist():
-                total = {key: sum(np.frombuffer(p[key], "<f8") for p in parts) for key in parts[0]}
-                values.append(_quotient(total["sums"], total["counts"]).astype("<f4").tobytes())
-                lats.append(_quotient(total["lat_sum"], total["lat_n"]))
-                lons.append(_quotient(total["lon_sum"], total["lon_n"]))
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in (*names, *place)]
-                                             + [pa.array([x.tolist() for x in a], pa.list_(pa.float64())) for a in (lats, lons)]
-                                             + [pa.array(values, pa.binary())], names=out.names)
+    def finished(columns: list[pa.Array], given: list[list[dict[str, bytes]]]) -> pa.RecordBatch:
+        lats, lons, values = [], [], []
+        for parts in given:
+            total = {key: sum(np.frombuffer(p[key], "<f8") for p in parts) for key in parts[0]}
+            values.append(_quotient(total["sums"], total["counts"]).astype("<f4").tobytes())
+            lats.append(_quotient(total["lat_sum"], total["lat_n"]))
+            lons.append(_quotient(total["lon_sum"], total["lon_n"]))
+        return pa.RecordBatch.from_arrays([*columns, *[pa.array([x.tolist() for x in a], pa.list_(pa.float64())) for a in (lats, lons)],
+                                           pa.array(values, pa.binary())], names=out.names)
+
+    def settled(wanted: bool | None) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for columns, parts in pieces(batches, wanted):
+                yield finished(columns, [[part] for part in parts])
 
-    pieces = plain.mapInArrow(take_apart, cut)
-    ready = pieces if edge is not None and edge % k == 0 else _merged(pieces, [*names, *place])
-    return ready.select(*names, *place, "parts").mapInArrow(put_together, out).toDF(*keep, *out.names[len(keep):])
+        return plain.mapInArrow(run, out)
 
+    def strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns, parts in pieces(batches, False):
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([[part] for part in parts], _PART_LIST)], names=cut.names)
+
+    def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield finished([batch.column(c) for c in (*names, *place)], batch.column("parts").to_pylist())
 
-def _merged(pieces: DataFrame, keys: list[str]) -> DataFrame:
-    """Whole pieces as they are, and the parts of cut blocks by their place; a block is cut by as many tiles as it touches."""
-    joined = pieces.where("not whole").groupBy(*keys).agg(F.flatten(F.collect_list("parts")).alias("parts"))
-    return pieces.where("whole").select(*keys, "parts").unionByName(joined)
+    if edge is not None and edge % k == 0:
+        ready = settled(None)
+    else:  # a block is cut by as many tiles as it touches
+        joined = plain.mapInArrow(strips, cut).groupBy(*names, *place).agg(F.flatten(F.collect_list("parts")).alias("parts"))
+        ready = settled(True).unionByName(joined.mapInArrow(put_together, out))
+    return ready.toDF(*keep, *out.names[len(keep):])
 
 
 _PART_LIST = pa.list_(pa.struct([(c, pa.binary()) for c in ("sums", "counts", "lat_sum", "lat_n", "lon_sum", "lon_n")]))
@@ -157,8 +178,9 @@ def _stretch(start: int, size: int, whole: int, k: int) -> list[tuple[int, int,
     return [(b, n, uncut, np.maximum(np.arange(b, b + n) * k - start, 0)) for b, n, uncut in out]
 
 
-def _block_parts(grid: np.ndarray, lats: list, lons: list, place: tuple[int, int, int, int], k: int) -> Iterator[tuple[int, int, bool, dict[str, bytes]]]:
-    """Sums and counts of the blocks of a tile, as rectangles of blocks that are cut alike."""
+def _block_parts(grid: np.ndarray, lats: list, lons: list, place: tuple[int, int, int, int], k: int,
+                 wanted: bool | None) -> Iterator[tuple[int, int, dict[str, bytes]]]:
+    """Sums and counts of the blocks of a tile, as rectangles of blocks that are cut alike: of the whole ones (``wanted``), of those cut, or of all."""
     ny, nx, y0, x0 = place
     present = ~np.isnan(grid)
     numbers = np.where(present, grid, 0).astype("<f8")
@@ -166,6 +188,8 @@ def _block_parts(grid: np.ndarray, lats: list, lons: list, place: tuple[int, int
     for by, bh, uncut_y, ys in _stretch(y0, grid.shape[0], ny, k):
         y_end = min((by + bh) * k - y0, grid.shape[0])
         for bx, bw, uncut_x, xs in _stretch(x0, grid.shape[1], nx, k):
+            if wanted is not None and wanted != (uncut_y and uncut_x):
+                continue
             x_end = min((bx + bw) * k - x0, grid.shape[1])
 
             def blocks(a: np.ndarray, ys: np.ndarray = ys, xs: np.ndarray = xs, y_end: int = y_end, x_end: int = x_end) -> bytes:
@@ -178,8 +202,8 @@ def _block_parts(grid: np.ndarray, lats: list, lons: list, place: tuple[int, int
 
             lat_sum, lat_n = line(axes[0], ys, y_end)
             lon_sum, lon_n = line(axes[1], xs, x_end)
-            yield by, bx, uncut_y and uncut_x, {"sums": blocks(numbers), "counts": blocks(present), "lat_sum": lat_sum, "lat_n": lat_n,
-                                                "lon_sum": lon_sum, "lon_n": lon_n}
+            yield by, bx, {"sums": blocks(numbers), "counts": blocks(present), "lat_sum": lat_sum, "lat_n": lat_n,
+                           "lon_sum": lon_sum, "lon_n": lon_n}
 
 
 def time_head_tail(axes: DataFrame, limit: int = 15, head: int = 6, tail: int = 4) -> DataFrame:

@@ -4,6 +4,7 @@ import json
 from datetime import datetime, timedelta
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -275,6 +276,45 @@ def test_coarsening_inside_tiles(messages):
         np.testing.assert_allclose(got, np.nanmean(blocks, axis=2), rtol=1e-5, atol=1e-6)
 
 
+def many_messages(n):
+    """An Arrow batch of ``n`` messages of 8 x 8 points, with one value missing in each."""
+    values = np.random.default_rng(5).normal(size=(n, 64)).astype("float32")
+    values[np.arange(n), np.arange(n) % 64] = np.nan
+    axis = [float(x) for x in range(8)]
+    return values, pa.RecordBatch.from_pydict({
+        "var": pa.array([f"v{i}" for i in range(n)]), "ni": pa.array([8] * n, pa.int32()), "nj": pa.array([8] * n, pa.int32()),
+        "lats": pa.array([axis] * n), "lons": pa.array([axis] * n), "values": pa.array(values.tolist(), pa.list_(pa.float32()))})
+
+
+def test_a_batch_of_messages_is_split_in_bounded_batches():
+    values, batch = many_messages(3000)
+    made = list(grid._split_batch(batch, ["var"], 4, {}, packed=True))
+    assert max(b.num_rows for b in made) <= kernels.MOST_TILES
+    got = pa.Table.from_batches(made)
+    assert got.column("var").to_pylist() == [f"v{i}" for i in range(3000) for _ in range(4)]
+    tiles = np.array([np.frombuffer(v, "<f4") for v in got.column("values").to_pylist()]).reshape(3000, 2, 2, 4, 4)
+    np.testing.assert_array_equal(tiles, values.reshape(3000, 2, 4, 2, 4).transpose(0, 1, 3, 2, 4))
+
+
+def test_coarsening_many_small_tiles_takes_one_pass(spark):
+    values, _ = many_messages(2500)
+    df = spark.createDataFrame([(f"v{i}", 8, 8, list(map(float, range(8))), list(map(float, range(8))), [None if np.isnan(x) else float(x) for x in v])
+                                for i, v in enumerate(values)], "var string, ni int, nj int, lats array<double>, lons array<double>, values array<float>").coalesce(1)
+    tiles = grid.tiles_from_messages(df, 4)
+    plan = summary.coarsen_tiles(tiles, 2, edge=4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2  # the split and the coarsening, each a Python worker a task
+    for k in (2, 3):
+        cells = grid.cells_from_tiles(summary.coarsen_tiles(tiles, k, edge=4)).collect()
+        m = 8 // k
+        blocks = values.reshape(-1, 8, 8)[:, :m * k, :m * k].reshape(-1, m, k, m, k).astype("float64")
+        expected = np.nanmean(blocks, axis=(2, 4))
+        assert len(cells) == expected.size
+        got = np.full(expected.shape, np.nan)
+        for c in cells:
+            got[int(c["var"][1:]), c["iy"], c["ix"]] = c["value"]
+        np.testing.assert_allclose(got, expected, rtol=1e-5, atol=1e-6)
+
+
 # ---- rules ------------------------------------------------------------------------------------------------
 
 def test_shipped_rules(spark):
