@@ -67,6 +67,10 @@ DIFFERENCE = T.StructType([T.StructField("max_abs", T.FloatType()), T.StructFiel
 def tile_stats(values: Column) -> Column:
     """``struct(n_present, v_sum, v_min, v_max)`` of each tile; sum and bounds are NULL where no point is present."""
     def run(a: pa.Array) -> pa.Array:
+        parts = [some(a.slice(at, MOST_TILES)) for at in range(0, max(1, len(a)), MOST_TILES)]
+        return pa.concat_arrays(parts)
+
+    def some(a: pa.Array) -> pa.Array:
         counts, sums, lows, highs = [], [], [], []
         for points in _each(a):
             points = points[~np.isnan(points)]

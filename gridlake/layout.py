@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridlake.kernels import Kernel, on_tiles, tile_stats, to_bytes, unpack
+from gridlake.kernels import Kernel, on_tiles, slices, tile_stats, to_bytes, unpack
 
 # Columns that place a tile on its grid.
 TILE_KEY = ["ty", "tx"]
@@ -57,7 +57,7 @@ def packed(df: DataFrame) -> DataFrame:
     fields[at] = T.StructField("values", T.BinaryType())
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.set_column(at, "values", to_bytes(batch.column(at)))
 
     return df.mapInArrow(convert, T.StructType(fields))

@@ -315,6 +315,20 @@ def test_coarsening_many_small_tiles_takes_one_pass(spark):
         np.testing.assert_allclose(got, expected, rtol=1e-5, atol=1e-6)
 
 
+def test_statistics_of_a_large_batch(monkeypatch):
+    values, batch = many_messages(2500)
+    sizes = []
+    each = kernels._each
+    monkeypatch.setattr(kernels, "_each", lambda a: sizes.append(len(a)) or each(a))
+    captured = {}
+    monkeypatch.setattr(kernels.F, "arrow_udf", lambda fn, *a: captured.setdefault("fn", fn) and (lambda *c: None))
+    kernels.tile_stats(None)
+    got = captured["fn"](kernels.to_bytes(batch.column("values")))
+    assert max(sizes) <= kernels.MOST_TILES and len(got) == 2500
+    np.testing.assert_allclose(got.field("v_sum").to_numpy(), np.nansum(values.astype("float64"), axis=1))
+    assert got.field("n_present").to_pylist() == [63] * 2500
+
+
 # ---- rules ------------------------------------------------------------------------------------------------
 
 def test_shipped_rules(spark):
