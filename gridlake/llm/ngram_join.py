@@ -10,7 +10,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, discard, release, runs, settle, written
@@ -19,6 +19,8 @@ from .common import components, discard, release, runs, settle, written
 COUNTERS, PART, CHUNK = 1 << 20, 1000, 1_000_000
 #: Prefixes are made for overlaps this many points of percent lower, so that linked sets share several n-grams of them.
 SLACK = 5
+#: Ids of documents up to which these are sent to all tasks to pick the texts of candidates, some 16 bytes each; beyond, texts are picked by shuffle.
+SENT = 1_000_000
 ODD = 0xD6E8FEB86659FD93
 
 
@@ -259,11 +261,13 @@ def join_sets(members: DataFrame, percent: int, merge: bool) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """``pairs(a, b, ...)`` with ``linked``: whether the whole sets of the two documents overlap enough.
 
-    Whole texts move only for documents that are in a pair. A document in many pairs is on the unique side of the joins, so it is split like
+    Whole texts move only for documents that are in a pair, and once for pairs that met at several n-grams. A document in many pairs is on the unique side of the joins, so it is split like
     any skewed join key.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.join(wanted, "doc_id", "left_semi")
+    met = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *[c for c in pairs.columns if c not in ("a", "b")])
+    pairs = met.select("a", "b").distinct()
+    wanted = met.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    texts = docs.join(F.broadcast(wanted) if wanted.count() <= SENT else wanted, "doc_id", "left_semi")
     left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -274,12 +278,9 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
                 x, y = (np.unique(shingle_hashes([t], words)[0]) for t in texts)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
-            keep = [c for c in batch.schema.names if c not in ("text_a", "text_b")]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(linked, pa.bool_())], names=[*keep, "linked"])
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
-    rest = [c for c in pairs.columns if c not in ("a", "b")]
-    kinds = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in ("a", "b", *rest))
-    return both.select("a", "b", *rest, "text_a", "text_b").mapInArrow(run, f"{kinds}, linked boolean")
+    return met.join(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, linked boolean"), ["a", "b"])
 
 
 def tiled(members: DataFrame, sizes: DataFrame, pairs: bool) -> DataFrame:
@@ -366,8 +367,8 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
     # Of two linked sets the smaller one shares an n-gram of a shorter prefix, sized for partners at least as large as itself.
     early = F.expr(f"pos <= n - ({2 * percent}L * n + {99 + percent}) div {100 + percent}").alias("early")
     prefixes = chosen.select("sid", "n", F.posexplode("prefix").alias("pos", "g")).select("sid", "g", early)
-    counted = prefixes.groupBy("g").agg(F.count("*").alias("c")).where("c > 1")
-    shared = written(prefixes.join(counted.select("g"), "g"))
+    held = F.count("*").over(Window.partitionBy("g"))  # prefixes travel once; few n-grams are held twice, so counts do not shrink before the shuffle
+    shared = written(prefixes.withColumn("c", held).where("c > 1").select("sid", "g", "early"))
     wanted = shared.groupBy("sid").agg(F.min("g").alias("g"))
     cards = written(chosen.select("sid", "n", "head", "bits").join(wanted.select("sid"), "sid", "left_semi"))
     discard(wide)  # as large as a fifth of the texts

@@ -484,3 +484,21 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
 def test_pipeline_of_an_empty_table(spark, tmp_path):
     folder = put(spark, tmp_path, documents=([], DOCS), labels=([], "doc_id long, toxic int"))
     assert corpus_pipeline.run(spark, folder).collect() == []
+
+
+@pytest.mark.parametrize("sent", [0, 1_000_000])
+def test_a_candidate_met_at_several_ngrams_is_verified_once(spark, monkeypatch, sent):
+    monkeypatch.setattr(ngram_join, "SENT", sent)
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, text), (2, text + " more"), (3, "other words stand here"), (4, None)], "doc_id long, text string")
+    pairs = spark.createDataFrame([(1, 2, 7), (2, 1, 8), (1, 2, 9), (3, 1, 7)], "a long, b long, raw long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = ngram_join.verified(pairs, docs, 3, 90)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, found.select("a", "b", "raw", "linked").collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == [(1, 2, 7, True), (1, 2, 8, True), (1, 2, 9, True), (1, 3, 7, False)]
+    assert ("BroadcastHashJoin [doc_id" in plan) == (sent > 0)  # texts that are in no pair stay where they are
