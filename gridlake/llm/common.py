@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Bytes and rows of an Arrow batch: texts may hold hundreds of kilobytes each, and short ones give many rows out for one in.
 BATCH_BYTES, BATCH_ROWS = "16m", "512"
+#: Links that a task contracts in memory, some 200 bytes each.
+CONTRACTED = 500_000
 
 
 def text_batches(spark: SparkSession) -> SparkSession:
@@ -93,14 +95,35 @@ def union(parent: dict, a, b) -> bool:
     return True
 
 
+def contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links ``a, b`` of a task as one link of every id to the smallest one it reaches by them."""
+    parent: dict[int, int] = {}
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            while (up := parent.get(a, a)) != a:
+                parent[a] = a = parent.get(up, up)
+            while (up := parent.get(b, b)) != b:
+                parent[b] = b = parent.get(up, up)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    for a in sorted(parent):  # parents are smaller, so they are done before
+        parent[a] = parent.get(parent[a], parent[a])
+    yield pa.RecordBatch.from_arrays([pa.array(list(parent), pa.int64()), pa.array(list(parent.values()), pa.int64())], names=["a", "b"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """``(id, component_id)`` of every id in ``links(a, b)``: the smallest id reachable.
 
+    At first each task contracts the links it holds, at most about ``CONTRACTED``; if there are no more, that is all. Else rounds follow.
     Each round hangs every neighbour of an id below the smallest id around it, first the larger neighbours, then the
     smaller ones; both are a grouped minimum, pre-aggregated before its shuffle, and a join with that unique side, so
     the centre of a large star is split like any skewed join key. A round is checkpointed. It ends when all trees are stars.
     """
-    edges = settle(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = settle(links.where("a <> b").select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b")).distinct())
+    tasks = groups_for(edges.count(), CONTRACTED)
+    edges = settle(edges.coalesce(tasks).mapInArrow(contracted, "a long, b long"))
+    if tasks == 1:
+        return labelled(edges)
     mark = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -114,8 +137,13 @@ def components(links: DataFrame) -> DataFrame:
         if found == mark:
             break
         mark = found
-    roots = edges.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("component_id"))
-    return edges.select(F.col("a").alias("id"), F.col("b").alias("component_id")).unionByName(roots)
+    return labelled(edges)
+
+
+def labelled(stars: DataFrame) -> DataFrame:
+    """``(id, component_id)`` of the ends of ``stars(a, b)``, whose centres ``b`` hang below nothing."""
+    roots = stars.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("component_id"))
+    return stars.select(F.col("a").alias("id"), F.col("b").alias("component_id")).unionByName(roots)
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

@@ -1,4 +1,4 @@
-"""N-gram Jaccard join by prefix trees: documents link if their sets of word n-grams overlap enough."""
+"""N-gram Jaccard join by prefixes and bitmaps: documents link if their sets of word n-grams overlap enough."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import math
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -13,9 +14,9 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, discard, release, runs, settle, written
+from .common import components, discard, release, settle, union, written
 
-#: Counters of the frequency sketch, sets of one tree, and texts that are hashed together (bytes).
+#: Counters of the frequency sketch, sets compared in one group, and texts that are hashed together (bytes).
 COUNTERS, PART, CHUNK = 1 << 20, 1000, 1_000_000
 #: Prefixes are made for overlaps this many points of percent lower, so that linked sets share several n-grams of them.
 SLACK = 5
@@ -126,136 +127,66 @@ def ordered_sets(texts: list, words: int, levels: np.ndarray) -> tuple[np.ndarra
     return key, np.searchsorted(of, np.arange(len(texts)), "right")
 
 
-class Tree:
-    """Ordered prefixes in a tree whose nodes hold the n-grams that all prefixes below share next.
+def parity_bits(keys: np.ndarray, percent: int) -> bytes:
+    """Parities of the n-grams that fall on each bit; a power of two of bits, at least 64 and at least eight for each n-gram in which a set
+    may differ from a linked one of its size, so that few of these hide each other and sets of other texts differ far more."""
+    size = max(64, 1 << (16 * len(keys) * (100 - percent) // (100 + percent)).bit_length())
+    counts = np.bincount((keys & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
-    Of a set the tree knows its size, its prefix in the global order (n-grams cut to 32 bits that keep the order) and a bitmap of
-    the parities of all its n-grams. All three only ever let overlaps look larger than they are, so no pair of linked sets is left.
-    """
 
-    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray, bits: list[bytes]):
-        self.sets, self.sizes, self.bits = sets, sizes, bits
-        n = len(sets)
-        shared = [0] * (n + 1)
-        for i in range(1, n):
-            a, b = sets[i - 1], sets[i]
-            m = min(len(a), len(b))
-            differ = np.nonzero(a[:m] != b[:m])[0]
-            shared[i] = int(differ[0]) if len(differ) else m
-        #: (first set, set after the last, depth above, n-grams, children, smallest and largest size)
-        self.nodes: list[tuple] = []
-        self.shared = shared
-        self.root = self.grow(0, n, 0)
-
-    def grow(self, lo: int, hi: int, depth: int) -> int:
-        """Nodes of the sets ``lo`` to ``hi``, which share ``depth`` n-grams; without recursion into the depth of a set."""
-        todo = [(lo, hi, depth, -1)]
-        children: list[list[int]] = []
-        first = len(self.nodes)
-        while todo:
-            lo, hi, depth, parent = todo.pop()
-            end = len(self.sets[lo]) if hi - lo == 1 else min(self.shared[lo + 1:hi])
-            at = len(self.nodes)
-            children.append([])
-            self.nodes.append((lo, hi, depth, self.sets[lo][depth:end], children[at - first], int(self.sizes[lo:hi].min()), int(self.sizes[lo:hi].max())))
-            if parent >= 0:
-                children[parent - first].append(at)
-            if hi - lo > 1:
-                cut = lo
-                for i in range(lo + 1, hi + 1):
-                    if i == hi or self.shared[i] == end:
-                        todo.append((cut, i, end, at))
-                        cut = i
-        return first
-
-    def candidates(self, labels: np.ndarray, part: np.ndarray | None, early: np.ndarray, percent: int, merge: bool) -> list[tuple[int, int]]:
-        """Pairs of sets of different labels that may be linked. With ``merge`` a pair is taken for a link, and its labels become one.
-
-        ``early`` tells which sets hold the n-gram they meet at early enough to be the smaller set of a link; of each pair one does.
-
-        Each set walks down the tree with the overlap found so far. A subtree is left if its labels are all its own, if its sizes are
-        out of reach, or if the overlap cannot become enough with what remains of the set and of the longest set below. What is left
-        at a leaf has to pass the bitmaps: n-grams of one set alone are at least as many as parities that differ.
-        """
-        found = []
-        for x in range(len(self.sets)):
-            own, size = self.sets[x], int(self.sizes[x])
-            todo = [(self.root, 0, 0)]
-            while todo:
-                node, at, overlap = todo.pop()
-                lo, hi, depth, grams, children, least, most = self.nodes[node]
-                if hi <= x or 100 * most < percent * size or 100 * size < percent * least:
-                    continue
-                if (labels[lo:hi] == labels[x]).all():
-                    continue
-                if part is not None and (part[lo:hi] == part[x]).all() or not (early[x] or early[lo:hi].any()):
-                    continue
-                need = -(-percent * (size + max(least, -(-percent * size // 100))) // (100 + percent))
-                if overlap + min(size - at, most - depth) < need:
-                    continue
-                if len(grams):
-                    spots = at + np.searchsorted(own[at:], grams)
-                    inside = spots < len(own)
-                    overlap += int((own[spots[inside]] == grams[inside]).sum())
-                    at += int(np.searchsorted(own[at:], grams[-1]))
-                    depth += len(grams)
-                    if overlap + min(size - at, most - depth) < need:
-                        continue
-                if children:
-                    todo += [(c, at, overlap) for c in children]
-                    continue
-                both = size + int(self.sizes[lo])
-                if _apart(self.bits[x], self.bits[lo]) <= both - 2 * -(-percent * both // (100 + percent)):
-                    found.append((x, lo))
-                    if merge:
-                        labels[labels == labels[lo]] = labels[x]
-        return found
-
-
-def parity_bits(keys: np.ndarray) -> bytes:
-    """Parities of the n-grams that fall on each bit; a power of two of bits, at least 64 and at least four an n-gram, so that of the n-grams
-    in which two nearly linked sets differ few hide each other."""
-    size = max(64, 1 << max(0, 4 * len(keys) - 1).bit_length())
-    counts = np.bincount((keys & np.uint64(size - 1)).astype(np.int64), minlength=size)
-    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+def folded(bits: int, size: int, to: int) -> int:
+    """A bitmap of ``size`` bits, half upon half until ``to`` are left, which keeps parities."""
+    while size > to:
+        size //= 2
+        bits = bits >> size ^ bits & (1 << size) - 1
+    return bits
+
 
+def candidates(cards: list[tuple], percent: int, merge: bool, across: bool) -> Iterator[tuple[int, int]]:
+    """Pairs of sets of different labels among ``cards(sid, n, bits, label, early, part)`` that may be linked. With ``merge`` a pair is taken for
+    a link, and its labels become one; with ``across`` only sets of different parts are compared.
 
-def _apart(a: bytes, b: bytes) -> int:
-    """Number of parities that differ; the longer bitmap is folded, half upon half, which keeps parities."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    if len(x) > len(y):
-        x, y = y, x
-    while len(y) > len(x):
-        y = y[:len(y) // 2] ^ y[len(y) // 2:]
-    return int(np.bitwise_count(x ^ y).sum())
+    ``early`` tells which sets hold the n-gram they meet at early enough to be the smaller set of a link; of each pair one does. N-grams of
+    one set alone are at least as many as parities that differ, so no pair of linked sets is left.
+    """
+    order = sorted(cards, key=lambda card: card[1])
+    maps = [{8 * len(bits): int.from_bytes(bits, "little")} for _, _, bits, *_ in order]
+    widths = [8 * len(bits) for _, _, bits, *_ in order]
+    parent: dict[int, int] = {}
+    for x, (sid, size, _, label, early, part) in enumerate(order):
+        for y in range(x + 1, len(order)):
+            other, larger, _, label_y, early_y, part_y = order[y]
+            if 100 * size < percent * larger:
+                break
+            if label == label_y or across and part == part_y or not (early or early_y):
+                continue
+            width, both = min(widths[x], widths[y]), size + larger
+            ends = []
+            for k in (x, y):
+                if width not in maps[k]:
+                    maps[k][width] = folded(maps[k][widths[k]], widths[k], width)
+                ends.append(maps[k][width])
+            if (ends[0] ^ ends[1]).bit_count() <= both - 2 * -(-percent * both // (100 + percent)) and (not merge or union(parent, label, label_y)):
+                yield sid, other
 
 
 def join_sets(members: DataFrame, percent: int, merge: bool) -> DataFrame:
-    """Candidates ``a, b, raw`` within the groups ``(g, i, j)`` of ``members(g, i, j, raw, part, label, early, sid, n, head, bits)``; ``raw`` is the
+    """Candidates ``a, b, raw`` within the groups ``(g, i, j)`` of ``members(g, i, j, raw, part, label, early, sid, n, bits)``; ``raw`` is the
     n-gram they met at."""
+    key = ["g", "i", "j"]
+    names = [*key, "raw", "sid", "n", "bits", "label", "early", "part"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches, ["g", "i", "j"]):
-            if group.num_rows < 2:
-                continue
-            raw = group.column("head").to_pylist()
-            order = sorted(range(len(raw)), key=raw.__getitem__)  # big-endian bytes sort like the sets
-            sids, labels = group.column("sid").to_numpy()[order], group.column("label").to_numpy()[order].copy()
-            here = [group.column(c)[0].as_py() for c in ("g", "i", "j")]
-            part = group.column("part").to_numpy()[order] if here[1] != here[2] else None
-            bits = group.column("bits").to_pylist()
-            tree = Tree([np.frombuffer(raw[k], ">u4").astype(np.uint32) for k in order], group.column("n").to_numpy()[order], [bits[k] for k in order])
-            early = np.array(group.column("early").to_pylist())[order]
-            pairs = tree.candidates(labels, part, early, percent, merge)
+        rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns), strict=True))
+        for (_, i, j, raw), group in groupby(rows, key=lambda row: row[:4]):
+            pairs = list(candidates([row[4:] for row in group], percent, merge, i != j))
             if pairs:
-                ends = [pa.array([int(sids[p[side]]) for p in pairs], pa.int64()) for side in (0, 1)]
-                met_at = pa.array([group.column("raw")[0].as_py()] * len(pairs), pa.int64())
-                yield pa.RecordBatch.from_arrays([*ends, met_at], names=["a", "b", "raw"])
+                ends = [pa.array([p[side] for p in pairs], pa.int64()) for side in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*ends, pa.array([raw] * len(pairs), pa.int64())], names=["a", "b", "raw"])
 
-    key = ["g", "i", "j"]
-    names = [*key, "raw", "part", "label", "early", "sid", "n", "head", "bits"]
     placed = members.select(*names).withColumns({c: F.col(c).cast("int") for c in ("i", "j")})
-    return placed.repartition(*key).sortWithinPartitions(*key, "sid").mapInArrow(run, "a long, b long, raw long")
+    return placed.repartition(*key).sortWithinPartitions(*key, "raw", "sid").mapInArrow(run, "a long, b long, raw long")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -284,38 +215,47 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
 
 
 def tiled(members: DataFrame, sizes: DataFrame, pairs: bool) -> DataFrame:
-    """Members with their part of the group, and the tile of each; all pairs of parts of a large group, or each part alone."""
+    """Members with their part of the group, and the tile of each; all pairs of parts of a large group, or each part alone with the group's
+    smallest set beside it, so that parts of near copies fall under one label."""
     out = members.join(sizes, "g").withColumn("parts", F.ceil(F.col("c") / PART).cast("int"))
     out = out.withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
     if not pairs:
-        return out.withColumn("i", F.col("part")).withColumn("j", F.col("part"))
-    out = out.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        out = out.withColumn("i", F.explode(F.when(F.col("sid") == F.col("first"), every).otherwise(F.array("part"))))
+        return out.withColumn("j", F.col("i"))
+    out = out.withColumn("o", F.explode(every))
     return out.withColumn("i", F.least("part", "o")).withColumn("j", F.greatest("part", "o"))
 
 
+def size_band(percent: int):
+    """Linked sets are in one band of sizes or in adjacent ones."""
+    return F.floor(F.log("n") / max(1e-9, 1.0001 * math.log(100 / percent)))
+
+
 def by_size(rows: DataFrame, percent: int) -> DataFrame:
-    """``rows(sid, g, n, label, early)`` of large groups, with ``g`` narrowed to sets of like size: linked sets are in one band of sizes or in
-    adjacent ones.
+    """``rows(sid, n, g, label, early)`` of large groups, with ``g`` narrowed to sets of like size.
 
     A set joins the group of its band (``own``) and that of the band above; a group without own members has met one band below.
     """
-    width = max(1e-9, 1.0001 * math.log(100 / percent))
-    band = F.floor(F.log("n") / width) + F.col("up")
     return rows.withColumn("up", F.explode(F.array(F.lit(0), F.lit(1)))).select(
-        "sid", F.xxhash64("g", band).alias("g"), F.col("g").alias("raw"), "label", "early", (F.col("up") == 0).alias("own"))
+        "sid", "n", F.xxhash64("g", size_band(percent) + F.col("up")).alias("g"), F.col("g").alias("raw"), "label", "early", (F.col("up") == 0).alias("own"))
 
 
-def telling(rows: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """``rows(sid, g, label, early)`` cut to what linked sets of different labels need to meet, with ``n`` from ``sizes(sid, n)``.
+def telling(rows: DataFrame, percent: int) -> DataFrame:
+    """``rows(sid, n, g, label, early)`` cut to what linked sets of different labels need to meet.
 
     Linked sets share at least ``share`` n-grams of their prefixes: the greater one of N n-grams shares ``percent`` of them, and fewer
-    than ``percent - SLACK`` lie behind its prefix. So a set with fewer n-grams that another label holds too links with none of another
-    label. Of the others the last ``share - 1`` such n-grams are left out: the first n-gram a pair shares is not among them.
+    than ``percent - SLACK`` lie behind its prefix. So a set with fewer n-grams that sets of another label and of like size hold too links with
+    none of another label. Of the others the last ``share - 1`` such n-grams are left out: the first n-gram a pair shares is not among them.
     """
-    share = F.expr(f"greatest(1, ({percent - lowered(percent)}L * n) div 100)")
-    other = rows.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("g")
-    held = rows.join(other, "g").groupBy("sid", "label").agg(F.sort_array(F.collect_list(F.struct("g", "early"))).alias("gs"))
-    held = held.join(sizes, "sid").withColumn("share", share.cast("int")).where(F.size("gs") >= F.col("share"))
+    share = F.expr(f"int(greatest(1, ({percent - lowered(percent)}L * n) div 100))")
+    rows = rows.withColumn("band", size_band(percent))
+    ends = rows.groupBy("g", "band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    bands = ends.groupBy("g").agg(F.collect_list(F.struct("band", "low", "high")).alias("bands"), F.min("low").alias("low"), F.max("high").alias("high"))
+    like = F.expr("exists(bands, x -> abs(x.band - band) <= 1 and (x.low <> label or x.high <> label))")
+    met = rows.join(bands.where("low <> high").select("g", "bands"), "g").where(like)
+    held = met.groupBy("sid", "n", "label").agg(F.sort_array(F.collect_set(F.struct("g", "early"))).alias("gs"))
+    held = held.withColumn("share", share).where(F.size("gs") >= F.col("share"))
     return held.select("sid", "n", "label", F.inline(F.slice("gs", F.lit(1), F.size("gs") - F.col("share") + 1)))
 
 
@@ -324,12 +264,12 @@ def lowered(percent: int) -> int:
 
 
 def meetings(rows: DataFrame, percent: int) -> DataFrame:
-    """``sid, g, raw, label, early, own`` of the sets of ``rows(sid, g, n, label, early)`` that have something to meet: groups with several labels and
+    """``sid, n, g, raw, label, early, own`` of the sets of ``rows(sid, n, g, label, early)`` that have something to meet: groups with several labels and
     an early member; those beyond ``PART`` sets are narrowed by size."""
     groups = rows.groupBy("g").agg(F.count("*").alias("c"), F.min("label").alias("low"), F.max("label").alias("high"), F.max("early").alias("any"))
     groups = groups.where("low <> high and any").select("g", "c")
     held = rows.join(groups, "g")
-    few = held.where(F.col("c") <= PART).select("sid", "g", F.col("g").alias("raw"), "label", "early", F.lit(True).alias("own"))
+    few = held.where(F.col("c") <= PART).select("sid", "n", "g", F.col("g").alias("raw"), "label", "early", F.lit(True).alias("own"))
     return few.unionByName(by_size(held.where(F.col("c") > PART), percent))
 
 
@@ -341,11 +281,10 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
     1. A sketch of fixed size over all documents gives the global order: frequent n-grams last.
     2. Equal sets are joined once, under their smallest doc_id. A set's prefix, its first ``size - ceil((percent - SLACK) * size) + 1``
        n-grams, shares several n-grams with that of every set it links to; n-grams that one prefix alone holds drop out.
-    3. Sets meet at their first shared n-gram, in prefix trees of at most about ``PART`` sets. Only a card of each travels there: size,
-       prefix in 32 bits an n-gram, and a bitmap of four to eight bits an n-gram, together a sixth of the set. Trees give candidates, and
-       these are verified on whole sets. What links gets one label; a second round does the same with one set per label, so that large groups
-       of near copies fall under one label.
-    4. Sets that share enough n-grams with other labels (see :func:`telling`) meet likewise at each of those; larger groups
+    3. Sets meet at their first shared n-gram, in groups of at most about ``PART`` sets. Only a card of each travels there: size and a
+       bitmap of some one to two bits an n-gram, a fortieth of the set. Bitmaps give candidates, and these are verified on whole sets. What
+       links gets one label, so that large groups of near copies fall under few labels.
+    4. Sets that share enough n-grams with other labels and like sizes (see :func:`telling`) meet likewise at each of those; larger groups
        are narrowed by size and cut into parts that meet in pairs. A candidate is taken for a link within its group, so that near copies do not give all their
        pairs; groups in which verification proves that wrong give all their candidates in one more round. So every link is found or joins
        what is joined already.
@@ -366,23 +305,23 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
     chosen = wide.where("n > 0 and doc_id is not null").join(distinct, ["n", "f1", "f2"]).where("doc_id = sid")
     # Of two linked sets the smaller one shares an n-gram of a shorter prefix, sized for partners at least as large as itself.
     early = F.expr(f"pos <= n - ({2 * percent}L * n + {99 + percent}) div {100 + percent}").alias("early")
-    prefixes = chosen.select("sid", "n", F.posexplode("prefix").alias("pos", "g")).select("sid", "g", early)
+    prefixes = chosen.select("sid", "n", F.posexplode("prefix").alias("pos", "g")).select("sid", "n", "g", early)
     held = F.count("*").over(Window.partitionBy("g"))  # prefixes travel once; few n-grams are held twice, so counts do not shrink before the shuffle
-    shared = written(prefixes.withColumn("c", held).where("c > 1").select("sid", "g", "early"))
-    wanted = shared.groupBy("sid").agg(F.min("g").alias("g"))
-    cards = written(chosen.select("sid", "n", "head", "bits").join(wanted.select("sid"), "sid", "left_semi"))
-    discard(wide)  # as large as a fifth of the texts
+    shared = written(prefixes.withColumn("c", held).where("c > 1").select("sid", "n", "g", "early"))
+    wanted = written(shared.groupBy("sid", "n").agg(F.min("g").alias("g")))
+    cards = written(chosen.select("sid", "n", "bits").join(wanted.select("sid"), "sid", "left_semi").distinct())  # repeated rows give one card
+    discard(wide)  # as large as a tenth of the texts
     release(spark)
 
-    made: list[DataFrame] = [shared, cards]
+    made: list[DataFrame] = [shared, wanted, cards]
 
     def met(rows: DataFrame, pairs: bool, merge: bool = True) -> DataFrame:
         """Pairs that meet in the groups of ``rows``, verified."""
         rows = written(rows)  # used twice below
-        sizes = rows.groupBy("g").agg(F.count("*").alias("c"), F.min("label").alias("low"), F.max("label").alias("high"),
+        sizes = rows.groupBy("g").agg(F.count("*").alias("c"), F.min("label").alias("low"), F.max("label").alias("high"), F.min("sid").alias("first"),
                                       F.max("own").alias("any_own"), F.max("early").alias("any_early"))
-        sizes = sizes.where("low <> high and any_own and any_early").select("g", "c")
-        found = written(join_sets(tiled(rows, sizes, pairs).join(cards, "sid"), percent, merge))
+        sizes = sizes.where("low <> high and any_own and any_early").select("g", "c", "first")
+        found = written(join_sets(tiled(rows, sizes, pairs).join(cards, ["sid", "n"]), percent, merge))
         release(spark)
         out = written(verified(found, docs, words, percent))
         discard(found)
@@ -391,28 +330,18 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
         release(spark)
         return out
 
-    labels = None
-    links = None
-    for _ in range(2):
-        rows = wanted.withColumns({"raw": F.col("g"), "label": F.col("sid"), "own": F.lit(True), "early": F.lit(True)})
-        if labels is not None:
-            rows = rows.join(labels, rows.sid == labels.id, "left_anti").unionByName(
-                rows.join(labels.where("id = component_id"), rows.sid == labels.id, "left_semi"))
-        found = met(rows, False).where("linked").select("a", "b")
-        links = found if links is None else links.unionByName(found)
-        labels = settle(components(links))
-        release(spark)
+    first = wanted.withColumns({"raw": F.col("g"), "label": F.col("sid"), "own": F.lit(True), "early": F.lit(True)})
+    links = met(first, False).where("linked").select("a", "b")
+    labels = settle(components(links))
+    release(spark)
     # A doc_id on several rows is one node, so the sets of these rows belong together.
     several = full.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id")
     same = full.join(several, "doc_id").join(distinct, ["n", "f1", "f2"]).select(F.col("doc_id").alias("a"), F.col("sid").alias("b"))
 
-    sizes = written(cards.groupBy("sid").agg(F.min("n").alias("n")))
-    made.append(sizes)
-
     def labelled(labels: DataFrame) -> DataFrame:
-        rows = shared.distinct().join(labels, shared.sid == labels.id, "left")
-        made.append(named := written(rows.select("sid", "g", F.coalesce("component_id", "sid").alias("label"), "early")))
-        return telling(named, sizes, percent)
+        rows = shared.join(labels, shared.sid == labels.id, "left")
+        made.append(named := written(rows.select("sid", "n", "g", F.coalesce("component_id", "sid").alias("label"), "early")))
+        return telling(named, percent)
 
     last = met(meetings(labelled(labels), percent), True)
     links = links.unionByName(last.where("linked").select("a", "b"))
@@ -431,7 +360,7 @@ def near_documents(documents: DataFrame, words: int = 3, percent: int = 90) -> D
 
 
 def described(docs: DataFrame, words: int, percent: int, levels: Broadcast) -> DataFrame:
-    """``doc_id, n, f1, f2, prefix, head, bits``: size, fingerprint, prefix, and the prefix and bitmap of the set's card."""
+    """``doc_id, n, f1, f2, prefix, bits``: size, fingerprint, prefix, and the bitmap of the set's card."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -445,11 +374,9 @@ def described(docs: DataFrame, words: int, percent: int, levels: Broadcast) -> D
                 stops = np.cumsum(size)
                 index = np.repeat(begins - (stops - size), size) + np.arange(int(stops[-1]))
                 prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stops]).astype(np.int32)), pa.array(key[index].astype(np.int64)))
-                short = (key[index] >> np.uint64(32)).astype(">u4")
-                head = [part.tobytes() for part in np.split(short, stops[:-1])]
-                bits = [parity_bits(part) for part in np.split(key, ends[:-1])]
+                bits = [parity_bits(part, percent) for part in np.split(key, ends[:-1])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(at, len(texts)), pa.array(n), pa.array(f1), pa.array(f2), prefix, pa.array(head, pa.binary()), pa.array(bits, pa.binary())],
-                    names=["doc_id", "n", "f1", "f2", "prefix", "head", "bits"])
+                    [batch.column("doc_id").slice(at, len(texts)), pa.array(n), pa.array(f1), pa.array(f2), prefix, pa.array(bits, pa.binary())],
+                    names=["doc_id", "n", "f1", "f2", "prefix", "bits"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, prefix array<long>, head binary, bits binary")
+    return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, prefix array<long>, bits binary")

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridlake.llm import line_dedup, ngram_join, packing, pii, piece_codec, queries, sharding, suffix_dedup, topk_bitslice, toxicity
+from gridlake.llm import common, line_dedup, ngram_join, packing, pii, piece_codec, queries, sharding, suffix_dedup, topk_bitslice, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = [a + b for a in ("ta", "re", "mo", "li", "su", "ne", "ko", "vi") for b in ("ran", "lo", "pim", "ters", "ga", "d", "mu", "stel")]
@@ -502,3 +502,48 @@ def test_a_candidate_met_at_several_ngrams_is_verified_once(spark, monkeypatch,
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert got == [(1, 2, 7, True), (1, 2, 8, True), (1, 2, 9, True), (1, 3, 7, False)]
     assert ("BroadcastHashJoin [doc_id" in plan) == (sent > 0)  # texts that are in no pair stay where they are
+
+
+def test_sets_of_unlike_size_do_not_meet(spark):
+    rows = [(sid, n, g, sid, True) for sid, n, first in ((1, 100, 0), (2, 300, 0), (3, 100, 50), (4, 105, 50)) for g in range(first, first + 30)]
+    kept = ngram_join.telling(spark.createDataFrame(rows, "sid long, n long, g long, label long, early boolean"), 90)
+    assert {(r.sid, r.n) for r in kept.collect()} == {(3, 100), (4, 105)}
+
+
+def test_cards_are_small_and_tell_texts_apart():
+    keys = np.random.default_rng(5).integers(0, 1 << 56, 3000, dtype=np.uint64)
+    sets = {1: keys[:1000], 2: keys[40:1030], 3: keys[1000:2000], 4: keys[300:1300]}
+    cards = [(sid, len(k), ngram_join.parity_bits(k, 90), sid, True, 0) for sid, k in sets.items()]
+    assert all(len(bits) <= 256 for _, _, bits, *_ in cards)
+    assert [set(pair) for pair in ngram_join.candidates(cards, 90, False, False)] == [{1, 2}]
+    assert list(ngram_join.candidates(cards, 90, False, True)) == []
+
+
+@pytest.mark.parametrize("part", [3, 1000])
+def test_near_copies_about_the_threshold(spark, monkeypatch, part):
+    monkeypatch.setattr(ngram_join, "PART", part)
+    rng, texts = random.Random(8), []
+    for base in (sentence(rng, 130), sentence(rng, 160)):
+        for _ in range(40):
+            words = base.split()
+            for at in rng.sample(range(len(words)), rng.randrange(4)):
+                words[at] += "x"
+            texts.append(" ".join(words[rng.randrange(6):]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_documents(df, 3, 90).collect()}
+    assert [got[i] for i in range(len(texts))] == list(zip(*brute_near(texts, 3, 90), strict=True))
+
+
+@pytest.mark.parametrize("least", [7, 500_000])
+def test_components_of_links_in_one_task_and_in_several(spark, monkeypatch, least):
+    monkeypatch.setattr(common, "CONTRACTED", least)
+    rng = random.Random(4)
+    links = [(i + 1, i) for i in range(30)] + [(100 + rng.randrange(60), 100 + rng.randrange(60)) for _ in range(35)] + [(300, 300 + i) for i in range(20)]
+    low = {x: x for link in links for x in link if link[0] != link[1]}
+    for _ in low:
+        for a, b in links:
+            if a != b:
+                low[a] = low[b] = min(low[a], low[b])
+    got = common.components(spark.createDataFrame(links, "a long, b long").repartition(6)).collect()
+    assert len(got) == len(low) and {r.id: r.component_id for r in got} == low
+    assert common.components(spark.createDataFrame([], "a long, b long")).collect() == []
