@@ -13,6 +13,8 @@ from .common import discard, release, settle, written
 
 #: Shorter lines (in characters) are neither removed nor compared.
 LEAST = 20
+#: Variants that a task holds at most, in numbers of some 60 bytes with their copy for Spark.
+VARIANTS = 1 << 16
 
 
 def line_rows(docs: DataFrame, least: int, with_keys: bool) -> DataFrame:
@@ -44,38 +46,57 @@ def keyed_lines(lines: DataFrame) -> DataFrame:
         "h1", (at % 4).cast("byte").alias("side"), F.when(at < 4, F.col("q")).otherwise(F.col("p")).alias("q"), "key")
 
 
+def line_variants(line: str, sides: list[dict], codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``key, at`` of the variants of a line, in parts of at most ``VARIANTS``; a shared front of f and end of e characters leaves the places f to length - e."""
+    odd = np.uint64(0x9E3779B97F4A7C15)
+    points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4")
+    n = len(points)
+    with np.errstate(over="ignore"):
+        value = codes[points & 0xFFFF] + (points >> 16).astype(np.uint64)
+        up = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, odd)]))
+        total = np.concatenate([[np.uint64(0)], np.cumsum(value * up[:n])])
+    del points, value, up
+    wanted = np.zeros(n, bool)
+    for s in sides:
+        wanted[(3 - s["side"]) * s["q"]:n - s["side"] * s["q"]] = True
+    # Behind the gap each character moves one place to the front.
+    inverse = np.uint64(pow(int(odd), -1, 1 << 64))
+    for start in range(0, n, VARIANTS):
+        at = start + np.nonzero(wanted[start:start + VARIANTS])[0]
+        if len(at):
+            with np.errstate(over="ignore"):
+                yield (total[at] + (total[n] - total[at + 1]) * inverse + np.uint64(n - 1)).astype(np.int64), at.astype(np.int32)
+    with np.errstate(over="ignore"):
+        yield (total[n:] + np.uint64(n)).astype(np.int64), np.array([-1], np.int32)
+
+
 def variant_rows(lines: DataFrame) -> DataFrame:
     """``key, at, h1, h2``: hashes of each line without one character, where it may differ, and of the whole line (``at`` -1).
 
-    ``lines(line, h1, h2, sides)``; a shared front of f and end of e characters leaves the places f to length - e.
+    ``lines(line, h1, h2, sides)``. A batch of some megabytes of text may have as many variants as characters, so they leave in batches of their own
+    and never stand in memory together: at most 2 * ``VARIANTS``, and some 40 bytes a character of one line.
     """
 
+    def packed(held: list[tuple]) -> pa.RecordBatch:
+        counts = [len(at) for _, at, _, _ in held]
+        columns = [np.concatenate([keys for keys, _, _, _ in held]), np.concatenate([at for _, at, _, _ in held]),
+                   *(np.repeat(np.array([h[i] for h in held], np.int64), counts) for i in (2, 3))]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "at", "h1", "h2"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = np.random.default_rng(31).integers(1, 2**63, 1 << 16, dtype=np.uint64) | np.uint64(1)
-        odd = np.uint64(0x9E3779B97F4A7C15)
+        held: list[tuple] = []
+        rows = 0
         for batch in batches:
-            out: list[list] = [[], [], [], []]
             for line, h1, h2, sides in zip(*(batch.column(c).to_pylist() for c in ("line", "h1", "h2", "sides")), strict=True):
-                points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4")
-                n = len(points)
-                with np.errstate(over="ignore"):
-                    value = codes[points & 0xFFFF] + (points >> 16).astype(np.uint64)
-                    up = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, odd)]))
-                    total = np.concatenate([[np.uint64(0)], np.cumsum(value * up[:n])])
-                    wanted = np.zeros(n, bool)
-                    for s in sides:
-                        wanted[(3 - s["side"]) * s["q"]:n - s["side"] * s["q"]] = True
-                    at = np.nonzero(wanted)[0]
-                    # Behind the gap each character moves one place to the front.
-                    inverse = np.uint64(pow(int(odd), -1, 1 << 64))
-                    keys = total[at] + (total[n] - total[at + 1]) * inverse + np.uint64(n - 1)
-                    whole = total[n] + np.uint64(n)
-                out[0] += [*keys.astype(np.int64).tolist(), int(whole.astype(np.int64))]
-                out[1] += [*at.tolist(), -1]
-                out[2] += [h1] * (len(at) + 1)
-                out[3] += [h2] * (len(at) + 1)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.int64())],
-                                             names=["key", "at", "h1", "h2"])
+                for keys, at in line_variants(line, sides, codes):
+                    held.append((keys, at, h1, h2))
+                    rows += len(at)
+                    if rows >= VARIANTS:
+                        yield packed(held)
+                        held, rows = [], 0
+        if held:
+            yield packed(held)
 
     return lines.select("line", "h1", "h2", "sides").mapInArrow(run, "key long, at int, h1 long, h2 long")
 

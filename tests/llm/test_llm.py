@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -370,6 +371,39 @@ def test_lines_equal_brute_force(spark, seed):
     assert line_dedup.dedup_lines(df.limit(0)).collect() == []
 
 
+class Captured:
+    """A table that only keeps what ``mapInArrow`` is given."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_variants_of_long_lines_leave_in_small_batches(monkeypatch):
+    rng = random.Random(7)
+    lines = ["".join(rng.choice("abcdefgh 0123456789") for _ in range(n)) for n in (30_000, 20, 21, 64, 1500, 900, 9000)] + ["x\U0001F600" * 40]
+    sides = [[{"side": s, "q": len(x) // 8 * 2} for s in rng.sample(range(4), k)] for x, k in zip(lines, (4, 1, 0, 4, 3, 2, 4, 1), strict=True)]
+    batch = pa.RecordBatch.from_arrays([pa.array(lines), pa.array(range(8), pa.int64()), pa.array(range(8, 0, -1), pa.int64()),
+                                        pa.array(sides, pa.list_(pa.struct([("side", pa.int32()), ("q", pa.int32())])))], names=["line", "h1", "h2", "sides"])
+    monkeypatch.setattr(line_dedup, "VARIANTS", 500, raising=False)
+    out = list(line_dedup.variant_rows(Captured())([batch, batch.slice(0, 0), batch.slice(1, 3)]))
+    assert max(b.num_rows for b in out) <= 1000
+    rows = [tuple(r.values()) for b in out for r in b.to_pylist()]
+    want, text_of = [], {}
+    for i in [*range(8), 1, 2, 3]:
+        n = len(lines[i])
+        places = sorted({p for s in sides[i] for p in range((3 - s["side"]) * s["q"], n - s["side"] * s["q"])})
+        want += [(p, i, 8 - i) for p in [*places, -1]]
+    assert [r[1:] for r in rows] == want
+    for key, at, i, _ in rows:
+        if len(lines[i]) < 2000:
+            left = lines[i] if at < 0 else lines[i][:at] + lines[i][at + 1:]
+            assert text_of.setdefault(key, left) == left
+    assert len(set(text_of.values())) == len(text_of)
+
+
 # 9 n-gram join
 
 
