@@ -18,32 +18,44 @@ VARIANTS = 1 << 16
 
 
 def line_rows(docs: DataFrame, least: int, with_keys: bool) -> DataFrame:
-    """``doc, sub, no, h1, h2, keys`` of the lines of ``docs(doc, sub, text)`` with at least ``least`` characters."""
+    """``doc, sub, no, h1, h2`` of the lines of ``docs(doc, sub, text)`` with at least ``least`` characters, and ``halves``: their keys by halves."""
     lines = docs.select("doc", "sub", F.posexplode(F.split("text", "\n", -1)).alias("no", "line")).withColumn("n", F.char_length("line"))
-    lines = lines.where(F.col("n") >= least).withColumn("q", (F.floor(F.col("n") / 8) * 2).cast("int"))
-    lines = lines.withColumn("p", F.when(F.col("n") % 8 == 0, F.col("q") - 2).cast("int"))
-    keys = part_keys() if with_keys else F.lit(None).cast("array<bigint>")
-    return lines.select("doc", "sub", "no", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(7)).alias("h2"), "q", "p", keys.alias("keys"))
+    lines = lines.where(F.col("n") >= least).withColumn("q", quarter())
+    made = ["doc", "sub", "no", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(7)).alias("h2")]
+    return lines.select(*made, half_keys().alias("halves")) if with_keys else lines.select(*made)
 
 
-def part_keys() -> F.Column:
-    """Keys of the parts that a line shares with a line one edit away.
+def quarter() -> F.Column:
+    """A quarter of a line of n characters: its length in steps of eight. At a step a line that is one shorter has the quarter below, so both count."""
+    return (F.floor(F.col("n") / 8) * 2).cast("int")
+
+
+def half_keys() -> F.Column:
+    """Keys of the halves of a line: it agrees with a line one edit away in the first or in the last 2 * q characters."""
+    parts = ("substring(line, 1, 2 * ({q}))", "substring(line, -2 * ({q}), 2 * ({q}))")
+    made = [f"xxhash64({part.format(q=q)}, {side}, {q})" for q in ("q", "q - 2") for side, part in enumerate(parts)]
+    return F.expr(f"if(n % 8 = 0, array({', '.join(made)}), array({', '.join(made[:2])}))")
+
+
+def keyed_lines(lines: DataFrame) -> DataFrame:
+    """``h1, side, q, key`` of ``lines(line, h1)``: keys of the parts that a line shares with a line one edit away.
 
     Both agree before and behind the edit, so with quarters of q characters they agree in three of four quarters: in front, behind, or on
-    both sides. q comes from the length in steps of eight; at a step the smaller one, p, has keys as well, for the line that is one shorter.
+    both sides. Half of a line's hash is enough here, since two lines that share it only share candidates. There is a row for each q before the keys
+    are made: with all keys of both in one expression the method Spark generates is longer than the JVM compiles.
     """
-    made = []
-    for q in ("q", "p"):
-        for side, parts in enumerate(("left(line, 3*{q})", "concat(left(line, 2*{q}), right(line, {q}))", "concat(left(line, {q}), right(line, 2*{q}))", "right(line, 3*{q})")):
-            made.append(f"xxhash64({parts.format(q=q)}, {side}, {q})")
-    return F.expr(f"if(p is null, array({', '.join(made[:4])}), array({', '.join(made)}))")
+    q = quarter()
+    lines = lines.withColumn("n", F.char_length("line")).select(
+        "h1", "line", F.explode(F.when(F.col("n") % 8 == 0, F.array(q, q - 2)).otherwise(F.array(q))).alias("q"))
+    parts = ("substring(line, 1, 3 * q)", "substring(line, 1, 2 * q), substring(line, -q, q)", "substring(line, 1, q), substring(line, -2 * q, 2 * q)", "substring(line, -3 * q, 3 * q)")
+    keys = F.array(*[F.expr(f"xxhash64({part}, {side}, q)") for side, part in enumerate(parts)])
+    return lines.select("h1", "q", F.posexplode(keys).alias("side", "key"))
 
 
-def keyed_lines(lines: DataFrame) -> DataFrame:
-    """``h1, side, q, key``: half of a line's hash is enough here, since two lines that share it only share candidates."""
-    at = F.col("at")
-    return lines.select("h1", "q", "p", F.posexplode("keys").alias("at", "key")).select(
-        "h1", (at % 4).cast("byte").alias("side"), F.when(at < 4, F.col("q")).otherwise(F.col("p")).alias("q"), "key")
+def shared(keyed: DataFrame) -> DataFrame:
+    """The rows of ``keyed(h1, key)`` whose key another line has as well."""
+    keys = keyed.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo < hi").select("key")
+    return keyed.join(keys, "key")
 
 
 def line_variants(line: str, sides: list[dict], codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -108,7 +120,8 @@ def dedup_lines(documents: DataFrame, least: int = LEAST, edits: int = 1) -> Dat
     replaced character, starts earlier: in a document of smaller id or further up in the same one. Shorter lines stay.
 
     1. Equal lines are one, known by 128 bits of hash, with its first place.
-    2. Lines that share three quarters with a different line are candidates (a lossless filter); the others drop out.
+    2. Lines that share three quarters with a different line are candidates (a lossless filter); the others drop out. Most do by their halves,
+       whose keys are stored, so that only lines that share a half are fetched and compared by quarters.
     3. Candidates emit the hashes of their variants without one character. Equal variants with the gap at one place are a
        replacement, a variant that equals a whole line is an insertion. Such a group holds no more lines than there are characters (times the
        length), so none is large, whatever the corpus.
@@ -123,21 +136,22 @@ def dedup_lines(documents: DataFrame, least: int = LEAST, edits: int = 1) -> Dat
     spark = documents.sparkSession
     place = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64("text").alias("sub")]
     docs = documents.where("text is not null").select(*place, "text")
-    narrow = written(line_rows(docs, least, False).select("doc", "sub", "no", "h1", "h2"))
+    narrow = written(line_rows(docs, least, edits > 0))
     firsts = settle(narrow.groupBy("h1", "h2").agg(F.min(F.struct("doc", "sub", "no")).alias("first"), F.count("*").alias("c")))
     gone = None
     if edits:
-        # Keys are as long as many lines, so they are made where they are used instead of being kept.
-        keyed = keyed_lines(line_rows(docs, least, True))
-        buckets = keyed.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo < hi").select("key")
-        sides = keyed.join(buckets, "key").groupBy("h1").agg(F.collect_set(F.struct(F.col("side").cast("int").alias("side"), "q")).alias("sides"))
-        wanted = settle(sides.join(firsts, "h1").select("h1", "h2", "sides", "first.*"))
+        halves = shared(narrow.select("h1", F.explode("halves").alias("key"))).select("h1").distinct()
+        wanted = settle(halves.join(firsts, "h1").select("h1", "h2", "first.*"))
         release(spark)
-        by_doc = wanted.groupBy("doc", "sub").agg(F.collect_list(F.struct("no", "h1", "h2", "sides")).alias("w"))
+        by_doc = wanted.groupBy("doc", "sub").agg(F.collect_list(F.struct("no", "h1", "h2")).alias("w"))
         found = docs.join(by_doc, ["doc", "sub"]).select(F.split("text", "\n", -1).alias("all"), "doc", "sub", F.explode("w").alias("w")).select(
-            F.expr("all[w.no]").alias("line"), "w.h1", "w.h2", "w.sides", F.struct("doc", "sub", "w.no").alias("first"))
-        candidates = settle(found.dropDuplicates(["h1", "h2"]))
+            F.expr("all[w.no]").alias("line"), "w.h1", "w.h2", F.struct("doc", "sub", "w.no").alias("first"))
+        fetched = written(found.dropDuplicates(["h1", "h2"]))
+        release(spark)
+        sides = shared(keyed_lines(fetched)).groupBy("h1").agg(F.collect_set(F.struct("side", "q")).alias("sides"))
+        candidates = settle(fetched.join(sides, "h1"))
         release(spark)
+        discard(fetched)
         variants = variant_rows(candidates).join(candidates.select("h1", "h2", "first"), ["h1", "h2"])
         by_key, by_place = Window.partitionBy("key"), Window.partitionBy("key", "at")
         whole = F.min(F.when(F.col("at") < 0, F.col("first"))).over(by_key)

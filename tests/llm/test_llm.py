@@ -404,6 +404,32 @@ def test_variants_of_long_lines_leave_in_small_batches(monkeypatch):
     assert len(set(text_of.values())) == len(text_of)
 
 
+def test_keys_of_lines_are_made_once_and_compiled(spark, monkeypatch):
+    rng = random.Random(5)
+    line = lambda n: "".join(rng.choice("abcdefgh\u00e9\U0001F600 0123456789") for _ in range(n))
+    near, alone = [], []
+    for n in (20, 23, 24, 40, 47, 48, 200):
+        base, at = line(n), rng.randrange(n)
+        near += [base, rng.choice([base[:at] + "#" + base[at:], base[:at] + "#" + base[at + 1:]])]
+        other = line(80)
+        alone += [other, other[:40] + line(40), line(40) + other[40:], line(n)]  # sharing a half is not enough
+    made, asked = [], []
+    rows, variants = line_dedup.line_rows, line_dedup.variant_rows
+    monkeypatch.setattr(line_dedup, "line_rows", lambda *a: made.append(rows(*a)) or made[-1])
+    monkeypatch.setattr(line_dedup, "variant_rows", lambda lines: asked.extend(r.line for r in lines.select("line").collect()) or variants(lines))
+    texts = [*near, *alone, near[0], alone[0]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_lines(texts, line_dedup.LEAST)
+    assert sorted(asked) == sorted(near)
+    assert len(made) == 1
+    sizes = []
+    for keys in (made[0], line_dedup.keyed_lines(df.select(F.col("text").alias("line"), F.xxhash64("text").alias("h1")))):
+        code = spark._jvm.PythonSQLUtils.explainString(keys._jdf.queryExecution(), "codegen")
+        sizes += map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))
+    assert len(sizes) >= 2 and max(sizes) < 8000  # longer methods are never compiled by the JVM
+
+
 # 9 n-gram join
 
 
