@@ -141,17 +141,21 @@ def dedup_lines(documents: DataFrame, least: int = LEAST, edits: int = 1) -> Dat
     gone = None
     if edits:
         halves = shared(narrow.select("h1", F.explode("halves").alias("key"))).select("h1").distinct()
-        wanted = settle(halves.join(firsts, "h1").select("h1", "h2", "first.*"))
+        wanted = written(halves.join(firsts, "h1").select("h1", "h2", "first.*"))
         release(spark)
         by_doc = wanted.groupBy("doc", "sub").agg(F.collect_list(F.struct("no", "h1", "h2")).alias("w"))
         found = docs.join(by_doc, ["doc", "sub"]).select(F.split("text", "\n", -1).alias("all"), "doc", "sub", F.explode("w").alias("w")).select(
             F.expr("all[w.no]").alias("line"), "w.h1", "w.h2", F.struct("doc", "sub", "w.no").alias("first"))
-        fetched = written(found.dropDuplicates(["h1", "h2"]))
+        fetched = written(found)
         release(spark)
-        sides = shared(keyed_lines(fetched)).groupBy("h1").agg(F.collect_set(F.struct("side", "q")).alias("sides"))
-        candidates = settle(fetched.join(sides, "h1"))
+        discard(wanted)
+        # Written as well, so that its size is known before texts are joined with it, and the keys are gone.
+        sides = written(shared(keyed_lines(fetched)).groupBy("h1").agg(F.collect_set(F.struct("side", "q")).alias("sides")))
+        release(spark)
+        candidates = settle(fetched.join(sides, "h1").dropDuplicates(["h1", "h2"]))
         release(spark)
         discard(fetched)
+        discard(sides)
         variants = variant_rows(candidates).join(candidates.select("h1", "h2", "first"), ["h1", "h2"])
         by_key, by_place = Window.partitionBy("key"), Window.partitionBy("key", "at")
         whole = F.min(F.when(F.col("at") < 0, F.col("first"))).over(by_key)
